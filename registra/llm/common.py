@@ -245,7 +245,7 @@ def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFra
         new = scratch.write(small, f"{label}-{k}")
         scratch.drop(f"{label}-{k - 1}", f"{label}-{k}l")
         e = new
-        now = tuple(e.agg(F.count("*"), F.coalesce(F.sum((F.xxhash64("a", "b") / 1024).cast("long")), F.lit(0))).first())
+        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == seen:
             break
         seen = now

@@ -23,6 +23,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    p = pack(spark, _docs(spark, sf_dir), digest={"ids_crc32": F.crc32("ids")})
+    return p.placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op3_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_binary import pack_rows
+
+    rows = pack_rows(spark, _docs(spark, sf_dir))
+    return rows.select("sequence_id", "doc_ids", "starts", "cu_seqlens", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
+
+
+def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dup import near_duplicates
+
+    return near_duplicates(spark, _docs(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def _quality_sql(source: str = "documents") -> str:
     from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
 
@@ -49,7 +69,10 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_shortest_pack_first": op1_shortest_pack_first,
         "op2_quality_rules": op2_quality_rules,
+        "op3_token_matrix": op3_token_matrix,
+        "op9_minhash_forest": op9_minhash_forest,
     }
 
 
