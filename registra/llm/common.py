@@ -236,14 +236,14 @@ def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFra
     seen = None
     for k in itertools.count(1):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-{k}m")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = scratch.write(large, f"{label}-{k}l")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-{k}n")
         small = large.join(low, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
         new = scratch.write(small, f"{label}-{k}")
-        scratch.drop(f"{label}-{k - 1}", f"{label}-{k}l")
+        scratch.drop(f"{label}-{k - 1}", *[f"{label}-{k}{x}" for x in "lmn"])
         e = new
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == seen:

@@ -120,7 +120,9 @@ def _leaf_pairs(batches):
 def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     """Distinct candidate pairs (a < b) of ``nodes`` (node, sig)."""
     first = scratch.write(nodes.select("node", "sig").mapInArrow(_first_keys, "key long, node long, tree int"), "first")
-    n0 = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # counts are written before they are joined back, so that a key with many rows is a skewed join
+    # that adaptive execution splits
+    n0 = scratch.write(first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "n0")
     met = scratch.write(first.join(n0, "key"), "met")
     scratch.drop("first")
     big = met.where(F.col("n") > LEAF)
@@ -128,13 +130,13 @@ def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     paths = scratch.write(paths, "paths")
     # how deep each path has to be known: coarse steps first, then every depth down to that
     steps = paths.select("node", "tree", F.explode(F.expr(f"transform(sequence({DEPTH}, {MAX_DEPTH - DEPTH}, {DEPTH}), i -> struct(i as depth, path[i - 1] as key))")).alias("x")).select("node", "tree", "x.*")
-    large = steps.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
-    known = steps.join(large.select("key"), "key").groupBy("node", "tree").agg(F.max("depth").alias("known"))
+    large = scratch.write(steps.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("key"), "large")
+    known = steps.join(large, "key").groupBy("node", "tree").agg(F.max("depth").alias("known"))
     known = scratch.write(known, "known")
     deep = paths.join(known, ["node", "tree"], "left")
     deep = deep.select("node", "tree", F.posexplode(F.slice("path", 1, F.least(F.coalesce("known", F.lit(0)) + DEPTH, F.lit(MAX_DEPTH - DEPTH)))).alias("depth", "key"))
     deep = scratch.write(deep, "deep-keys")
-    nd = deep.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    nd = scratch.write(deep.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "nd")
     deep = scratch.write(deep.join(nd, "key"), "deep")
     scratch.drop("deep-keys", "paths", "known")
     every = deep.select("key", "node", "tree", "depth", "n").unionByName(big.select("key", "node", "tree", F.lit(-1).alias("depth"), "n"))
@@ -147,7 +149,7 @@ def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     central = every.groupBy("node").agg(F.sum("n").alias("c"))
     ranked = every.where((F.col("n") > LEAF) & ((F.col("depth") + 1) % DEPTH == 0)).select("key", "node").join(central, "node").select("key", "node", "c")
     ranked = scratch.write(ranked, "ranked")
-    leader = ranked.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.max(F.struct("c", (-F.col("node")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader"))
+    leader = scratch.write(ranked.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.max(F.struct("c", (-F.col("node")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader")), "leader")
     star = ranked.join(leader, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     out = scratch.write(pairs.union(star).distinct(), "pairs")
     scratch.drop("met", "deep", "ranked")
@@ -237,7 +239,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     of = full.select("row_id", "doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("row_id", "doc_id", "n_shingles", "node")
     of = of.join(comp.withColumnRenamed("comp", "c"), "node", "left").select("row_id", "doc_id", "n_shingles", F.coalesce("c", "node").alias("c"))
     of = scratch.write(of, "rows")
-    least = of.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    least = scratch.write(of.groupBy("c").agg(F.min("doc_id").alias("component_id")), "least")
     out = of.join(least, "c").select("row_id", "doc_id", "n_shingles", "component_id")
     out = out.union(sig.where("n_shingles = 0").select("row_id", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     out = scratch.write(out, "result")
