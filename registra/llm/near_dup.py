@@ -5,12 +5,13 @@ are one class; the rest works on one representative of each class.
 
 The forest: every tree reads the signature of ``N_HASH`` minima in its own order (it starts at
 another place and goes round). Two documents meet in a tree down to the depth of their longest
-common prefix. A tree is descended region by region: a prefix group of at most ``LEAF`` documents
-is a leaf, and all its pairs are candidates (a bounded number per document); a larger group is
-split by the next minimum. Each larger group also yields, for every member, the pairs with its most
-central documents, those whose prefixes are shared most widely: the originals that scattered copies
-were made from. So a group of any size yields a number of pairs that is linear in it. Groups that
-stay large down to the last depth have equal minima there and hang together by those pairs.
+common prefix. Depth adapts to the region: where at most ``LEAF`` documents share a prefix of
+``DEPTH`` minima, all their pairs are candidates (a bounded number per document). A larger region is
+sorted by up to ``MAX_DEPTH`` minima, and each document is paired with its ``NEIGHBOURS`` neighbours
+before it, those with the longest common prefix, however deep that is. Each member of a larger region
+is also paired with the region's most central documents, those that share the most prefixes over all
+trees: the originals that scattered copies were made from. So a region of any size yields a number of
+pairs that is linear in it. The sort is a range shuffle, so no region has to fit in one task.
 
 Candidates are confirmed on full sets, first each document's most promising pair, then only pairs
 that still join two components. Components are computed in a distributed way; nothing about single
@@ -34,9 +35,10 @@ from .common import Scratch, batch, bounded_batches, components, doc_words, fing
 N_HASH = 96
 DEPTH = 4  # minima of the shallowest prefix
 TREES = 24
-MAX_DEPTH = 32  # minima of the deepest prefix
-LEADERS = 2  # central members that every member of a larger group is paired with
-LEAF = 24  # a prefix group of at most so many is compared in full
+MAX_DEPTH = 32  # minima that larger regions are sorted by
+NEIGHBOURS = 5
+LEADERS = 2  # central members that every member of a larger region is paired with
+LEAF = 24  # a region of at most so many is compared in full
 LEAST_ESTIMATE = 0.5  # candidates whose signatures agree in less than this part are no links at 0.75
 PERCENT = 75
 NO_ID = -(1 << 62)  # stands for a null doc_id in joins
@@ -70,17 +72,12 @@ def _signatures(batches):
         yield batch(_SIG, row_id=rows, doc_id=ids, n_shingles=n, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], sig=sigs)
 
 
-def _prefix_keys(sig: np.ndarray, tree: np.ndarray | int, depths: list[int]) -> list[np.ndarray]:
-    """Hashes of the first ``depth`` minima in the tree's order, for each depth (ascending)."""
-    tree = np.broadcast_to(np.asarray(tree), (len(sig),))
-    h = mix64(tree.astype(np.uint64) + np.uint64(1))
-    rows = np.arange(len(sig))
-    out = []
-    for j in range(depths[-1]):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + sig[rows, (tree * DEPTH + j) % N_HASH].astype(np.uint64))
-        if j + 1 in depths:
-            out.append(h)
-    return out
+def _first_key(sig: np.ndarray, tree: int) -> np.ndarray:
+    """Hash of the first DEPTH minima in the tree's order."""
+    h = mix64(np.full(len(sig), tree + 1, np.uint64))
+    for j in range(DEPTH):
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + sig[:, (tree * DEPTH + j) % N_HASH].astype(np.uint64))
+    return h
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -93,19 +90,43 @@ def _first_keys(batches):
         if b.num_rows:
             node, sig = b.column(0).to_numpy(), _matrix(b.column(1))
             for t in range(TREES):
-                yield batch(schema, key=signed(_prefix_keys(sig, t, [DEPTH])[0]), node=node, tree=np.full(len(node), t, np.int32))
+                yield batch(schema, key=signed(_first_key(sig, t)), node=node, tree=np.full(len(node), t, np.int32))
+
+
+_SORTED = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("order", pa.binary())])
 
 
-def _paths(batches):
-    """Keys of the depths DEPTH + 1 .. MAX_DEPTH of the (node, tree, sig) rows that come in."""
-    schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("path", pa.list_(pa.int64()))])
-    depths = list(range(DEPTH + 1, MAX_DEPTH + 1))
+def _orders(batches):
+    """The first MAX_DEPTH minima of each (node, tree, sig) row in its tree's order, as sortable bytes."""
     for b in batches:
         if b.num_rows:
-            node, tree, sig = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2))
-            keys = np.stack([signed(k) for k in _prefix_keys(sig, tree, depths)], axis=1)
-            path = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, len(depths), dtype=np.int32)), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(tree, pa.int32()), path], schema=schema)
+            tree, sig = b.column(1).to_numpy(), _matrix(b.column(2))
+            at = (tree[:, None].astype(np.int64) * DEPTH + np.arange(MAX_DEPTH)) % N_HASH
+            rows = np.take_along_axis(sig, at, 1).astype(">u4")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], schema=_SORTED)
+
+
+def _neighbours(batches):
+    """Pairs of rows that follow each other within NEIGHBOURS places and share DEPTH minima at least."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    node, head = np.empty(0, np.int64), np.empty(0, "S32")
+    for b in batches:
+        if not b.num_rows:
+            continue
+        tree, order = b.column(1).to_pylist(), b.column(2).to_pylist()
+        # trailing zero bytes do not count in numpy's byte strings, so the prefix goes as hex
+        own = np.array([b"%x." % t + o[: 4 * DEPTH].hex().encode() for t, o in zip(tree, order, strict=True)])
+        new = len(node)
+        node, head = np.concatenate([node, b.column(0).to_numpy()]), np.concatenate([head, own])
+        out = []
+        for k in range(1, NEIGHBOURS + 1):
+            i = np.arange(max(new, k), len(node))
+            i = i[head[i] == head[i - k]]
+            out.append(np.stack([np.minimum(node[i], node[i - k]), np.maximum(node[i], node[i - k])], 1))
+        p = np.concatenate(out)
+        p = p[p[:, 0] != p[:, 1]]
+        yield batch(schema, a=p[:, 0], b=p[:, 1])
+        node, head = node[-NEIGHBOURS:], head[-NEIGHBOURS:]
 
 
 def _leaf_pairs(batches):
@@ -126,33 +147,18 @@ def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     met = scratch.write(first.join(n0, "key"), "met")
     scratch.drop("first")
     big = met.where(F.col("n") > LEAF)
-    paths = big.select("node", "tree").join(nodes.select("node", "sig"), "node").select("node", "tree", "sig").mapInArrow(_paths, "node long, tree int, path array<bigint>")
-    paths = scratch.write(paths, "paths")
-    # how deep each path has to be known: coarse steps first, then every depth down to that
-    steps = paths.select("node", "tree", F.explode(F.expr(f"transform(sequence({DEPTH}, {MAX_DEPTH - DEPTH}, {DEPTH}), i -> struct(i as depth, path[i - 1] as key))")).alias("x")).select("node", "tree", "x.*")
-    large = scratch.write(steps.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LEAF).select("key"), "large")
-    known = steps.join(large, "key").groupBy("node", "tree").agg(F.max("depth").alias("known"))
-    known = scratch.write(known, "known")
-    deep = paths.join(known, ["node", "tree"], "left")
-    deep = deep.select("node", "tree", F.posexplode(F.slice("path", 1, F.least(F.coalesce("known", F.lit(0)) + DEPTH, F.lit(MAX_DEPTH - DEPTH)))).alias("depth", "key"))
-    deep = scratch.write(deep, "deep-keys")
-    nd = scratch.write(deep.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "nd")
-    deep = scratch.write(deep.join(nd, "key"), "deep")
-    scratch.drop("deep-keys", "paths", "known")
-    every = deep.select("key", "node", "tree", "depth", "n").unionByName(big.select("key", "node", "tree", F.lit(-1).alias("depth"), "n"))
-    # a leaf is the first depth of a path at which the group is small
-    last = every.where(F.col("n") > LEAF).groupBy("node", "tree").agg(F.max("depth").alias("last"))
-    small = every.where(F.col("n") <= LEAF).join(last, ["node", "tree"]).where(F.col("depth") == F.col("last") + 1).select("key", "node")
-    leaves = met.where(F.col("n") <= LEAF).select("key", "node").union(small)
-    pairs = leaves.groupBy("key").agg(F.collect_list("node").alias("nodes")).select("nodes").mapInArrow(_leaf_pairs, "a long, b long")
-    # the most central members of each larger group: those that share the most prefixes
-    central = every.groupBy("node").agg(F.sum("n").alias("c"))
-    ranked = every.where((F.col("n") > LEAF) & ((F.col("depth") + 1) % DEPTH == 0)).select("key", "node").join(central, "node").select("key", "node", "c")
-    ranked = scratch.write(ranked, "ranked")
+    pairs = met.where(F.col("n") <= LEAF).groupBy("key").agg(F.collect_list("node").alias("nodes")).select("nodes").mapInArrow(_leaf_pairs, "a long, b long")
+    # larger regions: neighbours in the sorted order of each tree
+    order = big.select("node", "tree").join(nodes.select("node", "sig"), "node").select("node", "tree", "sig").mapInArrow(_orders, "node long, tree int, order binary")
+    order = scratch.write(order, "orders")
+    near = order.repartitionByRange("tree", "order").sortWithinPartitions("tree", "order").mapInArrow(_neighbours, "a long, b long")
+    # and the most central members, those that share the most prefixes
+    central = scratch.write(big.groupBy("node").agg(F.sum("n").alias("c")), "central")
+    ranked = scratch.write(big.select("key", "node").join(central, "node"), "ranked")
     leader = scratch.write(ranked.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.max(F.struct("c", (-F.col("node")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader")), "leader")
     star = ranked.join(leader, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    out = scratch.write(pairs.union(star).distinct(), "pairs")
-    scratch.drop("met", "deep", "ranked")
+    out = scratch.write(pairs.union(near).union(star).distinct(), "pairs")
+    scratch.drop("met", "n0", "orders", "central", "ranked", "leader")
     return out
 
 
@@ -246,3 +252,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     scratch.drop("signatures", "classes", "nodes", "wanted", "links1", "comp1", "links2", "comp2", "rows")
     scratch.tidy()
     return out.withColumn("kept", F.expr("doc_id <=> component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents, one of each group: that of the smallest doc_id. Rows without words all stay,
+    since they are linked with nothing. Of rows that share that id and belong to its group, the first
+    by its text stays."""
+    found = near_duplicates(spark, docs, text, doc_id)
+    ids = found.where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
+    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.withColumn("__id", key).join(ids, "__id", "left_semi")
+    again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"))
+    scratch = Scratch(spark, "near-dup-keep")
+    again = scratch.write(again, "again")
+    if again.isEmpty():
+        return kept.select(*cols)
+    # ids that several rows with words share: one row each, without texts in the shuffle of the choice
+    wordy = F.col(text).rlike("[^ \\t-\\r]")
+    rows = scratch.write(kept.join(again, "__id", "left_semi").where(wordy), "shared")
+    first = rows.groupBy("__id").agg(F.min_by(F.struct(*cols), F.struct(F.sha2(F.col(text).cast("binary"), 256), F.xxhash64(*cols))).alias("__r"))
+    rest = kept.join(again, "__id", "left_anti").select(*cols).union(kept.join(again, "__id", "left_semi").where(~F.coalesce(wordy, F.lit(False))).select(*cols))
+    return rest.union(first.select("__r.*"))
