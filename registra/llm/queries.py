@@ -37,12 +37,70 @@ def op3_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("sequence_id", "doc_ids", "starts", "cu_seqlens", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
 
 
+def op4_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(spark, _docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import crc_mod
+    from .langid import predict, train
+
+    docs = _docs(spark, sf_dir)
+    model = train(spark, docs.where(crc_mod("doc_id", 5) != 0))
+    out = predict(spark, docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op6_paragraph_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import repeated_passages
+
+    p = repeated_passages(spark, _docs(spark, sf_dir))
+    return p.select("doc_id", F.col("first").alias("first_byte"), F.col("last").alias("last_byte"), "n_words", "class_id", "copies", "removed")
+
+
+def op7_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import documents_as_media
+
+    r = documents_as_media(spark, _docs(spark, sf_dir))
+    return r.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+
+
+def op8_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hmm import language_model_scores
+
+    return language_model_scores(spark, _docs(spark, sf_dir))
+
+
 def op9_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dup import near_duplicates
 
     return near_duplicates(spark, _docs(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import crc_mod
+    from .toxicity import THRESHOLD, score_texts, train
+
+    docs = _docs(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_mod("doc_id", 3) != 1)
+    model = train(spark, docs, labels)
+    out = score_texts(spark, docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
+def media_page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its ordered sequence of text runs and media references."""
+    from .media import parse_pages
+
+    s = parse_pages(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return s.select("page_id", F.explode("items").alias("i")).select("page_id", "i.position", "i.kind", "i.text", "i.ref", "i.caption")
+
+
 def _quality_sql(source: str = "documents") -> str:
     from .quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
 
@@ -68,12 +126,11 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_shortest_pack_first": op1_shortest_pack_first,
-        "op2_quality_rules": op2_quality_rules,
-        "op3_token_matrix": op3_token_matrix,
-        "op9_minhash_forest": op9_minhash_forest,
-    }
+    found = (
+        op1_shortest_pack_first, op2_quality_rules, op3_token_matrix, op4_pareto_mixing, op5_naive_bayes_language, op6_paragraph_banding,
+        op7_interleaved_media, op8_hidden_markov_scores, op9_minhash_forest, op10_toxic_segments, media_page_sequences,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
