@@ -9,9 +9,10 @@ bound. A word scores its best unit, any other word ``-DRIFT``.
 Every text is scanned whole and in linear time for all maximal segments (a list of candidate segments
 with their left and right cumulative sums; each hit is pushed and merged once). Under the clean
 model, segments of score S turn up about n * exp(-lambda * S) times in n tokens, lambda solving
-E[exp(lambda * s)] = 1 over the clean token scores. Each passage gets this expectation, the document
-the probability of its best passage or a better one under the clean model, and the score is the
-posterior that follows from this probability and the share of toxic documents among the learnt ones.
+E[exp(lambda * s)] = 1 over the clean token scores. Each passage gets this expectation; the document
+gets the chance of its best passages under the clean model, taken together by the Poisson law of such
+segments, and the score is the posterior that follows from this chance and the share of toxic
+documents among the learnt ones.
 
 Defined results: null, empty and wordless texts have no passage and score the prior divided down
 like any clean text; without labels to learn from every score is 0. Several labels of one document
@@ -40,6 +41,7 @@ PRIOR = 0.1  # weight of the pooled counts in the Dirichlet prior
 DRIFT = 0.15
 PREFIXES = (4, 5)
 THRESHOLD = 0.7
+MAX_SEGMENTS = 40  # of a text's passages, so many of the best are weighed together
 EXPECTED = 0.01  # a passage is significant when fewer than so many are expected by chance
 FLUSH = 400_000
 
@@ -106,15 +108,34 @@ class Model:
     def word_score(self, w: str) -> float:
         return max((self.units.get(u, 0.0) for u in units(w)), default=0.0)
 
-    def score(self, n_tokens: int, best: float) -> float:
+    def chance(self, n_tokens: int, scores: list[float]) -> float:
+        """Probability under the clean model of passages like these: for the r best together, that of r
+        or more segments of the r-th score, each r weighted 2 ** -r."""
+        p = 1.0
+        for r, s in enumerate(sorted(scores, reverse=True)[:MAX_SEGMENTS], 1):
+            p = min(p, 2.0**r * poisson_tail(n_tokens * math.exp(-self.lam * s), r))
+        return p
+
+    def score(self, n_tokens: int, scores: list[float]) -> float:
         if not self.units or not 0 < self.prior < 1:
             return 0.0
-        expected = n_tokens * math.exp(-self.lam * best)
-        p = -math.expm1(-expected) if n_tokens and best > 0 else 1.0
-        p = max(p, 1e-12)
+        p = max(self.chance(n_tokens, scores), 1e-12)
         return self.prior / (self.prior + (1 - self.prior) * p)
 
 
+def poisson_tail(mean: float, r: int) -> float:
+    """P(N >= r) for a Poisson count, exact also where it is tiny."""
+    if mean > 50:
+        return 1.0
+    term = math.exp(-mean) * mean**r / math.factorial(r)
+    total, k = term, r
+    while term > total * 1e-16:
+        k += 1
+        term *= mean / k
+        total += term
+    return min(1.0, total)
+
+
 def solve_lambda(scores: np.ndarray, rates: np.ndarray) -> float:
     """The positive root of E[exp(lambda * s)] = 1; rates are the chances of the positive scores,
     the rest of the tokens score -DRIFT."""
@@ -153,7 +174,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
     n = n_t + n_c
     t, c = F.col("t").cast("double"), F.col("c").cast("double")
     a = (t + c) * PRIOR  # pooled counts as the prior
-    odds = F.log((t + a) / (n_t + PRIOR * n - t)) - F.log((c + a) / (n_c + PRIOR * n - c))
+    # less one standard error, so that units of few texts count less
+    odds = F.log((t + a) / (n_t + PRIOR * n - t)) - F.log((c + a) / (n_c + PRIOR * n - c)) - F.sqrt(1 / (t + a) + 1 / (c + a))
     # signed root of the likelihood ratio of the two rates against the pooled rate
     pooled = (t + c) / n
     ratio = 2 * (t * F.log(t / (n_t * pooled)) + F.when(c > 0, c * F.log(c / (n_c * pooled))).otherwise(0.0))
@@ -230,7 +252,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, model: Model, text: str =
             score, size, found = [], [], []
             for t in b.column(b.num_columns - 1).to_pylist():
                 n, segs = passages(t, scores) if model.units else (len(tokens(t)), [])
-                score.append(model.score(n, max((s[2] for s in segs), default=0.0)))
+                score.append(model.score(n, [s[2] for s in segs]))
                 size.append(n)
                 tell = [(a, z, s, n * math.exp(-model.lam * s)) for a, z, s in segs]
                 found.append([dict(zip(("first", "last", "score", "expected"), x, strict=True)) for x in tell if x[3] < EXPECTED])
