@@ -48,10 +48,11 @@ class Scratch:
         self._n = itertools.count()
         self._paths: dict[str, str] = {}
 
-    def write(self, df: DataFrame, label: str) -> DataFrame:
-        """Write and reread; ``label`` only helps to read the folder."""
+    def write(self, df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+        """Write and reread; ``label`` only helps to read the folder. Tables of ids and hashes hardly
+        compress and take the codec that needs least native memory; texts and token ids take zstd."""
         path = f"{self.root}/{next(self._n)}-{label}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[label] = path
         return out

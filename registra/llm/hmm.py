@@ -327,7 +327,7 @@ def language_model_scores(spark: SparkSession, docs: DataFrame, text: str = "tex
     counts = scratch.write(counts, "counts")
     scratch.tidy()
     lex = lexicon(spark, counts)
-    encoded = scratch.write(encode(spark, src, lex), "encoded")
+    encoded = scratch.write(encode(spark, src, lex), "encoded", "zstd")
     # tokens beyond the head: their counts come by a join
     tail = encoded.select("row_id", F.explode("tail").alias("token"))
     tail = tail.join(counts, "token").groupBy("row_id").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("found"))

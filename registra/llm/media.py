@@ -158,7 +158,7 @@ def store_samples(scratch: Scratch, docs: DataFrame, text: str, keep: tuple[str,
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array([hashlib.sha256(r).hexdigest() for r in raw]), pa.array([len(r) for r in raw], pa.int64()), pa.array([to_image(p) for p in padded], pa.binary())], names=schema.names)
 
-    return scratch.write(src.mapInArrow(run, schema), label)
+    return scratch.write(src.mapInArrow(run, schema), label, "zstd")
 
 
 _FEATURES = pa.schema([("digest", pa.string()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])

@@ -169,7 +169,7 @@ def pack(spark: SparkSession, docs: DataFrame, max_len: int = MAX_LEN, paths=Non
     """Tokenise, cut and place ``docs``. ``digest`` adds columns computed from each stored piece."""
     bounded_batches(spark)
     scratch = Scratch(spark, "packing")
-    pieces = scratch.write(tokenize(docs, max_len, paths or default_paths(), text, doc_id), "pieces")
+    pieces = scratch.write(tokenize(docs, max_len, paths or default_paths(), text, doc_id), "pieces", "zstd")
     digest = digest or {}
     extra = {"doc_id": F.col("doc_id"), "doc_tokens": F.col("doc_tokens")} | digest
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most max_len rows
