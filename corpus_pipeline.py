@@ -66,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     before = None
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        docs = scratch.write(stage(spark, docs, sf_dir), name, "zstd")
         if before:
             scratch.drop(before)
         before = name
