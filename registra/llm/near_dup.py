@@ -7,7 +7,7 @@ The forest: every tree reads the signature of ``N_HASH`` minima in its own order
 another place and goes round). Two documents meet in a tree down to the depth of their longest
 common prefix. Depth adapts to the region: where at most ``LEAF`` documents share a prefix of
 ``DEPTH`` minima, all their pairs are candidates (a bounded number per document). A larger region is
-sorted by up to ``MAX_DEPTH`` minima, and each document is paired with its ``NEIGHBOURS`` neighbours
+sorted by whole signatures, and each document is paired with its ``NEIGHBOURS`` neighbours
 before it, those with the longest common prefix, however deep that is. Each member of a larger region
 is also paired with the region's most central documents, those that share the most prefixes over all
 trees: the originals that scattered copies were made from. So a region of any size yields a number of
@@ -35,11 +35,10 @@ from .common import Scratch, batch, bounded_batches, components, doc_words, fing
 N_HASH = 96
 DEPTH = 4  # minima of the shallowest prefix
 TREES = 24
-MAX_DEPTH = 32  # minima that larger regions are sorted by
 NEIGHBOURS = 5
 LEADERS = 2  # central members that every member of a larger region is paired with
 LEAF = 24  # a region of at most so many is compared in full
-LEAST_ESTIMATE = 0.5  # candidates whose signatures agree in less than this part are no links at 0.75
+LEAST_ESTIMATE = 0.56  # candidates whose signatures agree in less than this part are dropped; at a true 0.75 that is over four standard errors below
 PERCENT = 75
 NO_ID = -(1 << 62)  # stands for a null doc_id in joins
 
@@ -93,40 +92,43 @@ def _first_keys(batches):
                 yield batch(schema, key=signed(_first_key(sig, t)), node=node, tree=np.full(len(node), t, np.int32))
 
 
-_SORTED = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("order", pa.binary())])
+_SORTED = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("order", pa.binary()), ("n_shingles", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.int32())])
 
 
 def _orders(batches):
-    """The first MAX_DEPTH minima of each (node, tree, sig) row in its tree's order, as sortable bytes."""
+    """The signature of each (node, tree, sig, n_shingles) row in its tree's order, as sortable bytes."""
     for b in batches:
         if b.num_rows:
             tree, sig = b.column(1).to_numpy(), _matrix(b.column(2))
-            at = (tree[:, None].astype(np.int64) * DEPTH + np.arange(MAX_DEPTH)) % N_HASH
+            at = (tree[:, None].astype(np.int64) * DEPTH + np.arange(N_HASH)) % N_HASH
             rows = np.take_along_axis(sig, at, 1).astype(">u4")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], schema=_SORTED)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in rows], pa.binary()), b.column(3)], schema=_SORTED)
 
 
 def _neighbours(batches):
-    """Pairs of rows that follow each other within NEIGHBOURS places and share DEPTH minima at least."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    node, head = np.empty(0, np.int64), np.empty(0, "S32")
+    """Pairs of rows that follow each other within NEIGHBOURS places, share DEPTH minima at least and
+    pass the estimate, which the rows' whole signatures give at once."""
+    tree, node, size, sig = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, N_HASH), ">u4")
     for b in batches:
         if not b.num_rows:
             continue
-        tree, order = b.column(1).to_pylist(), b.column(2).to_pylist()
-        # trailing zero bytes do not count in numpy's byte strings, so the prefix goes as hex
-        own = np.array([b"%x." % t + o[: 4 * DEPTH].hex().encode() for t, o in zip(tree, order, strict=True)])
         new = len(node)
-        node, head = np.concatenate([node, b.column(0).to_numpy()]), np.concatenate([head, own])
-        out = []
+        node, tree, size = (np.concatenate([old, b.column(k).to_numpy()]) for old, k in ((node, 0), (tree, 1), (size, 3)))
+        sig = np.concatenate([sig, np.frombuffer(b"".join(b.column(2).to_pylist()), ">u4").reshape(-1, N_HASH)])
         for k in range(1, NEIGHBOURS + 1):
             i = np.arange(max(new, k), len(node))
-            i = i[head[i] == head[i - k]]
-            out.append(np.stack([np.minimum(node[i], node[i - k]), np.maximum(node[i], node[i - k])], 1))
-        p = np.concatenate(out)
-        p = p[p[:, 0] != p[:, 1]]
-        yield batch(schema, a=p[:, 0], b=p[:, 1])
-        node, head = node[-NEIGHBOURS:], head[-NEIGHBOURS:]
+            i = i[(tree[i] == tree[i - k]) & (sig[i, :DEPTH] == sig[i - k, :DEPTH]).all(1) & (node[i] != node[i - k])]
+            est = (sig[i] == sig[i - k]).sum(1).astype(np.int32)
+            ok = likely(est, size[i], size[i - k])
+            i, est = i[ok], est[ok]
+            yield batch(_PAIRS, a=np.minimum(node[i], node[i - k]), b=np.maximum(node[i], node[i - k]), est=est)
+        node, tree, size, sig = (x[-NEIGHBOURS:] for x in (node, tree, size, sig))
+
+
+def likely(est: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Can two sets of these sizes, whose signatures agree in ``est`` minima, be linked."""
+    return (est >= LEAST_ESTIMATE * N_HASH) & (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb))
 
 
 def _leaf_pairs(batches):
@@ -138,8 +140,9 @@ def _leaf_pairs(batches):
             yield batch(schema, a=p[:, 0], b=p[:, 1])
 
 
-def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a < b) of ``nodes`` (node, sig)."""
+def candidates(scratch: Scratch, nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate pairs (a < b) of ``nodes`` (node, sig): those of small regions and with central members,
+    those of neighbours in larger regions, and the nodes of larger regions."""
     first = scratch.write(nodes.select("node", "sig").mapInArrow(_first_keys, "key long, node long, tree int"), "first")
     # counts are written before they are joined back, so that a key with many rows is a skewed join
     # that adaptive execution splits
@@ -149,28 +152,25 @@ def candidates(scratch: Scratch, nodes: DataFrame) -> DataFrame:
     big = met.where(F.col("n") > LEAF)
     pairs = met.where(F.col("n") <= LEAF).groupBy("key").agg(F.collect_list("node").alias("nodes")).select("nodes").mapInArrow(_leaf_pairs, "a long, b long")
     # larger regions: neighbours in the sorted order of each tree
-    order = big.select("node", "tree").join(nodes.select("node", "sig"), "node").select("node", "tree", "sig").mapInArrow(_orders, "node long, tree int, order binary")
+    order = big.select("node", "tree").join(nodes.select("node", "sig", "n_shingles"), "node").select("node", "tree", "sig", "n_shingles").mapInArrow(_orders, "node long, tree int, order binary, n_shingles long")
     order = scratch.write(order, "orders")
-    near = order.repartitionByRange("tree", "order").sortWithinPartitions("tree", "order").mapInArrow(_neighbours, "a long, b long")
+    near = scratch.write(order.repartitionByRange("tree", "order").sortWithinPartitions("tree", "order").mapInArrow(_neighbours, "a long, b long, est int").distinct(), "neighbours")
     # and the most central members, those that share the most prefixes
     central = scratch.write(big.groupBy("node").agg(F.sum("n").alias("c")), "central")
     ranked = scratch.write(big.select("key", "node").join(central, "node"), "ranked")
     leader = scratch.write(ranked.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.max(F.struct("c", (-F.col("node")).alias("m"))).alias("x")).select("key", (-F.col("x.m")).alias("leader")), "leader")
     star = ranked.join(leader, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    out = scratch.write(pairs.union(near).union(star).distinct(), "pairs")
-    scratch.drop("met", "n0", "orders", "central", "ranked", "leader")
-    return out
+    out = scratch.write(pairs.union(star).distinct(), "pairs")
+    scratch.drop("met", "n0", "orders", "ranked", "leader")
+    return out, near, central.select("node")
 
 
 def _estimate(batches):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("est", pa.int32())])
     for b in batches:
         if b.num_rows:
-            x, y = _matrix(b.column(2)), _matrix(b.column(3))
-            na, nb = b.column(4).to_numpy(), b.column(5).to_numpy()
-            est = (x == y).sum(1).astype(np.int32)
-            ok = (est >= LEAST_ESTIMATE * N_HASH) & (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb))
-            yield batch(schema, a=b.column(0).to_numpy()[ok], b=b.column(1).to_numpy()[ok], est=est[ok])
+            est = (_matrix(b.column(2)) == _matrix(b.column(3))).sum(1).astype(np.int32)
+            ok = likely(est, b.column(4).to_numpy(), b.column(5).to_numpy())
+            yield batch(_PAIRS, a=b.column(0).to_numpy()[ok], b=b.column(1).to_numpy()[ok], est=est[ok])
 
 
 def _sets(batches):
@@ -199,6 +199,25 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return with_b.select("a", "b", "sa", "sb").mapInArrow(_confirm, "a long, b long")
 
 
+def pairs_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b")
+
+
+def estimate(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
+    """(a, b, est): the pairs whose signatures and set sizes allow a link, and how many minima agree."""
+    s = nodes.select("node", "sig", "n_shingles")
+    x = pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na")), "a")
+    x = x.join(s.select(F.col("node").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb")), "b")
+    return scratch.write(x.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_estimate, "a long, b long, est int"), label)
+
+
+def crossing(scratch: Scratch, pairs: DataFrame, comp: DataFrame, label: str) -> DataFrame:
+    """The pairs that join two components as they are known so far."""
+    half = pairs.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").select("b", "a", F.coalesce("ca", "a").alias("ca"))
+    whole = half.join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
+    return scratch.write(whole.where(F.col("ca") != F.coalesce("cb", "b")).select("a", "b"), f"crossing-{label}")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     bounded_batches(spark)
@@ -209,36 +228,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     classes = scratch.write(full.groupBy("fp1", "fp2").agg(F.min("row_id").alias("node")), "classes")
     nodes = full.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").withColumnRenamed("row_id", "node")
     nodes = scratch.write(nodes, "nodes")
-    pairs = candidates(scratch, nodes)
-    s = nodes.select("node", "sig", "n_shingles")
-    est = pairs.join(s.select(F.col("node").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na")), "a")
-    est = est.join(s.select(F.col("node").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb")), "b")
-    est = scratch.write(est.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(_estimate, "a long, b long, est int"), "estimates")
+    pairs, near, dense = candidates(scratch, nodes)
+    est = estimate(scratch, pairs, nodes, "estimates1")
     scratch.drop("pairs")
     scratch.tidy()
 
-    ends = est.select(F.col("a").alias("node")).union(est.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.select("node", "doc_id", "fp1", "fp2").join(ends, "node", "left_semi")
+    # full sets of all nodes in question, from the texts
+    ends = est.select(F.col("a").alias("node")).union(est.select(F.col("b").alias("node"))).union(dense).distinct()
+    wanted = nodes.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "fp1", "fp2").join(ends, "node", "left_semi")
     wanted = scratch.write(wanted, "wanted")
-    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")).join(wanted.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets, "fp1 long, fp2 long, doc_id long, set binary")
-    sets = sets.join(wanted.select("node", "fp1", "fp2", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")), ["fp1", "fp2", "doc_id"]).select("node", "set")
-    sets = scratch.write(sets, "sets")
+    sets = scratch.write(sets.join(wanted, ["fp1", "fp2", "doc_id"]).select("node", "set"), "sets")
     scratch.tidy()
 
     # first each document's most promising pair, then what still joins two components
     ways = est.select(F.col("a").alias("x"), F.col("b").alias("y"), "est").union(est.select(F.col("b").alias("x"), F.col("a").alias("y"), "est"))
     best = ways.groupBy("x").agg(F.max(F.struct("est", (-F.col("y")).alias("m"))).alias("w")).select("x", (-F.col("w.m")).alias("y"))
-    best = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    best = scratch.write(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "best")
     links = scratch.write(confirm(best, sets), "links1")
     comp = scratch.write(components(scratch, links, "cc1"), "comp1")
-    left = est.join(best, ["a", "b"], "left_anti").select("a", "b")
-    left = left.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
-    left = scratch.write(left, "left-a")
-    left = left.join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
-    left = left.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = scratch.write(confirm(left, sets), "links2")
-    scratch.drop("sets", "left-a", "estimates")
+    near = crossing(scratch, pairs_of(near).join(pairs_of(est), ["a", "b"], "left_anti"), comp, "near")
+    left = crossing(scratch, pairs_of(est).join(best, ["a", "b"], "left_anti"), comp, "rest")
+    more = scratch.write(confirm(left.union(near), sets), "links2")
+    scratch.drop("sets", "estimates1", "best", "neighbours", "central", "crossing-near", "crossing-rest")
     comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc2"), "comp2")
 
     # rows -> class -> component -> smallest doc_id
