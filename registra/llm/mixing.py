@@ -7,7 +7,8 @@ broken part p is its inclusion probability in a Pareto order sample. Documents a
 (u / (1 - u)) / (p / (1 - p)), u being a hash of the id, and taken from the front until the source's
 rest is filled. As sizes differ, the sample's size is fixed in words: the front ends before the
 document that would pass the rest, and a few further rounds fill what is left with the next ranked
-documents that still fit.
+documents that still fit. What is left after ``SINGLE_ROUNDS`` rounds (a source whose words are mostly
+in documents longer than its rest) goes to further copies of those that fit, in the same order.
 
 Ranking does not gather a source in one task: ranks are cut into buckets by value, the buckets'
 sums give where a source's front ends, and only documents of that one bucket are ordered by window.
@@ -29,6 +30,7 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 #: Documents of one source and bucket, about; a source's last bucket is ordered in one task.
 DOCS_PER_BUCKET = 2_000
+SINGLE_ROUNDS = 3  # then documents may be taken again, up to MAX_COPIES times
 ROUNDS = 6
 SEED = 20_240_117
 
@@ -60,7 +62,7 @@ def source_targets(scratch: Scratch, sized: DataFrame, weights=WEIGHTS, max_copi
 
 
 def mix(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weights=WEIGHTS, max_copies: int = MAX_COPIES, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: row_id, doc_id, size, source_size, target, copies, taken and the kept columns.
+    """One row per document: row_id, doc_id, source, size, source_size, target, copies, taken and the kept columns.
 
     ``row_id`` numbers the rows of the written table of sizes, so repeated rows stay apart. Columns
     named in ``keep`` ride along; texts should not be among them (join them back by key)."""
@@ -82,32 +84,35 @@ def mix(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str =
     d = scratch.write(d, "ranked")
     # words that are still to be taken, by source
     rest = scratch.write(targets.select("source", (F.col("target") - F.col("source_size") * F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) + 1e-12)).alias("rest")), "rest0")
-    taken = None
+    taken = scratch.write(d.limit(0).select("row_id", F.lit(0).cast("long").alias("times")), "taken0")
+    again = False
     for k in range(ROUNDS):
-        left = d.where("size > 0 and p > 0")
-        if taken is not None:
-            left = left.join(taken.select("row_id"), "row_id", "left_anti")
+        left = d.where("size > 0 and p > 0").join(taken, "row_id", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+        left = left.where(F.col("sure") + F.col("times") < max_copies) if again else left.where("times = 0")
         fit = _by_source(left.select("row_id", "doc_id", "source", "size", "rank", "bucket"), rest).where("size <= rest")
-        sums = scratch.write(fit.groupBy("source", "bucket").agg(F.sum("size").alias("words")), f"sums{k}")
-        # where the front ends: full buckets, then one that is taken in part
-        run = Window.partitionBy("source").orderBy("bucket")
-        ends = _by_source(sums.withColumn("through", F.sum("words").over(run)), rest)
-        state = ends.select("source", "bucket", (F.col("through") <= F.col("rest")).alias("whole"), (F.col("rest") - F.col("through") + F.col("words")).alias("room")).where("room > 0")
+        fit = scratch.write(fit.select("row_id", "doc_id", "source", "size", "rank", "bucket"), f"fit{k}")
+        # where the front ends: whole buckets, then one that is taken in part
+        sums = fit.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+        ends = _by_source(sums.withColumn("through", F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))), rest)
+        state = ends.select(F.col("source").alias("s2"), F.col("bucket").alias("b2"), (F.col("through") <= F.col("rest")).alias("whole"), (F.col("rest") - F.col("through") + F.col("words")).alias("room")).where("room > 0")
         state = scratch.write(state, f"state{k}")
-        hit = fit.join(state.withColumnRenamed("source", "s2").withColumnRenamed("bucket", "b2"), F.expr("source <=> s2 and bucket = b2")).select("row_id", "doc_id", "source", "size", "rank", "whole", "room")
+        hit = fit.join(state, F.expr("source <=> s2 and bucket = b2")).select("row_id", "doc_id", "source", "size", "rank", "whole", "room")
         part = hit.where("not whole").withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("rank", "doc_id", "size", "row_id").rowsBetween(Window.unboundedPreceding, 0))).where("upto <= room")
-        new = hit.where("whole").select("row_id", "source", "size").union(part.select("row_id", "source", "size"))
-        new = scratch.write(new, f"new{k}")
-        got = new.groupBy("source").agg(F.sum("size").alias("got"))
-        rest2 = rest.join(got.withColumnRenamed("source", "s2"), F.expr("source <=> s2"), "left").select("source", (F.col("rest") - F.coalesce("got", F.lit(0))).alias("rest"))
-        rest = scratch.write(rest2, f"rest{k + 1}")
-        taken = new.select("row_id") if taken is None else taken.select("row_id").union(new.select("row_id"))
-        scratch.drop(f"sums{k}", f"state{k}", f"rest{k}")
-    more = taken.withColumn("more", F.lit(1)).groupBy("row_id").agg(F.max("more").alias("more"))
-    out = d.join(more, "row_id", "left").withColumn("copies", (F.col("sure") + F.coalesce("more", F.lit(0))).cast("long"))
-    out = out.select("row_id", "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *keep)
+        new = scratch.write(hit.where("whole").select("row_id", "source", "size").union(part.select("row_id", "source", "size")), f"new{k}")
+        scratch.drop(f"fit{k}", f"state{k}")
+        if new.isEmpty():
+            if again:
+                break
+            again = True
+            continue
+        got = new.groupBy(F.col("source").alias("s2")).agg(F.sum("size").alias("got"))
+        rest = scratch.write(rest.join(got, F.expr("source <=> s2"), "left").select("source", (F.col("rest") - F.coalesce("got", F.lit(0))).alias("rest")), f"rest{k + 1}")
+        taken = scratch.write(taken.unionByName(new.select("row_id", F.lit(1).cast("long").alias("times"))).groupBy("row_id").agg(F.sum("times").alias("times")), f"taken{k + 1}")
+        again = again or k + 1 >= SINGLE_ROUNDS
+    out = d.join(taken, "row_id", "left").withColumn("copies", (F.col("sure") + F.coalesce("times", F.lit(0))).cast("long"))
+    out = out.select("row_id", "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *keep)
     out = scratch.write(out, "result")
-    scratch.drop("sizes", "targets", "ranked", *[f"new{k}" for k in range(ROUNDS)], f"rest{ROUNDS}")
+    scratch.drop("sizes", "targets", "ranked", *[f"{x}{k}" for k in range(ROUNDS + 1) for x in ("new", "rest", "taken")])
     return out
 
 
@@ -122,7 +127,7 @@ def apply_mix(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id:
     """The documents with the input's columns, each as many times as the mix takes it; rows that
     share id, source and size are told apart by their number only, so any of them may stand for another."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    mixed = mix(spark, docs, text, doc_id, source, keep=("source",) if source == "source" else ())
+    mixed = mix(spark, docs, text, doc_id, source)
     key = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(source), F.lit("")), F.col(doc_id).isNull(), F.col(source).isNull(), word_count(F.col(text))]
     names = ["__a", "__b", "__c", "__d", "__e"]
     d = docs.withColumns(dict(zip(names, key, strict=True)))
