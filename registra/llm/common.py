@@ -6,6 +6,7 @@ that set). Lower-casing touches A-Z only, as ``bytes.lower()`` does.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import os
 import tempfile
@@ -29,6 +30,19 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def bloom_joins(spark: SparkSession):
+    """Let Spark filter the large side of a shuffled join by its own Bloom filter (of bounded size) over
+    the small side at any input size, so that texts nobody asks for are not shuffled."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1MB")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written to the shared folder that ``spark.checkpoint.dir`` names.
 

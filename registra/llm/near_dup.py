@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, bounded_batches, components, doc_words, fingerprint, hash_words, minhash, mix64, shingle_hashes, signed
+from .common import Scratch, batch, bloom_joins, bounded_batches, components, doc_words, fingerprint, hash_words, minhash, mix64, shingle_hashes, signed
 
 N_HASH = 96
 DEPTH = 4  # minima of the shallowest prefix
@@ -237,9 +237,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     ends = est.select(F.col("a").alias("node")).union(est.select(F.col("b").alias("node"))).union(dense).distinct()
     wanted = nodes.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "fp1", "fp2").join(ends, "node", "left_semi")
     wanted = scratch.write(wanted, "wanted")
-    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = scratch.write(wanted.select("doc_id").distinct(), "ids")
+    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")).join(ids.where(F.col("doc_id") >= NO_ID), "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets, "fp1 long, fp2 long, doc_id long, set binary")
-    sets = scratch.write(sets.join(wanted, ["fp1", "fp2", "doc_id"]).select("node", "set"), "sets")
+    with bloom_joins(spark):
+        sets = scratch.write(sets.join(wanted, ["fp1", "fp2", "doc_id"]).select("node", "set"), "sets")
     scratch.tidy()
 
     # first each document's most promising pair, then what still joins two components
@@ -251,7 +253,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     near = crossing(scratch, pairs_of(near).join(pairs_of(est), ["a", "b"], "left_anti"), comp, "near")
     left = crossing(scratch, pairs_of(est).join(best, ["a", "b"], "left_anti"), comp, "rest")
     more = scratch.write(confirm(left.union(near), sets), "links2")
-    scratch.drop("sets", "estimates1", "best", "neighbours", "central", "crossing-near", "crossing-rest")
+    scratch.drop("sets", "estimates1", "best", "ids", "neighbours", "central", "crossing-near", "crossing-rest")
     comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc2"), "comp2")
 
     # rows -> class -> component -> smallest doc_id
