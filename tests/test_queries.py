@@ -3,6 +3,8 @@
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from registra.queries import QUERIES
@@ -24,9 +26,10 @@ def duck():
 
 def plain(df):
     def value(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return "null"
-        return f"{v:.9g}" if isinstance(v, float) else str(v)
+        number = isinstance(v, (int, float, np.number)) and not isinstance(v, (bool, np.bool_))
+        return f"{float(v):.9g}" if number else str(v)
 
     cols = sorted(df.columns)
     return cols, sorted(tuple(value(v) for v in row) for row in df[cols].itertuples(index=False))
