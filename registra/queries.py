@@ -281,13 +281,17 @@ def dynamic_columns(spark, sf):
 # ordered sequences
 
 
-def doc_lines(spark, sf) -> DataFrame:
-    """Document lines with layout features derived from their text, in place of a decoded PDF."""
+def doc_lines(spark, sf, large: float = 13.5) -> DataFrame:
+    """Document lines with layout features derived from their text, in place of a decoded PDF.
+
+    A line's features are bound once outside the loop over its words: inlined they would be computed
+    anew for every word."""
     x = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "text"))
     w = F.filter(F.split("text", " "), lambda v: v != "")
     x = x.withColumn("ws", w).where(F.size("ws") > 0).withColumn("len", F.length("text"))
-    bold, size, x0 = F.col("len") % 3 == 0, F.when(F.col("len") % 5 == 0, 10.0).when(F.col("len") % 7 == 0, 13.5).otherwise(11.0), F.when(F.col("len") % 2 == 0, 60.0).otherwise(220.0)
-    words = F.transform("ws", lambda v, k: F.struct((F.col("x0") + k * 40.0).alias("x0"), F.lit(0.0).alias("top"), F.lit(0).alias("seq"), (F.col("x0") + k * 40.0 + 36.0).alias("x1"), v.alias("text"), F.col("bold").alias("bold"), F.col("size").alias("size")))
+    bold, size, x0 = F.col("len") % 3 == 0, F.when(F.col("len") % 5 == 0, 10.0).when(F.col("len") % 7 == 0, large).otherwise(11.0), F.when(F.col("len") % 2 == 0, 60.0).otherwise(220.0)
+    word = lambda s, v, k: F.struct((s["x0"] + k * 40.0).alias("x0"), F.lit(0.0).alias("top"), F.lit(0).alias("seq"), (s["x0"] + k * 40.0 + 36.0).alias("x1"), v.alias("text"), s["bold"].alias("bold"), s["size"].alias("size"))
+    words = F.transform(F.array(F.struct("x0", "bold", "size")), lambda s: F.transform("ws", lambda v, k: word(s, v, k)))[0]
     x = x.withColumn("bold", bold).withColumn("size", size.cast("double")).withColumn("x0", x0.cast("double"))
     return x.select(F.col("doc_id").cast("string").alias("doc_id"), (F.col("no") + 1 >= 3).cast("int").alias("page"), (F.col("no") + 1).alias("line_no"), words.alias("words"), F.array_join("ws", " ").alias("text"), (F.col("no") * 14.0).alias("top"), "x0", "bold", "size")
 
@@ -406,7 +410,7 @@ e AS (SELECT *, NOT s1 AND NOT has_field AND n_left > 0 AND n_right = 0 AND NOT
 f AS (SELECT *, like3 AND NOT coalesce(bool_or(like3) OVER (PARTITION BY doc_id, pid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS s3, NOT s1 AND left_bold AND (gap IS NULL OR gap > 20 OR NOT has_field) AS s4 FROM e)
 SELECT doc_id, line_no, CASE WHEN s1 THEN 'S1' WHEN pid = 0 THEN 'remainder' WHEN s3 THEN 'S3' WHEN s4 THEN CASE WHEN n_right > 0 AND bold THEN 'S4 header' ELSE 'S4' END WHEN NOT has_field THEN 'remainder' WHEN NOT left_bold AND n_left > 0 THEN 'remainder' ELSE 'S5' END AS rule, pid::BIGINT AS person_id FROM f""")
 def form_fields(spark, sf):
-    x = doc_lines(spark, sf).withColumn("words", F.transform("words", lambda w: w.withField("size", F.when(F.col("size") == 13.5, 14.0).otherwise(F.col("size"))))).withColumn("size", F.when(F.col("size") == 13.5, 14.0).otherwise(F.col("size")))
+    x = doc_lines(spark, sf, large=14.0)
     c = form_layout.classify(x, lines.form_split(x))
     return c.select(F.col("doc_id").cast("bigint").alias("doc_id"), "line_no", "rule", "person_id")
 
