@@ -5,6 +5,7 @@ driver table whose shape it needs; registers of words, persons and sections are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -16,6 +17,7 @@ from .operators import form_layout, incremental, lines, register_layout
 from .operators import items as I
 from .operators.resolve import name_changes, resolve
 from .plans import candidates, markdown
+from .session import shared_folder
 from .sources import sinks
 from .sources import tables as T
 
@@ -470,10 +472,7 @@ def sink_roundtrip(spark, sf):
     """Rows written as gzipped CSV and JSON Lines and as parquet, read again, and kept where all agree."""
     k = F.col("n_nationkey")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey", F.when(k % 3 != 0, F.concat(F.lit('a|"b"\n'), "n_name")).alias("note"), (k % 2 == 0).alias("flag"))
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/registra-scratch"
-    import uuid
-
-    out = f"{base}/sinks-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/sinks-{uuid.uuid4().hex}"
     sinks.publish(n, out, "nation")
     csv = spark.read.schema(n.schema).option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/nation.csv.gz")
     return spark.read.parquet(f"{out}/nation.parquet").intersect(csv).intersect(spark.read.schema(n.schema).json(f"{out}/nation.jsonl.gz"))

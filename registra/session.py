@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -17,3 +19,13 @@ SETTINGS = {
 def session(name: str = "registra", master: str | None = None, **conf: str) -> SparkSession:
     b = SparkSession.builder.appName(name).config(map=SETTINGS | conf)
     return (b.master(master) if master else b).getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a temporary one only where all run on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="registra-")
