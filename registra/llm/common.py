@@ -6,9 +6,11 @@ that set). Lower-casing touches A-Z only, as ``bytes.lower()`` does.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import functools
 import itertools
-import os
+import shutil
 import tempfile
 import uuid
 import zlib
@@ -43,12 +45,19 @@ def bloom_joins(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+@functools.cache
+def _local_folder() -> str:
+    path = tempfile.mkdtemp(prefix="registra-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 class Scratch:
     """Tables written to the shared folder that ``spark.checkpoint.dir`` names.
 
     They cut lineage: once written, a lost executor costs no recomputation. ``drop`` removes one as
     soon as no later plan reads it. Where the setting is absent (tests on one machine) a temporary
-    folder is used and set, so that checkpoints go there as well.
+    folder is used, which goes when the process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -57,7 +66,7 @@ class Scratch:
         if not base:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            base = os.path.join(tempfile.gettempdir(), "registra-scratch")
+            base = _local_folder()
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._n = itertools.count()
         self._paths: dict[str, str] = {}
