@@ -184,35 +184,47 @@ def expected(chain: Chain, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     n, t = x.shape
     emit = np.vstack([chain.emit, np.ones(STATES)]).astype(np.float32)  # row -1: nothing is emitted
     move = chain.move.astype(np.float32)
+    back = np.ascontiguousarray(move.T)
+    x = np.ascontiguousarray(x.T)
     live = x >= 0
+    whole = live.all(axis=1)  # steps at which no segment is over: the usual case needs no masks
     e = emit[x]
     alpha = np.empty((t, n, STATES), np.float32)
-    scale = np.ones((t, n), np.float32)
-    a = chain.start.astype(np.float32) * e[:, 0]
+    scale = np.ones((t, n, 1), np.float32)
     for k in range(t):
-        if k:
-            a = (alpha[k - 1] @ move) * e[:, k]
-            a = np.where(live[:, k, None], a, alpha[k - 1])
-        c = np.where(live[:, k], a.sum(1), 1)
-        scale[k] = np.maximum(c, 1e-30)
-        a = a / scale[k][:, None]
-        alpha[k] = a
+        a = (alpha[k - 1] @ move if k else chain.start.astype(np.float32)) * e[k]
+        c = a @ _ONES
+        if not whole[k]:
+            mask = live[k][:, None]
+            c = np.where(mask, c, 1)
+            a = np.where(mask, a, alpha[k - 1] if k else a)
+        np.maximum(c, 1e-30, out=c)
+        scale[k] = c
+        np.divide(a, c, out=alpha[k])
     moves = np.zeros((STATES, STATES))
-    emitted = np.zeros((SYMBOLS + 1, STATES))
+    gamma = np.empty((t, n, STATES), np.float32)
     beta = np.ones((n, STATES), np.float32)
     for k in range(t - 1, -1, -1):
         g = alpha[k] * beta
-        g /= np.maximum(g.sum(1, keepdims=True), 1e-30)
-        alive = live[:, k]
-        for j in range(STATES):
-            emitted[:, j] += np.bincount(np.where(alive, x[:, k], SYMBOLS), g[:, j], minlength=SYMBOLS + 1)
+        g /= np.maximum(g @ _ONES, 1e-30)
+        gamma[k] = g
         if k:
-            v = np.where(alive[:, None], e[:, k] * beta / scale[k][:, None], 0)
-            moves += (alpha[k - 1].T @ v).astype(float)
-            beta = np.where(alive[:, None], v @ move.T, beta)
-        else:
-            starts = g.sum(0).astype(float)
-    return starts, moves * chain.move, emitted[:SYMBOLS], float(np.log(scale).sum())
+            v = e[k] * beta
+            v /= scale[k]
+            if whole[k]:
+                moves += alpha[k - 1].T @ v
+                beta = v @ back
+            else:
+                mask = live[k][:, None]
+                v = np.where(mask, v, 0)
+                moves += alpha[k - 1].T @ v
+                beta = np.where(mask, v @ back, beta)
+    at = np.where(live, x, SYMBOLS)[:, :, None] * STATES + np.arange(STATES)
+    emitted = np.bincount(at.ravel(), gamma.ravel(), minlength=(SYMBOLS + 1) * STATES).reshape(-1, STATES)
+    return gamma[0].sum(0, dtype=float), moves * chain.move, emitted[:SYMBOLS], float(np.log(scale).sum(dtype=float))
+
+
+_ONES = np.ones((STATES, 1), np.float32)
 
 
 def baum_welch(spark: SparkSession, encoded: DataFrame, chain: Chain, unigram: np.ndarray, rounds: int = ROUNDS) -> tuple[Chain, list[float]]:
