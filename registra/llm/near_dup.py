@@ -42,8 +42,8 @@ LEAST_ESTIMATE = 0.56  # candidates whose signatures agree in less than this par
 PERCENT = 75
 NO_ID = -(1 << 62)  # stands for a null doc_id in joins
 
-_SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
-_SIG_DDL = "row_id long, doc_id long, n_shingles long, fp1 long, fp2 long, sig binary"
+_SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
+_SIG_DDL = "row_id long, doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, sig binary"
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -54,7 +54,7 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 def _signatures(batches):
     for b in batches:
-        rows, ids, texts = (b.column(i).to_pylist() for i in range(3))
+        rows, ids, hashes, texts = (b.column(i).to_pylist() for i in range(4))
         sets = [shingle_set(t) for t in texts]
         n = np.array([len(x) for x in sets], np.int64)
         has = np.flatnonzero(n)
@@ -68,7 +68,7 @@ def _signatures(batches):
                 sigs[k] = m.astype("<u4").tobytes()
             lo = hi
         fps = [fingerprint(x) for x in sets]
-        yield batch(_SIG, row_id=rows, doc_id=ids, n_shingles=n, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], sig=sigs)
+        yield batch(_SIG, row_id=rows, doc_id=ids, text_hash=hashes, n_shingles=n, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], sig=sigs)
 
 
 def _first_key(sig: np.ndarray, tree: int) -> np.ndarray:
@@ -219,14 +219,15 @@ def crossing(scratch: Scratch, pairs: DataFrame, comp: DataFrame, label: str) ->
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
+    """One row per input row: doc_id, n_shingles, component_id, kept; and row_id, text_hash and c, the
+    component's own number, which no two components share whatever their ids."""
     bounded_batches(spark)
     scratch = Scratch(spark, "near-dup")
-    src = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    src = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     sig = scratch.write(src.mapInArrow(_signatures, _SIG_DDL), "signatures")
     full = sig.where("n_shingles > 0")
     classes = scratch.write(full.groupBy("fp1", "fp2").agg(F.min("row_id").alias("node")), "classes")
-    nodes = full.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").withColumnRenamed("row_id", "node")
+    nodes = full.drop("text_hash").join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").withColumnRenamed("row_id", "node")
     nodes = scratch.write(nodes, "nodes")
     pairs, near, dense = candidates(scratch, nodes)
     est = estimate(scratch, pairs, nodes, "estimates1")
@@ -257,12 +258,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc2"), "comp2")
 
     # rows -> class -> component -> smallest doc_id
-    of = full.select("row_id", "doc_id", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("row_id", "doc_id", "n_shingles", "node")
-    of = of.join(comp.withColumnRenamed("comp", "c"), "node", "left").select("row_id", "doc_id", "n_shingles", F.coalesce("c", "node").alias("c"))
+    of = full.select("row_id", "doc_id", "text_hash", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("row_id", "doc_id", "text_hash", "n_shingles", "node")
+    of = of.join(comp.withColumnRenamed("comp", "c"), "node", "left").select("row_id", "doc_id", "text_hash", "n_shingles", F.coalesce("c", "node").alias("c"))
     of = scratch.write(of, "rows")
     least = scratch.write(of.groupBy("c").agg(F.min("doc_id").alias("component_id")), "least")
-    out = of.join(least, "c").select("row_id", "doc_id", "n_shingles", "component_id")
-    out = out.union(sig.where("n_shingles = 0").select("row_id", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    out = of.join(least, "c").select("row_id", "doc_id", "text_hash", "n_shingles", "component_id", "c")
+    out = out.union(sig.where("n_shingles = 0").select("row_id", "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row_id").alias("c")))
     out = scratch.write(out, "result")
     scratch.drop("signatures", "classes", "nodes", "wanted", "links1", "comp1", "links2", "comp2", "rows")
     scratch.tidy()
@@ -270,22 +271,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The documents, one of each group: that of the smallest doc_id. Rows without words all stay,
-    since they are linked with nothing. Of rows that share that id and belong to its group, the first
-    by its text stays."""
+    """The documents, one row of each group, whatever ids they have: that of the smallest doc_id, and of
+    rows that share that id the first by text hash. Rows without words all stay, since they are linked
+    with nothing."""
     found = near_duplicates(spark, docs, text, doc_id)
-    ids = found.where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.withColumn("__id", key).join(ids, "__id", "left_semi")
-    again = found.where("kept and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"))
     scratch = Scratch(spark, "near-dup-keep")
-    again = scratch.write(again, "again")
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")
+    texts = found.where("kept and n_shingles > 0").groupBy("c", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    chosen = scratch.write(texts.groupBy("c").agg(F.min(F.struct("text_hash", "n", "doc_id")).alias("x")).select(F.col("x.doc_id").alias("doc_id"), F.col("x.text_hash").alias("__hash"), F.col("x.n").alias("n")), "chosen")
+    blank = found.where("n_shingles = 0").select("doc_id", F.col("text_hash").alias("__hash"))
+    keys = scratch.write(chosen.select(key, "__hash").union(blank.select(key, "__hash")).distinct(), "keys")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    src = docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))).withColumn("__hash", F.xxhash64(F.col(text)))
+    kept = src.join(keys, ["__id", "__hash"], "left_semi")
+    again = scratch.write(chosen.where("n > 1").select(key, "__hash"), "again")
     if again.isEmpty():
         return kept.select(*cols)
-    # ids that several rows with words share: one row each, without texts in the shuffle of the choice
-    wordy = F.col(text).rlike("[^ \\t-\\r]")
-    rows = scratch.write(kept.join(again, "__id", "left_semi").where(wordy), "shared")
-    first = rows.groupBy("__id").agg(F.min_by(F.struct(*cols), F.struct(F.sha2(F.col(text).cast("binary"), 256), F.xxhash64(*cols))).alias("__r"))
-    rest = kept.join(again, "__id", "left_anti").select(*cols).union(kept.join(again, "__id", "left_semi").where(~F.coalesce(wordy, F.lit(False))).select(*cols))
-    return rest.union(first.select("__r.*"))
+    # rows of one id and one text: the first by all columns, without texts in the shuffle of the choice
+    rows = scratch.write(kept.join(again, ["__id", "__hash"], "left_semi").withColumn("__n", F.monotonically_increasing_id()), "shared", "zstd")
+    order = rows.select("__id", "__hash", "__n", F.xxhash64(*cols).alias("h")).groupBy("__id", "__hash").agg(F.min(F.struct("h", "__n")).alias("x")).select(F.col("x.__n").alias("__n"))
+    return kept.join(again, ["__id", "__hash"], "left_anti").select(*cols).union(rows.join(order, "__n", "left_semi").select(*cols))

@@ -87,6 +87,15 @@ def test_keep_one(spark):
     assert sum(r[0] == 5 for r in out) == 1 and {100, 101, 102} <= {r[0] for r in out}
 
 
+def test_unlinked_rows_of_one_id_stay(spark):
+    rng = random.Random(8)
+    texts = [prose(rng, 80, 5000) for _ in range(5)]
+    rows = [(i, t, "en", "a", 0, "", "") for i, t in zip((None, None, 7, 7, 9), texts, strict=True)]
+    rows += [rows[0], rows[2], (8, texts[3], "en", "a", 0, "", ""), (None, None, "en", "a", 0, "", ""), (None, "", "en", "a", 0, "", "")]
+    out = keep_one(spark, spark.createDataFrame(rows, DDL)).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([*zip((None, None, 7, 7, 9), texts, strict=True), (None, None), (None, "")], key=str)
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, k) for k in range(200, 400)] + [(1, 2), (2, 3), (3, 1), (9, 9)]
     df = spark.createDataFrame(edges, "a long, b long")
