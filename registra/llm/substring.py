@@ -218,10 +218,25 @@ def remove(spark: SparkSession, docs: DataFrame, passages: DataFrame, text: str
     Columns stay as they are; a column n_chars is counted anew where a text changed."""
     bounded_batches(spark)
     cols = docs.columns
-    spans = passages.where("removed").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("text_hash").alias("__hash"), F.struct("first", "last").alias("s"))
-    spans = spans.groupBy("__id", "__hash").agg(F.collect_set("s").alias("__spans"))
+    key = ["__id", "__hash"]
+    mine = passages.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("text_hash").alias("__hash"), "row_id", "removed", F.struct("first", "last").alias("s"))
+    spans = mine.where("removed").groupBy(*key).agg(F.collect_set("s").alias("__spans"))
     src = docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))).withColumn("__hash", F.xxhash64(F.col(text)))
-    joined = src.join(spans, ["__id", "__hash"], "left").drop("__id", "__hash").select(*[F.col(f"`{c}`") for c in cols], "__spans")
+    out = [*[F.col(f"`{c}`") for c in cols], F.col("__spans")]
+    # rows of one id and one text: the first by row_id may hold what the others lose, and all others lose
+    # the same; any one of the equal rows can stand for the first
+    scratch = Scratch(spark, "substring-remove")
+    again = mine.groupBy(*key).agg(F.min("row_id").alias("r"), F.max("row_id").alias("r1")).where("r <> r1").drop("r1")
+    again = scratch.write(again, "again")
+    if again.isEmpty():
+        joined = src.join(spans, key, "left").select(*out)
+    else:
+        first = mine.where("removed").join(again.withColumnRenamed("r", "row_id"), [*key, "row_id"]).groupBy(*key).agg(F.collect_set("s").alias("__spans")).withColumn("__first", F.lit(True))
+        both = scratch.write(spans.join(again, key, "left_semi").withColumn("__first", F.lit(False)).unionByName(first), "both")
+        rows = scratch.write(src.join(again, key, "left_semi").withColumn("__n", F.monotonically_increasing_id()), "rows", "zstd")
+        lead = scratch.write(rows.groupBy(*key).agg(F.min("__n").alias("__n")).select("__n", F.lit(True).alias("__first")), "lead")
+        rows = rows.join(lead, "__n", "left").withColumn("__first", F.coalesce("__first", F.lit(False))).join(both, [*key, "__first"], "left").select(*out)
+        joined = src.join(again, key, "left_anti").join(spans, key, "left").select(*out).union(rows)
     at = cols.index(text)
 
     def run(batches):

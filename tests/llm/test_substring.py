@@ -69,6 +69,15 @@ def test_removal(spark):
     assert removed and all(text.get(r.doc_id) != dict((x[0], x[1]) for x in rows).get(r.doc_id) for r in removed)
 
 
+def test_one_of_equal_rows_keeps_its_text(spark):
+    rng = random.Random(4)
+    texts = [line(rng, 60), line(rng, 45) + "\n" + line(rng, 60)]
+    rows = [(k, t, "en", "a", 0, "", "") for k, t in zip((1, None), texts, strict=True) for _ in range(3)]
+    df = spark.createDataFrame(rows, DDL)
+    out = S.remove(spark, df, S.repeated_passages(spark, df)).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(zip((1, None), texts, strict=True), key=str)
+
+
 def test_awkward_rows(spark):
     df = spark.createDataFrame(awkward(), DDL)
     p = S.repeated_passages(spark, df).collect()
