@@ -10,7 +10,8 @@ exact Jaccard on full shingle sets, and components of the verified pairs are the
 
 A cluster counts when it has paragraphs of at least two documents; a passage is a run of paragraphs
 of such clusters with at least ``PASSAGE_WORDS`` words in all. Of each cluster the first paragraph, by
-document id and place, stays; ``remove`` cuts the others out of the texts.
+document id and place, stays; ``remove`` cuts the others out of the texts. Passages inside lines, or
+across short or edited ones, come from ``passages``, where lines count for nothing.
 
 Defined results: null and empty texts have no paragraphs; a document without a repeated passage has
 no row; a null doc_id is an id of its own, sorted first; repeated rows count as documents of their
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, batch, bounded_batches, components, fingerprint, hash_words, minhash, mix64, shingle_hashes, signed, word_bounds
 from .near_dup import _leaf_pairs, confirm
+from .passages import shared_passages
 
 PERCENT = 75
 LONG_LINE = 128
@@ -138,7 +140,7 @@ def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per paragraph of a repeated passage: doc_id, text_hash, row_id, first and last byte,
+    """One row per paragraph of a repeated passage, or per passage not made of such paragraphs: doc_id, text_hash, row_id, first and last byte,
     n_words, class_id, copies, removed."""
     bounded_batches(spark)
     scratch = Scratch(spark, "substring")
@@ -200,6 +202,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text",
     out = scratch.write(out, "passages")
     scratch.drop("found", "runs", "start")
     scratch.tidy()
+    # what stands inside lines, or across short and edited ones
+    more = shared_passages(scratch, src, keyed, out.where("removed").select("row_id", "first", "last"), PASSAGE_WORDS)
+    out = out.unionByName(more.withColumn("doc_id", F.expr(f"nullif(doc_id, {NO_ID})")))
+    scratch.tidy()
     return out
 
 

@@ -69,6 +69,35 @@ def test_removal(spark):
     assert removed and all(text.get(r.doc_id) != dict((x[0], x[1]) for x in rows).get(r.doc_id) for r in removed)
 
 
+def test_passages_inside_and_across_lines(spark):
+    """Passages of 51 to 100 words in the middle of lines, and of short lines of which one is edited."""
+    rng = random.Random(12)
+    rows, want = [], []
+    for k in range(24):
+        n = (51, 60, 80, 100)[k % 4]
+        inner = line(rng, n)
+        if k % 3 == 2:
+            w = inner.split()
+            inner = "\n".join(" ".join(w[i : i + 15]) for i in range(0, n, 15))
+            w[17] = "edited"
+            other = "\n".join(" ".join(w[i : i + 15]) for i in range(0, n, 15))
+        else:
+            other = inner
+        side = (20, 150)[k % 2]
+        rows += [(2 * k + j, f"{line(rng, side)} {t} {line(rng, side)}", "en", "a", 0, "", "") for j, t in enumerate((inner, other))]
+        want.append((2 * k, 2 * k + 1, other))
+    rows += [(1000 + k, line(rng, 200), "en", "a", 0, "", "") for k in range(10)]
+    df = spark.createDataFrame(rows, DDL)
+    p = S.repeated_passages(spark, df)
+    found = {r.doc_id for r in p.collect()}
+    assert found == {i for a, b, _ in want for i in (a, b)}
+    text = {r.doc_id: r.text for r in S.remove(spark, df, p).collect()}
+    for a, b, t in want:
+        assert text[a] == rows[a][1]
+        assert not set(text[b].split()) >= set(t.split()) and t.split("\n")[0] not in text[b]
+    assert all(text[1000 + k] for k in range(10))
+
+
 def test_one_of_equal_rows_keeps_its_text(spark):
     rng = random.Random(4)
     texts = [line(rng, 60), line(rng, 45) + "\n" + line(rng, 60)]
