@@ -41,7 +41,6 @@ PRIOR = 0.1  # weight of the pooled counts in the Dirichlet prior
 DRIFT = 0.15
 PREFIXES = (4, 5)
 THRESHOLD = 0.7
-MAX_SEGMENTS = 40  # of a text's passages, so many of the best are weighed together
 EXPECTED = 0.01  # a passage is significant when fewer than so many are expected by chance
 FLUSH = 400_000
 
@@ -111,10 +110,14 @@ class Model:
     def chance(self, n_tokens: int, scores: list[float]) -> float:
         """Probability under the clean model of passages like these: for the r best together, that of r
         or more segments of the r-th score, each r weighted 2 ** -r."""
-        p = 1.0
-        for r, s in enumerate(sorted(scores, reverse=True)[:MAX_SEGMENTS], 1):
-            p = min(p, 2.0**r * poisson_tail(n_tokens * math.exp(-self.lam * s), r))
-        return p
+        p = 0.0
+        for r, s in enumerate(sorted(scores, reverse=True), 1):
+            mean = n_tokens * math.exp(-self.lam * s)
+            if mean < r:  # else the tail is over 1/4 and from r = 2 on no evidence at its weight
+                p = min(p, r * math.log(2) + log_poisson_tail(mean, r))
+            elif r == 1:
+                p = min(p, math.log(2) + math.log(poisson_tail(mean, r)))
+        return math.exp(p)
 
     def score(self, n_tokens: int, scores: list[float]) -> float:
         if not self.units or not 0 < self.prior < 1:
@@ -123,17 +126,31 @@ class Model:
         return self.prior / (self.prior + (1 - self.prior) * p)
 
 
-def poisson_tail(mean: float, r: int) -> float:
-    """P(N >= r) for a Poisson count, exact also where it is tiny."""
-    if mean > 50:
-        return 1.0
-    term = math.exp(-mean) * mean**r / math.factorial(r)
-    total, k = term, r
+def log_poisson_tail(mean: float, r: int) -> float:
+    """log P(N >= r) for a Poisson count, exact also where it is tiny."""
+    if mean <= 0:
+        return -math.inf if r > 0 else 0.0
+    if r <= mean:  # by the other side, which is then the smaller or a like one
+        first = (r - 1) * math.log(mean) - mean - math.lgamma(r) if r > 0 else -math.inf
+        term = total = 1.0
+        for k in range(r - 1, 0, -1):
+            term *= k / mean
+            total += term
+            if term < total * 1e-16:
+                break
+        return math.log1p(-min(math.exp(first) * total, 1 - 1e-16))
+    term = total = 1.0
+    k = r
     while term > total * 1e-16:
         k += 1
         term *= mean / k
         total += term
-    return min(1.0, total)
+    return min(0.0, r * math.log(mean) - mean - math.lgamma(r + 1) + math.log(total))
+
+
+def poisson_tail(mean: float, r: int) -> float:
+    """P(N >= r) for a Poisson count."""
+    return math.exp(log_poisson_tail(mean, r))
 
 
 def solve_lambda(scores: np.ndarray, rates: np.ndarray) -> float:

@@ -112,6 +112,13 @@ def test_toxic_texts(spark):
     assert toxicity.score_texts(spark, df.limit(0), model).count() == 0
 
 
+def test_many_weak_passages_are_evidence():
+    model = toxicity.Model({"x": 1.0}, 1.0, 0.1)
+    scores = [math.log(400)] * 500  # 100 expected by chance in 40,000 tokens
+    assert model.chance(40_000, scores) < 1e-6 and model.chance(40_000, scores[:100]) == 1.0
+    assert math.isclose(toxicity.poisson_tail(100.0, 100), 0.5133, abs_tol=1e-3)
+
+
 def test_poisson_tail():
     for mean in (0.001, 0.5, 3.0):
         for r in (1, 2, 5):
