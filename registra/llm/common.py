@@ -16,6 +16,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +33,84 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+#: Spark's own Bloom filter over the small side of a join, at any input size: 8 MB at most, whatever it holds.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+}
+LEAST_LONG = -(1 << 63)
+
+
 @contextlib.contextmanager
-def bloom_joins(spark: SparkSession):
-    """Let Spark filter the large side of a shuffled join by its own Bloom filter (of bounded size) over
-    the small side at any input size, so that texts nobody asks for are not shuffled."""
-    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "1MB")
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings that hold inside the block only."""
+    before = {k: spark.conf.get(k) for k in conf}
     try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def selective(rows: DataFrame, key: str) -> DataFrame:
+    """All rows with a key (a long): the comparison lets Spark take the side for a Bloom filter."""
+    return rows.where(F.col(key) >= LEAST_LONG)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where a column of ``df`` has one of them already."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
+def rows_by_text(spark: SparkSession, docs: DataFrame, want: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id, t1, t2, text) with the doc_id and text hashes of ``want`` and its other
+    columns. Texts that nobody asks for are not shuffled when this is written with ``bloom``. A row
+    without a doc_id is looked up by the hashes alone."""
+    known = docs.join(selective(want, "doc_id"), ["doc_id", "t1", "t2"])
+    null = docs.where("doc_id is null").join(selective(want.where("doc_id is null").drop("doc_id"), "t1"), ["t1", "t2"])
+    return known.unionByName(null)
+
+
+class KeyFilter:
+    """A bitmap of hashed keys (longs): ``maybe`` is true for every one of them and for few others.
+
+    Rows of which it is false pass a join with the keys untouched, without a shuffle. The bitmap has
+    about 32 bits a key and at most ``MOST`` bits (8 MB), so beyond two million keys it lets more rows
+    through to the join, which stays exact."""
+
+    MOST = 1 << 26
+
+    def __init__(self, spark: SparkSession, keys: DataFrame, key: str):
+        n = keys.count()
+        bits = 1 << 16
+        while bits < 32 * n and bits < self.MOST:
+            bits *= 2
+        at = keys.select(F.pmod(F.col(key), F.lit(bits)).alias("b")).select(F.shiftright("b", 5).alias("w"), F.expr("shiftleft(1L, cast(b % 32 as int))").alias("m"))
+        rows = at.groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()  # at most MOST / 32 pairs
+        table = np.zeros(bits // 32, np.uint32)
+        table[rows.column(0).to_numpy()] = rows.column(1).to_numpy().astype(np.uint32)
+        shared = spark.sparkContext.broadcast(table)
+
+        @F.pandas_udf("boolean")
+        def maybe(k: pd.Series) -> pd.Series:
+            b = np.mod(k.to_numpy(np.int64), bits)
+            return pd.Series((shared.value[b >> 5] >> (b & 31).astype(np.uint32)) & 1 == 1)
+
+        self._maybe = maybe
+
+    def maybe(self, key: str):
+        return self._maybe(F.col(key))
 
 
 @functools.cache
@@ -52,6 +120,22 @@ def _local_folder() -> str:
     return path
 
 
+_open: list[list] = []
+
+
+@contextlib.contextmanager
+def scratch_scope():
+    """Scratch folders made inside the block are removed at its end."""
+    made: list[Scratch] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.remove(made)
+        for s in made:
+            s.close()
+
+
 class Scratch:
     """Tables written to the shared folder that ``spark.checkpoint.dir`` names.
 
@@ -68,14 +152,18 @@ class Scratch:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = _local_folder()
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        for made in _open:
+            made.append(self)
         self._n = itertools.count()
         self._paths: dict[str, str] = {}
 
-    def write(self, df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+    def write(self, df: DataFrame, label: str, codec: str = "snappy", bloom: bool = False) -> DataFrame:
         """Write and reread; ``label`` only helps to read the folder. Tables of ids and hashes hardly
-        compress and take the codec that needs least native memory; texts and token ids take zstd."""
+        compress and take the codec that needs least native memory; texts and token ids take zstd.
+        With ``bloom`` Spark filters the large side of shuffled joins by what the other side holds."""
         path = f"{self.root}/{next(self._n)}-{label}"
-        df.write.option("compression", codec).parquet(path)
+        with settings(self.spark, BLOOM if bloom else {}):
+            df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[label] = path
         return out
@@ -88,6 +176,12 @@ class Scratch:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
+    def close(self) -> None:
+        """Remove the whole folder; tables given out by ``write`` can no longer be read."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self._paths.clear()
+
     def tidy(self) -> None:
         """Let Spark's cleaner remove shuffle files that no live plan needs."""
         import gc

@@ -14,13 +14,16 @@ trees: the originals that scattered copies were made from. So a region of any si
 pairs that is linear in it. The sort is a range shuffle, so no region has to fit in one task.
 
 Candidates are confirmed on full sets, first each document's most promising pair, then only pairs
-that still join two components. Components are computed in a distributed way; nothing about single
-documents reaches the driver.
+that still join two components. Members of larger regions that are then still apart are compared by an
+exact way (``rare_pairs``): two sets at the threshold have one of their rarest shingles in common, so
+documents of different components meet at those. Components are computed in a distributed way; nothing
+about single documents reaches the driver, only a table of ``CELLS`` shingle counts.
 
 Defined results: null and empty texts have the empty set, stand alone and are kept; a text of fewer
 than five words is one shingle. A null doc_id takes part like any other and sorts last within its
-component. Repeated rows with one doc_id are the same document of the result's ids: each row is
-returned with that id's component. An empty table gives an empty result.
+component. Rows of one doc_id with different texts are documents of their own, each with its own
+component; repeated rows are copies like any other. An empty table gives an empty result. Other columns,
+whatever their names, are ignored (``keep_one`` keeps them).
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, bloom_joins, bounded_batches, components, doc_words, fingerprint, hash_words, minhash, mix64, shingle_hashes, signed
+from .common import KeyFilter, Scratch, batch, bounded_batches, components, doc_words, fingerprint, hash_words, minhash, mix64, fresh, rows_by_text, selective, shingle_hashes, signed
 
 N_HASH = 96
 DEPTH = 4  # minima of the shallowest prefix
@@ -40,10 +43,10 @@ LEADERS = 2  # central members that every member of a larger region is paired wi
 LEAF = 24  # a region of at most so many is compared in full
 LEAST_ESTIMATE = 0.56  # candidates whose signatures agree in less than this part are dropped; at a true 0.75 that is over four standard errors below
 PERCENT = 75
-NO_ID = -(1 << 62)  # stands for a null doc_id in joins
+CELLS = 1 << 20  # of the table that orders shingles by how rare they are
 
-_SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
-_SIG_DDL = "row_id long, doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, sig binary"
+_SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
+_SIG_DDL = "row_id long, doc_id long, t1 long, t2 long, n_shingles long, fp1 long, fp2 long, sig binary"
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -54,7 +57,7 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 def _signatures(batches):
     for b in batches:
-        rows, ids, hashes, texts = (b.column(i).to_pylist() for i in range(4))
+        rows, ids, t1, t2, texts = (b.column(i).to_pylist() for i in range(5))
         sets = [shingle_set(t) for t in texts]
         n = np.array([len(x) for x in sets], np.int64)
         has = np.flatnonzero(n)
@@ -68,7 +71,7 @@ def _signatures(batches):
                 sigs[k] = m.astype("<u4").tobytes()
             lo = hi
         fps = [fingerprint(x) for x in sets]
-        yield batch(_SIG, row_id=rows, doc_id=ids, text_hash=hashes, n_shingles=n, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], sig=sigs)
+        yield batch(_SIG, row_id=rows, doc_id=ids, t1=t1, t2=t2, n_shingles=n, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], sig=sigs)
 
 
 def _first_key(sig: np.ndarray, tree: int) -> np.ndarray:
@@ -174,11 +177,63 @@ def _estimate(batches):
 
 
 def _sets(batches):
-    schema = pa.schema([("fp1", pa.int64()), ("fp2", pa.int64()), ("doc_id", pa.int64()), ("set", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
     for b in batches:
-        sets = [shingle_set(t) for t in b.column(1).to_pylist()]
-        fps = [fingerprint(x) for x in sets]
-        yield batch(schema, fp1=[f[0] for f in fps], fp2=[f[1] for f in fps], doc_id=b.column(0).to_pylist(), set=[x.tobytes() for x in sets])
+        yield batch(schema, node=b.column(0), set=[shingle_set(t).tobytes() for t in b.column(1).to_pylist()])
+
+
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (mix64(h) >> np.uint64(44)).astype(np.int64)
+
+
+def _tally(batches):
+    """How many sets have a shingle of each cell."""
+    n = np.zeros(CELLS, np.int64)
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            n += np.bincount(_cells(np.frombuffer(x, np.uint64)), minlength=CELLS)
+    at = np.flatnonzero(n)
+    yield batch(pa.schema([("cell", pa.int32()), ("n", pa.int64())]), cell=at.astype(np.int32), n=n[at])
+
+
+def prefix(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a set that have to be looked at, and how many of them when the other set
+    is as large or larger."""
+    n = len(h)
+    order = np.lexsort((h, counts[_cells(h)]))
+    probe = n - -(-PERCENT * n // 100) + 1
+    index = n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
+    return h[order[:probe]], index
+
+
+def rare_pairs(scratch: Scratch, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the nodes of ``sets`` that belong to different components and may be linked: a
+    complete prefix filter. Shingles are ordered by their counts in a table of bounded size; any order
+    gives all pairs, and a good one few others."""
+    total = sets.select("set").mapInArrow(_tally, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
+    counts = np.zeros(CELLS, np.int64)
+    counts[total.column(0).to_numpy()] = total.column(1).to_numpy()
+    shared = scratch.spark.sparkContext.broadcast(counts)
+
+    def run(batches):
+        schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("index", pa.bool_())])
+        for b in batches:
+            for node, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                h = np.frombuffer(x, np.uint64)
+                keys, index = prefix(h, shared.value)
+                yield batch(schema, key=signed(keys), node=np.full(len(keys), node, np.int64), n=np.full(len(keys), len(h), np.int32), index=np.arange(len(keys)) < index)
+
+    met = sets.select("node", "set").mapInArrow(run, "key long, node long, n int, index boolean").join(comp.select("node", F.col("comp").alias("c")), "node", "left")
+    met = scratch.write(met.select("key", "node", "n", "index", F.coalesce("c", "node").alias("c")), "prefixes")
+    keys = met.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bool_or("index").alias("any")).where("lo <> hi and any").select("key")
+    keys = scratch.write(keys, "prefix-keys")
+    met = scratch.write(met.join(selective(keys, "key"), "key"), "prefix-met", bloom=True)
+    small = met.where("index").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
+    large = met.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
+    pairs = small.join(large, "key").where(f"cx <> cy and (nx < ny or nx = ny and x < y) and 100 * nx >= {PERCENT} * ny")
+    out = scratch.write(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rare")
+    scratch.drop("prefixes", "prefix-keys", "prefix-met")
+    return out
 
 
 def _confirm(batches):
@@ -218,16 +273,21 @@ def crossing(scratch: Scratch, pairs: DataFrame, comp: DataFrame, label: str) ->
     return scratch.write(whole.where(F.col("ca") != F.coalesce("cb", "b")).select("a", "b"), f"crossing-{label}")
 
 
+def _hashed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    c = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(c).alias("t1"), F.hash(c).cast("long").alias("t2"), c.alias("text"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept; and row_id, text_hash and c, the
-    component's own number, which no two components share whatever their ids."""
+    """One row per input row: doc_id, n_shingles, component_id, kept; and row_id, the text's hashes t1 and
+    t2, and c, the component's own number, which no two components share whatever their ids."""
     bounded_batches(spark)
     scratch = Scratch(spark, "near-dup")
-    src = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    sig = scratch.write(src.mapInArrow(_signatures, _SIG_DDL), "signatures")
+    src = _hashed(docs, text, doc_id)
+    sig = scratch.write(src.select(F.monotonically_increasing_id(), "doc_id", "t1", "t2", "text").mapInArrow(_signatures, _SIG_DDL), "signatures")
     full = sig.where("n_shingles > 0")
     classes = scratch.write(full.groupBy("fp1", "fp2").agg(F.min("row_id").alias("node")), "classes")
-    nodes = full.drop("text_hash").join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").withColumnRenamed("row_id", "node")
+    nodes = full.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi").withColumnRenamed("row_id", "node")
     nodes = scratch.write(nodes, "nodes")
     pairs, near, dense = candidates(scratch, nodes)
     est = estimate(scratch, pairs, nodes, "estimates1")
@@ -236,13 +296,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
 
     # full sets of all nodes in question, from the texts
     ends = est.select(F.col("a").alias("node")).union(est.select(F.col("b").alias("node"))).union(dense).distinct()
-    wanted = nodes.select("node", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "fp1", "fp2").join(ends, "node", "left_semi")
-    wanted = scratch.write(wanted, "wanted")
-    ids = scratch.write(wanted.select("doc_id").distinct(), "ids")
-    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")).join(ids.where(F.col("doc_id") >= NO_ID), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, "fp1 long, fp2 long, doc_id long, set binary")
-    with bloom_joins(spark):
-        sets = scratch.write(sets.join(wanted, ["fp1", "fp2", "doc_id"]).select("node", "set"), "sets")
+    wanted = scratch.write(nodes.select("node", "doc_id", "t1", "t2").join(ends, "node", "left_semi"), "wanted")
+    sets = rows_by_text(spark, src, wanted).select("node", "text").mapInArrow(_sets, "node long, set binary")
+    sets = scratch.write(sets, "sets", bloom=True)
     scratch.tidy()
 
     # first each document's most promising pair, then what still joins two components
@@ -254,18 +310,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     near = crossing(scratch, pairs_of(near).join(pairs_of(est), ["a", "b"], "left_anti"), comp, "near")
     left = crossing(scratch, pairs_of(est).join(best, ["a", "b"], "left_anti"), comp, "rest")
     more = scratch.write(confirm(left.union(near), sets), "links2")
-    scratch.drop("sets", "estimates1", "best", "ids", "neighbours", "central", "crossing-near", "crossing-rest")
+    scratch.drop("estimates1", "best", "neighbours", "crossing-near", "crossing-rest")
     comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc2"), "comp2")
+    if not dense.isEmpty():  # members of larger regions that may still be apart
+        rare = estimate(scratch, rare_pairs(scratch, sets.join(dense, "node", "left_semi"), comp), nodes, "estimates3")
+        more = scratch.write(confirm(rare, sets), "links3")
+        if not more.isEmpty():
+            comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc3"), "comp3")
 
     # rows -> class -> component -> smallest doc_id
-    of = full.select("row_id", "doc_id", "text_hash", "n_shingles", "fp1", "fp2").join(classes, ["fp1", "fp2"]).select("row_id", "doc_id", "text_hash", "n_shingles", "node")
-    of = of.join(comp.withColumnRenamed("comp", "c"), "node", "left").select("row_id", "doc_id", "text_hash", "n_shingles", F.coalesce("c", "node").alias("c"))
+    mine = ["row_id", "doc_id", "t1", "t2", "n_shingles"]
+    of = full.select(*mine, "fp1", "fp2").join(classes, ["fp1", "fp2"]).select(*mine, "node")
+    of = of.join(comp.withColumnRenamed("comp", "c"), "node", "left").select(*mine, F.coalesce("c", "node").alias("c"))
     of = scratch.write(of, "rows")
     least = scratch.write(of.groupBy("c").agg(F.min("doc_id").alias("component_id")), "least")
-    out = of.join(least, "c").select("row_id", "doc_id", "text_hash", "n_shingles", "component_id", "c")
-    out = out.union(sig.where("n_shingles = 0").select("row_id", "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.col("row_id").alias("c")))
+    out = of.join(least, "c").select(*mine, "component_id", "c")
+    out = out.union(sig.where("n_shingles = 0").select(*mine, F.col("doc_id").alias("component_id"), F.col("row_id").alias("c")))
     out = scratch.write(out, "result")
-    scratch.drop("signatures", "classes", "nodes", "wanted", "links1", "comp1", "links2", "comp2", "rows")
+    scratch.drop("signatures", "classes", "nodes", "wanted", "sets", "central", "links1", "comp1", "links2", "comp2", "rare", "estimates3", "links3", "comp3", "rows", "least", *[f"cc{i}-{k}" for i in (1, 2, 3) for k in range(100)])
     scratch.tidy()
     return out.withColumn("kept", F.expr("doc_id <=> component_id"))
 
@@ -273,21 +335,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
 def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents, one row of each group, whatever ids they have: that of the smallest doc_id, and of
     rows that share that id the first by text hash. Rows without words all stay, since they are linked
-    with nothing."""
+    with nothing. Rows that surely stay pass through without a shuffle (``KeyFilter``)."""
     found = near_duplicates(spark, docs, text, doc_id)
     scratch = Scratch(spark, "near-dup-keep")
-    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")
-    texts = found.where("kept and n_shingles > 0").groupBy("c", "doc_id", "text_hash").agg(F.count("*").alias("n"))
-    chosen = scratch.write(texts.groupBy("c").agg(F.min(F.struct("text_hash", "n", "doc_id")).alias("x")).select(F.col("x.doc_id").alias("doc_id"), F.col("x.text_hash").alias("__hash"), F.col("x.n").alias("n")), "chosen")
-    blank = found.where("n_shingles = 0").select("doc_id", F.col("text_hash").alias("__hash"))
-    keys = scratch.write(chosen.select(key, "__hash").union(blank.select(key, "__hash")).distinct(), "keys")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    src = docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))).withColumn("__hash", F.xxhash64(F.col(text)))
-    kept = src.join(keys, ["__id", "__hash"], "left_semi")
-    again = scratch.write(chosen.where("n > 1").select(key, "__hash"), "again")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    key, h1, h2, i, number = fresh(docs, "key", "t1", "t2", "i", "number")
+    groups = found.where("n_shingles > 0").groupBy("c", "doc_id", "t1", "t2", "kept").agg(F.count("*").alias("n"))
+    lead = scratch.write(groups.where("kept").groupBy("c").agg(F.min(F.struct("t1", "t2", "n", "doc_id")).alias("x")).select("c", "x.*"), "leads")
+    single = lead.where("n = 1").select(F.col("c").alias("lc"), F.col("doc_id").alias("li"), F.col("t1").alias("l1"), F.col("t2").alias("l2"))
+    # keys of rows that go, and of rows of which one stays
+    drop = groups.join(single, F.expr("c = lc and doc_id <=> li and t1 = l1 and t2 = l2"), "left_anti")
+    drop = scratch.write(drop.select(F.xxhash64("doc_id", "t1", "t2").alias(key), F.col("doc_id").alias(i), F.col("t1").alias(h1), F.col("t2").alias(h2)), "drop")
+    src = docs.withColumns({h1: F.xxhash64(F.col(f"`{text}`")), h2: F.hash(F.col(f"`{text}`")).cast("long")})
+    src = src.withColumn(key, F.xxhash64(F.col(f"`{doc_id}`").cast("long"), h1, h2))
+    known = KeyFilter(spark, drop, key)
+    kept = src.where(~known.maybe(key)).select(*own)
+    maybe = src.where(known.maybe(key))
+    same = [maybe[h1] == drop[h1], maybe[h2] == drop[h2], F.col(f"`{doc_id}`").cast("long").eqNullSafe(drop[i])]
+    kept = kept.union(maybe.join(drop, same, "left_anti").select(*own))
+    again = scratch.write(lead.where("n > 1").select(F.xxhash64("doc_id", "t1", "t2").alias(key)), "again")
     if again.isEmpty():
-        return kept.select(*cols)
+        return kept
     # rows of one id and one text: the first by all columns, without texts in the shuffle of the choice
-    rows = scratch.write(kept.join(again, ["__id", "__hash"], "left_semi").withColumn("__n", F.monotonically_increasing_id()), "shared", "zstd")
-    order = rows.select("__id", "__hash", "__n", F.xxhash64(*cols).alias("h")).groupBy("__id", "__hash").agg(F.min(F.struct("h", "__n")).alias("x")).select(F.col("x.__n").alias("__n"))
-    return kept.join(again, ["__id", "__hash"], "left_anti").select(*cols).union(rows.join(order, "__n", "left_semi").select(*cols))
+    rows = scratch.write(maybe.join(again, key, "left_semi").withColumn(number, F.monotonically_increasing_id()), "shared", "zstd")
+    order = rows.select(key, number, F.xxhash64(*own).alias(h1)).groupBy(key).agg(F.min(F.struct(h1, number)).alias("x")).select(F.col(f"x.{number}").alias(number))
+    return kept.union(rows.join(order, number, "left_semi").select(*own))

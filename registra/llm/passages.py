@@ -1,16 +1,11 @@
-"""Passages that documents share anywhere in their words: winnowed windows, texts met, exact extension.
-
-Lines count for nothing here. Of every text the hashes of its windows of ``WINDOW`` words are winnowed
-over ``SPREAD`` windows, so two texts with a common run of ``WINDOW + SPREAD - 1`` words (23) have a
-selected window in common. Each text is compared with the first text, by document id and row, of every
-window that it shares, never with all: the number of pairs is linear in the windows. Around common
-windows the words themselves are compared: a match runs on over equal words and bridges up to
-``BRIDGE`` words on either side where ``RESUME`` equal words follow. A stretch counts from
-``PASSAGE_WORDS`` words on whose 5-word shingles have a Jaccard of 0.75; one that fails is divided at
-its widest bridge.
-
-A text is not compared with a later holder of a window than the first; a passage whose every window
-stands in some earlier text, and never the whole of it, is therefore not found.
+"""Two texts side by side: words around places they have in common, exact extension of matches.
+
+A *seed* is a pair of places at which two texts have the same or nearly the same paragraph. Around seeds
+the words themselves are compared: a match runs on over equal words and bridges up to ``BRIDGE`` words on
+either side where ``RESUME`` equal words follow. A stretch counts from ``least`` words on whose 5-word
+shingles have a Jaccard of 0.75; one that fails is divided at its widest bridge.
+
+Words travel as 32-bit hashes in blocks, and only those blocks that seeds ask for: never whole texts.
 """
 
 from __future__ import annotations
@@ -20,101 +15,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, bloom_joins, hash_words, mix64, shingle_hashes, signed, word_bounds
+from .common import Scratch, batch, hash_words, mix64, rows_by_text, shingle_hashes, signed, word_bounds
 
-WINDOW = 12
-SPREAD = 12
 BLOCK = 128  # words that are sent together
-MARGIN = 64  # words around the common windows that are looked at
+MARGIN = 64  # words around the seeds that are looked at
 BRIDGE = 8
 RESUME = 5
-_Q = np.uint64(0x9FB21C651E98DF25)
+TEXT = ("t1", "t2")
+SIDES = ("t1", "t2", "h1", "h2")
 
 
 def text_words(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, first byte and byte after the last of each."""
+    """Hashes of the lower-cased words, first byte and byte after the last of each."""
     low = (text or "").encode().lower()
     s, e = word_bounds(np.frombuffer(low, np.uint8))
     return hash_words(low, s, e), s, e
 
 
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the selected windows of a sequence of words."""
-    if len(h) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    two = mix64(h[:-1] * _Q + h[1:])
-    four = mix64(two[:-2] * _Q + two[2:])
-    eight = mix64(four[:-4] * _Q + four[4:])
-    w = mix64(eight[:-4] * _Q + four[8:])
-    if len(w) <= SPREAD:
-        at = np.array([int(w.argmin())])
-    else:
-        least = np.lib.stride_tricks.sliding_window_view(w, SPREAD).argmin(1)
-        at = np.unique(least + np.arange(len(least)))
-    return at, w[at]
-
-
-_ANCHOR = pa.schema([("key", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("pos", pa.int32())])
-
-
-def _anchors(batches):
-    for b in batches:
-        for lo in range(0, b.num_rows, 200):
-            rows, docs, hashes, texts = (c.to_pylist() for c in b.slice(lo, 200).columns)
-            found = [anchors(text_words(t)[0]) for t in texts]
-            n = [len(at) for at, _ in found]
-            yield batch(_ANCHOR, key=signed(np.concatenate([k for _, k in found])), row_id=np.repeat(np.array(rows, np.int64), n), doc_id=np.repeat(np.array(docs, np.int64), n),
-                        text_hash=np.repeat(np.array(hashes, np.int64), n), pos=np.concatenate([at for at, _ in found]).astype(np.int32))
-
-
-_SIDES = ("doc_id", "text_hash", "h_doc", "h_hash")
-_REGION = pa.schema([(x, pa.int64()) for x in ("row_id", "h_row", *_SIDES, "k")] + [("seeds", pa.binary()), ("mine", pa.list_(pa.int32())), ("other", pa.list_(pa.int32()))])
-_REGION_DDL = "row_id long, h_row long, doc_id long, text_hash long, h_doc long, h_hash long, k long, seeds binary, mine array<int>, other array<int>"
-
-
-def _regions(batches):
-    """Common windows of two texts, divided where they are far apart, and the blocks of words around them."""
-    for b in batches:
-        out: dict[str, list] = {f.name: [] for f in _REGION}
-        for *ids, seeds in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            s = np.array(sorted((x["pos"], x["h_pos"]) for x in seeds), np.int64).reshape(-1, 2)
-            far = (np.diff(s[:, 0]) > 2 * MARGIN) | (np.abs(np.diff(s[:, 0] - s[:, 1])) > 2 * MARGIN)
-            for k, part in enumerate(np.split(s, np.flatnonzero(far) + 1)):
-                spans = [list(range(max(0, int(c.min()) - MARGIN) // BLOCK, (int(c.max()) + WINDOW + MARGIN) // BLOCK + 1)) for c in part.T]
-                for name, v in zip(_REGION.names, (*ids, k, part.astype("<i4").tobytes(), *spans), strict=True):
-                    out[name].append(v)
-        yield batch(_REGION, **out)
-
-
-_BLOCKS = pa.schema([("t_doc", pa.int64()), ("t_hash", pa.int64()), ("block", pa.int32()), ("words", pa.binary())])
-
-
-def _blocks(batches):
-    """Wanted blocks of each text: hash, first byte (as steps) and length of the words, by byte planes."""
-    for b in batches:
-        out: dict[str, list] = {f.name: [] for f in _BLOCKS}
-        for doc, th, text, want in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            h, s, e = text_words(text)
-            for k in want:
-                x, y = k * BLOCK, min(len(h), (k + 1) * BLOCK)
-                if x < y:
-                    m = np.stack([h[x:y].astype("<u4"), np.diff(s[x:y], prepend=0).astype("<u4"), (e[x:y] - s[x:y]).astype("<u4")])
-                    for name, v in zip(_BLOCKS.names, (doc, th, k, m.reshape(-1).view(np.uint8).reshape(-1, 4).T.tobytes()), strict=True):
-                        out[name].append(v)
-        yield batch(_BLOCKS, **out)
-
-
-def _read(blocks: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(hashes, first bytes, bytes after the last, place of the first word)."""
-    parts = []
-    for x in sorted(blocks, key=lambda x: x["block"]):
-        m = np.ascontiguousarray(np.frombuffer(x["words"], np.uint8).reshape(4, -1).T).view("<u4").reshape(3, -1).astype(np.int64)
-        s = np.cumsum(m[1])
-        parts.append((m[0], s, s + m[2]))
-    h, s, e = (np.concatenate(p) for p in zip(*parts, strict=True))
-    return h, s, e, min(x["block"] for x in blocks) * BLOCK
-
-
 def _run(a: np.ndarray, b: np.ndarray) -> int:
     """Number of equal words at the start."""
     n = min(len(a), len(b))
@@ -145,14 +62,15 @@ def _ahead(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
             return out
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> bool:
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Do two word sequences have a shingle Jaccard of 0.75."""
     x, y = (np.unique(shingle_hashes(v.astype(np.uint64))) for v in (a, b))
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= 75 * (len(x) + len(y) - both)
 
 
 def shared(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int, int]]:
-    """(start and end in a, start and end in b) of the passages around the common windows."""
+    """(start and end in a, start and end in b) of the passages around the seeds."""
     out, done = [], []
     for p, q in seeds:
         if any(x <= p < x + n and p - x == q - y for x, y, n in done):
@@ -160,13 +78,13 @@ def shared(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], least: in
         back = [(p - x - n, q - y - n, n) for x, y, n in _ahead(a[:p][::-1], b[:q][::-1])][::-1]
         runs = back + [(p + x, q + y, n) for x, y, n in _ahead(a[p:], b[q:])]
         done += runs
-        todo = [runs]
+        todo = [runs] if runs else []
         while todo:
             r = todo.pop()
             x0, y0, x1, y1 = r[0][0], r[0][1], r[-1][0] + r[-1][2], r[-1][1] + r[-1][2]
             if min(x1 - x0, y1 - y0) < least:
                 continue
-            if len(r) == 1 or _near(a[x0:x1], b[y0:y1]):
+            if len(r) == 1 or near(a[x0:x1], b[y0:y1]):
                 out.append((x0, x1, y0, y1))
                 continue
             k = max(range(1, len(r)), key=lambda k: r[k][0] - r[k - 1][0] - r[k - 1][2] + r[k][1] - r[k - 1][1] - r[k - 1][2])
@@ -174,110 +92,111 @@ def shared(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], least: in
     return out
 
 
-_SPAN = pa.schema([(x, pa.int64()) for x in ("row_id", "h_row", *_SIDES, "first", "last", "n_words", "h_first", "h_last", "h_w0", "h_w1")])
-_SPAN_DDL = ", ".join(f"{f.name} long" for f in _SPAN)
+_REGION = pa.schema([(x, pa.int64()) for x in SIDES] + [("seeds", pa.binary()), ("mine", pa.list_(pa.int32())), ("other", pa.list_(pa.int32()))])
+_REGION_DDL = "t1 long, t2 long, h1 long, h2 long, seeds binary, mine array<int>, other array<int>"
+
 
+def _regions(width: int):
+    """Seeds of two texts, divided where they are far apart, and the blocks of words around them."""
 
-def _aligner(least: int):
     def run(batches):
         for b in batches:
-            out: dict[str, list] = {f.name: [] for f in _SPAN}
-            for *ids, seeds, blocks in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                ha, sa, ea, a0 = _read([x for x in blocks if x["side"] == 0])
-                hb, sb, eb, b0 = _read([x for x in blocks if x["side"] == 1])
-                at = np.frombuffer(seeds, "<i4").reshape(-1, 2) - np.array([a0, b0])
-                for x0, x1, y0, y1 in shared(ha, hb, [tuple(v) for v in at.tolist()], least):
-                    v = (*ids, sa[x0], ea[x1 - 1], x1 - x0, sb[y0], eb[y1 - 1], y0 + b0, y1 + b0)
-                    for name, k in zip(_SPAN.names, v, strict=True):
-                        out[name].append(int(k))
-            yield batch(_SPAN, **out)
+            out: dict[str, list] = {f.name: [] for f in _REGION}
+            for *ids, seeds in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                s = np.array(sorted({(x["pos"], x["h_pos"]) for x in seeds}), np.int64).reshape(-1, 2)
+                far = (np.diff(s[:, 0]) > 2 * MARGIN) | (np.abs(np.diff(s[:, 0] - s[:, 1])) > 2 * MARGIN)
+                for part in np.split(s, np.flatnonzero(far) + 1):
+                    spans = [list(range(max(0, int(c.min()) - MARGIN) // BLOCK, (int(c.max()) + width + MARGIN) // BLOCK + 1)) for c in part.T]
+                    for name, v in zip(_REGION.names, (*ids, part.astype("<i4").tobytes(), *spans), strict=True):
+                        out[name].append(v)
+            yield batch(_REGION, **out)
 
     return run
 
 
-def _uncovered(batches):
-    """Spans that the others of their row do not cover already, but for blanks between them."""
-    for b in batches:
-        keep = []
-        for first, last, spans in zip(*(b.column(b.schema.get_field_index(x)).to_pylist() for x in ("first", "last", "cover")), strict=True):
-            at = first
-            for s in sorted(spans or [], key=lambda s: s["first"]):
-                if s["first"] > at + 3:
-                    if s["first"] >= last:
-                        break
-                    continue
-                at = max(at, s["last"])
-            keep.append(at < last)
-        b = b.filter(pa.array(keep, pa.bool_()))
-        yield pa.RecordBatch.from_arrays(b.columns[: len(_SPAN)], schema=_SPAN)
-
-
-_HOME = pa.schema([(x, pa.int64()) for x in ("h_row", "h_doc", "h_hash", "h_first", "h_last", "m_first", "m_last", "m_words")])
-_HOME_DDL = ", ".join(f"{f.name} long" for f in _HOME)
-
-
-def _homes(batches):
-    """Overlapping stretches of a first holder as one."""
+_BLOCKS = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("block", pa.int32()), ("words", pa.binary())])
+
+
+def _blocks(batches):
+    """Wanted blocks of each text."""
     for b in batches:
-        out: dict[str, list] = {f.name: [] for f in _HOME}
-        for row, doc, th, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            groups: list[list[dict]] = []
-            for s in sorted(spans, key=lambda s: (s["h_w0"], s["h_w1"])):
-                if groups and s["h_w0"] < groups[-1][-1]["h_w1"]:
-                    groups[-1].append(s | {"h_w1": max(s["h_w1"], groups[-1][-1]["h_w1"])})
-                else:
-                    groups.append([s])
-            for g in groups:
-                m = (g[0]["h_first"], max(x["h_last"] for x in g), g[-1]["h_w1"] - g[0]["h_w0"])
-                for x in g:
-                    for name, v in zip(_HOME.names, (row, doc, th, x["h_first"], x["h_last"], *m), strict=True):
+        out: dict[str, list] = {f.name: [] for f in _BLOCKS}
+        for t1, t2, text, want in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            h = text_words(text)[0].astype("<u4")
+            for k in want:
+                if k * BLOCK < len(h):
+                    for name, v in zip(_BLOCKS.names, (t1, t2, k, h[k * BLOCK : (k + 1) * BLOCK].tobytes()), strict=True):
                         out[name].append(v)
-        yield batch(_HOME, **out)
+        yield batch(_BLOCKS, **out)
 
 
-def shared_passages(scratch: Scratch, src: DataFrame, keyed: DataFrame, covered: DataFrame, least: int) -> DataFrame:
-    """Rows like those of ``repeated_passages`` for what ``covered`` (row_id, first, last) leaves: a removed
-    one for each later text, one that stays for each first holder."""
-    found = scratch.write(src.select("row_id", "doc_id", "text_hash", "text").mapInArrow(_anchors, "key long, row_id long, doc_id long, text_hash long, pos int"), "anchors")
-    keys = found.groupBy("key").agg(F.min("row_id").alias("lo"), F.max("row_id").alias("hi"), F.min("doc_id").alias("h_doc")).where("lo <> hi").select("key", "h_doc")
-    keys = scratch.write(keys, "anchor-keys")
-    met = scratch.write(found.join(keys, "key"), "anchors-met")
-    scratch.drop("anchors", "anchor-keys")
-    scratch.tidy()
-    hub = met.where("doc_id = h_doc").groupBy("key").agg(F.min(F.struct("row_id", "pos", "text_hash")).alias("x"))
-    hub = scratch.write(hub.select("key", F.col("x.row_id").alias("h_row"), F.col("x.pos").alias("h_pos"), F.col("x.text_hash").alias("h_hash")), "anchor-hubs")
-    seeds = met.join(hub, "key").where("row_id <> h_row").groupBy("row_id", "h_row", *_SIDES).agg(F.collect_list(F.struct("pos", "h_pos")).alias("seeds"))
-    regions = scratch.write(seeds.mapInArrow(_regions, _REGION_DDL), "regions")
-    scratch.drop("anchors-met", "anchor-hubs")
-    scratch.tidy()
+def _read(blocks: list[dict]) -> tuple[np.ndarray, int]:
+    """(word hashes, place of the first)."""
+    blocks = sorted(blocks, key=lambda x: x["block"])
+    return np.frombuffer(b"".join(x["words"] for x in blocks), "<u4"), blocks[0]["block"] * BLOCK
+
+
+def windows(h: np.ndarray, at: int, width: int, least: int) -> list[tuple[int, int]]:
+    """(start, hash) of every window of ``least`` words that holds the paragraph at ``at``."""
+    out = []
+    for s in range(max(0, at + width - least), min(at, len(h) - least) + 1):
+        k = mix64(h[s : s + least].astype(np.uint64) + np.arange(least, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        out.append((s, int(signed(mix64(np.array([np.bitwise_xor.reduce(k)], np.uint64)))[0])))
+    return out
+
+
+_SPAN = pa.schema([("kind", pa.int32())] + [(x, pa.int64()) for x in (*SIDES, "x0", "x1", "y0", "y1")])
+_SPAN_DDL = ", ".join(f"{f.name} {'int' if f.name == 'kind' else 'long'}" for f in _SPAN)
 
-    # blocks of words for both sides of each region
-    ask = regions.select("row_id", "h_row", "k", F.lit(0).alias("side"), F.col("doc_id").alias("t_doc"), F.col("text_hash").alias("t_hash"), F.explode("mine").alias("block"))
-    ask = ask.union(regions.select("row_id", "h_row", "k", F.lit(1).alias("side"), F.col("h_doc").alias("t_doc"), F.col("h_hash").alias("t_hash"), F.explode("other").alias("block")))
-    want = scratch.write(ask.select("t_doc", "t_hash", "block").distinct().groupBy("t_doc", "t_hash").agg(F.collect_list("block").alias("want")), "blocks-wanted")
-    texts = keyed.select(F.col("doc_id").alias("t_doc"), F.col("text_hash").alias("t_hash"), "text")
-    with bloom_joins(scratch.spark):
-        blocks = texts.join(want, ["t_doc", "t_hash"]).select("t_doc", "t_hash", "text", "want").mapInArrow(_blocks, "t_doc long, t_hash long, block int, words binary")
-        blocks = scratch.write(blocks.dropDuplicates(["t_doc", "t_hash", "block"]), "blocks")
+
+def _aligner(width: int, least: int, ask: bool):
+    def run(batches):
+        for b in batches:
+            out: dict[str, list] = {f.name: [] for f in _SPAN}
+
+            def tell(*v, out=out):
+                for name, x in zip(_SPAN.names, v, strict=True):
+                    out[name].append(int(x))
+
+            for *ids, seeds, blocks in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                a, a0 = _read([x for x in blocks if x["side"] == 0])
+                c, c0 = _read([x for x in blocks if x["side"] == 1])
+                at = (np.frombuffer(seeds, "<i4").reshape(-1, 2) - np.array([a0, c0])).tolist()
+                at = [(p, q) for p, q in at if near(a[p : p + width], c[q : q + width])]
+                found = shared(a, c, at, least)
+                for x0, x1, y0, y1 in found:
+                    tell(0, *ids, x0 + a0, x1 + a0, y0 + c0, y1 + c0)
+                if ask:
+                    for p in sorted({p for p, _ in at}):
+                        if not any(x0 <= p and p + width <= x1 for x0, x1, _, _ in found):
+                            for s, key in windows(a, p, width, least):
+                                tell(1, ids[0], ids[1], key, 0, s + a0, 0, 0, 0)
+            yield batch(_SPAN, **out)
+
+    return run
+
+
+def align(scratch: Scratch, docs: DataFrame, texts: DataFrame, seeds: DataFrame, width: int, least: int, label: str, ask: bool = False) -> DataFrame:
+    """Spans (kind 0: t1, t2, h1, h2, x0, x1, y0, y1) that the texts t and h share around ``seeds``
+    (t1, t2, h1, h2, pos, h_pos). With ``ask`` also rows of kind 1 for seeds that gave none: every window
+    of ``least`` words around them (t1, t2, key in h1, start in x0).
+
+    ``docs`` has doc_id, t1, t2 and text; ``texts`` the doc_id of one row of each text."""
+    x = seeds.groupBy(*SIDES).agg(F.collect_list(F.struct("pos", "h_pos")).alias("seeds"))  # at most the paragraphs of one text
+    regions = scratch.write(x.mapInArrow(_regions(width), _REGION_DDL), f"{label}-regions")
+    regions = regions.withColumn("rid", F.monotonically_increasing_id())
+    ask_for = regions.select("rid", F.lit(0).alias("side"), "t1", "t2", F.explode("mine").alias("block"))
+    ask_for = ask_for.union(regions.select("rid", F.lit(1).alias("side"), F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.explode("other").alias("block")))
+    ask_for = scratch.write(ask_for, f"{label}-asked")
+    want = ask_for.groupBy(*TEXT).agg(F.collect_set("block").alias("want")).join(texts.select("t1", "t2", "doc_id"), [*TEXT])
+    want = scratch.write(want, f"{label}-wanted")
     scratch.tidy()
-    sent = ask.join(blocks, ["t_doc", "t_hash", "block"]).groupBy("row_id", "h_row", "k").agg(F.collect_list(F.struct("side", "block", "words")).alias("blocks"))
-    sent = regions.drop("mine", "other").join(sent, ["row_id", "h_row", "k"]).select("row_id", "h_row", *_SIDES, "seeds", "blocks")
-    spans = scratch.write(sent.mapInArrow(_aligner(least), _SPAN_DDL), "spans")
-    scratch.drop("regions", "blocks-wanted", "blocks")
+    got = rows_by_text(scratch.spark, docs, want).select("t1", "t2", "text", "want")
+    blocks = scratch.write(got.mapInArrow(_blocks, "t1 long, t2 long, block int, words binary"), f"{label}-blocks", bloom=True)
+    scratch.tidy()
+    sent = ask_for.join(blocks.dropDuplicates([*TEXT, "block"]), [*TEXT, "block"]).groupBy("rid").agg(F.collect_list(F.struct("side", "block", "words")).alias("blocks"))
+    sent = regions.drop("mine", "other").join(sent, "rid").select(*SIDES, "seeds", "blocks")
+    out = scratch.write(sent.mapInArrow(_aligner(width, least, ask), _SPAN_DDL), f"{label}-spans")
+    scratch.drop(*[f"{label}-{k}" for k in ("regions", "asked", "wanted", "blocks")])
     scratch.tidy()
-
-    cover = covered.groupBy("row_id").agg(F.collect_list(F.struct("first", "last")).alias("cover"))
-    spans = spans.join(cover, "row_id", "left").select(*_SPAN.names, "cover").mapInArrow(_uncovered, _SPAN_DDL).distinct()
-    spans = scratch.write(spans, "spans-left")
-    homes = spans.select("h_row", "h_doc", "h_hash", "h_first", "h_last", "h_w0", "h_w1").distinct().groupBy("h_row", "h_doc", "h_hash").agg(F.collect_list(F.struct("h_first", "h_last", "h_w0", "h_w1")).alias("s"))
-    homes = homes.mapInArrow(_homes, _HOME_DDL).withColumn("class_id", -1 - F.pmod(F.xxhash64("h_row", "m_first"), F.lit(1 << 62)))
-    homes = scratch.write(homes.distinct(), "homes")
-    later = spans.join(homes.select("h_row", "h_first", "h_last", "class_id"), ["h_row", "h_first", "h_last"])
-    later = scratch.write(later.select("doc_id", "text_hash", "row_id", "first", "last", "n_words", "class_id", F.lit(True).alias("removed")).distinct(), "later")
-    first = homes.select(F.col("h_doc").alias("doc_id"), F.col("h_hash").alias("text_hash"), F.col("h_row").alias("row_id"), F.col("m_first").alias("first"), F.col("m_last").alias("last"), F.col("m_words").alias("n_words"), "class_id", F.lit(False).alias("removed")).distinct()
-    both = later.union(first)
-    copies = scratch.write(later.groupBy("class_id").agg((F.count("*") + 1).alias("copies")), "shared-copies")
-    out = both.join(copies, "class_id").select("doc_id", "text_hash", "row_id", "first", "last", "n_words", "class_id", "copies", "removed")
-    out = scratch.write(out, "shared")
-    scratch.drop("spans", "spans-left", "homes", "later", "shared-copies")
     return out

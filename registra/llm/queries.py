@@ -57,7 +57,7 @@ def op6_paragraph_banding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import repeated_passages
 
     p = repeated_passages(spark, _docs(spark, sf_dir))
-    return p.select("doc_id", F.col("first").alias("first_byte"), F.col("last").alias("last_byte"), "n_words", "class_id", "copies", "removed")
+    return p.select("doc_id", F.col("first").alias("first_word"), "n_words", "class_id", "copies", "removed")
 
 
 def op7_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,49 +1,53 @@
 """Repeated passages: paragraph MinHash banding, exact verification, clusters of removals.
 
-A paragraph is a line; a line of more than ``LONG_LINE`` words is cut where its own words say so
-(content-defined cuts), so that a passage inside it is cut alike wherever it stands. Paragraphs of
-``NEAR_WORDS`` words or more are compared by MinHash of their 5-word shingles, banded by ``tune`` for
-high recall; shorter ones (from ``LEAST_WORDS`` words) count only as exact copies. Paragraphs that
-collide in a band are joined: small groups in full, larger ones as stars around their most copied
-members, so a group of any size gives a number of pairs that is linear in it. Pairs are verified by
-exact Jaccard on full shingle sets, and components of the verified pairs are the clusters.
-
-A cluster counts when it has paragraphs of at least two documents; a passage is a run of paragraphs
-of such clusters with at least ``PASSAGE_WORDS`` words in all. Of each cluster the first paragraph, by
-document id and place, stays; ``remove`` cuts the others out of the texts. Passages inside lines, or
-across short or edited ones, come from ``passages``, where lines count for nothing.
-
-Defined results: null and empty texts have no paragraphs; a document without a repeated passage has
-no row; a null doc_id is an id of its own, sorted first; repeated rows count as documents of their
-own; an empty table gives an empty result; other columns are ignored (``remove`` keeps them).
+A *paragraph* is a window of ``WORDS`` words that begins where the words themselves say so: at the least
+pair hash of ``SPREAD`` neighbouring places. Line ends count for nothing, so a passage inside a line is cut
+alike wherever it stands, and any two texts that share ``WORDS + SPREAD - 1`` words (47) in a row have a
+whole paragraph in common. Paragraphs are compared by MinHash of their 5-word shingles, banded by ``tune``
+for high recall. Those that collide in a band are joined: equal ones with the first text that has
+theirs, different ones in pairs where a band has at most ``LEAF`` of them. In a larger band every
+paragraph is joined with the first of those that agree in ``NEED`` of its shingles, for every choice of
+so many: exact, since less agreement is under the threshold, and linear in the band.
+
+Every colliding pair is verified on its words (exact Jaccard of 0.75) and extended word by word to both
+ends (``passages``); a passage is what then has ``LEAST`` words or more. Where two texts have equal
+paragraphs but no passage with their first holder, each window of ``LEAST`` words around them is looked
+up, so that a passage of two later texts is found too. Passages that overlap in a text are one stretch;
+components of matched stretches are the clusters. Of each match the text that comes first, by smallest
+document id, keeps its words; ``remove`` cuts the others.
+
+Texts, not rows, are compared: equal texts are one, and of their rows all but the first are repeats
+from end to end. Texts are told apart by 96 bits of hash.
+
+Defined results: null and empty texts have no passages, nor has a text of fewer than ``LEAST`` words; a
+document without a repeated passage has no row; a null doc_id is an id of its own, sorted first; of
+repeated rows all but one are repeats; an empty table gives an empty result; other columns, whatever
+their names, are ignored (``remove`` keeps them).
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, bounded_batches, components, fingerprint, hash_words, minhash, mix64, shingle_hashes, signed, word_bounds
-from .near_dup import _leaf_pairs, confirm
-from .passages import shared_passages
-
-PERCENT = 75
-LONG_LINE = 128
-CUT_EVERY = 32  # a long line is cut at about every so many words
-CUT_LEAST = 24
-LEAST_WORDS = 5
-NEAR_WORDS = 24
-PASSAGE_WORDS = 40
+from .common import KeyFilter, Scratch, batch, bounded_batches, components, fresh, hash_words, minhash_multipliers, mix64, rows_by_text, selective, shingle_hashes, signed, word_bounds
+from .passages import SIDES, align, text_words
+
+WORDS = 20
+SPREAD = 28
+SHINGLES = WORDS - 4
+NEED = 14  # shingles in common of two paragraphs at a Jaccard of 0.75: 14 / 18, while 13 / 19 is less
+LEAST = 50
 LEAF = 16
-LEADERS = 2
-NO_ID = -(1 << 62)
 
 
-def tune(threshold: float = 0.75, recall: float = 0.998, most: int = 8) -> tuple[int, int]:
-    """(bands, rows): the most selective banding of at most ``most`` bands that finds a pair at the
-    threshold with the wanted probability."""
+def tune(threshold: float = 0.75, recall: float = 0.9, most: int = 3) -> tuple[int, int]:
+    """(bands, rows): the most selective banding of at most ``most`` bands that finds a pair of paragraphs
+    at the threshold with the wanted probability. A passage has two paragraphs or more on average."""
     for rows in range(8, 0, -1):
         for bands in range(1, most + 1):
             if 1 - (1 - threshold**rows) ** bands >= recall:
@@ -52,211 +56,287 @@ def tune(threshold: float = 0.75, recall: float = 0.998, most: int = 8) -> tuple
 
 
 BANDS, ROWS = tune()
-
-
-def paragraphs(text: str | None) -> list[tuple[int, int, np.ndarray]]:
-    """(first byte, byte after the last, word hashes) of the paragraphs, in order."""
-    if not text:
-        return []
-    data = text.encode()
-    low = data.lower()
-    buf = np.frombuffer(low, np.uint8)
-    s, e = word_bounds(buf)
-    if not len(s):
-        return []
-    h = hash_words(low, s, e)
-    line = np.searchsorted(np.flatnonzero(buf == 10), s)
-    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-    last = np.r_[first[1:], len(s)]
-    out = []
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        cuts = [a]
-        if b - a > LONG_LINE:
-            pair = mix64(h[a : b - 1] * np.uint64(3) + h[a + 1 : b])
-            for c in (np.flatnonzero(pair % np.uint64(CUT_EVERY) == 0) + a + 1).tolist():
-                if c - cuts[-1] >= CUT_LEAST and b - c >= CUT_LEAST:
-                    cuts.append(c)
-        cuts.append(b)
-        out += [(int(s[x]), int(e[y - 1]), h[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y - x >= LEAST_WORDS]
+_Q = np.uint64(0x9FB21C651E98DF25)
+
+
+def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
+    """op over every ``width`` neighbours, by doubling."""
+    k, out = 1, x
+    while 2 * k <= width:
+        out = op(out[:-k], out[k:])
+        k *= 2
+    return op(out[: len(x) - width + 1], out[width - k : width - k + len(x) - width + 1]) if k < width else out
+
+
+def starts(h: np.ndarray) -> np.ndarray:
+    """Places at which the paragraphs of a word sequence begin."""
+    n = len(h) - WORDS + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    g = mix64(h[:n] * _Q + h[1 : n + 1])
+    w = min(SPREAD, n)
+    least = np.concatenate([np.zeros(w - 1, np.uint64), _slide(g, w, np.minimum), np.zeros(w - 1, np.uint64)])
+    return np.flatnonzero(_slide(least, w, np.maximum) == g)
+
+
+def paragraphs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, fingerprints, shingle hashes) of the paragraphs of a word sequence. Within a text that
+    goes round in circles a paragraph is told once a circle of ``WORDS`` or more."""
+    at = starts(h)
+    if not len(at):
+        return at, np.empty(0, np.uint64), np.empty((0, SHINGLES), np.uint64)
+    s = shingle_hashes(h)[at[:, None] + np.arange(SHINGLES)]
+    fp = mix64(mix64(mix64(s[:, 0] * _Q + s[:, 5]) * _Q + s[:, 10]) * _Q + s[:, 15])
+    if len(at) > 1 and np.diff(at).min() < WORDS:
+        order = np.lexsort((at, fp))
+        again = np.zeros(len(at), bool)
+        again[order[1:]] = (fp[order[1:]] == fp[order[:-1]]) & (at[order[1:]] - at[order[:-1]] < WORDS)
+        at, fp, s = at[~again], fp[~again], s[~again]
+    return at, fp, s
+
+
+def band_keys(s: np.ndarray) -> np.ndarray:
+    """(paragraphs, BANDS) keys of rows of shingle hashes."""
+    a, x = minhash_multipliers(BANDS * ROWS, seed=11)
+    out = np.zeros((len(s), BANDS), np.uint64)
+    for j in range(BANDS):
+        k = np.full(len(s), j + 1, np.uint64)
+        for r in range(j * ROWS, (j + 1) * ROWS):
+            k = mix64(k * np.uint64(0x9E3779B97F4A7C15) + (((s ^ x[r]) * a[r]) >> np.uint64(32)).min(1))
+        out[:, j] = k
     return out
 
 
-_UNIT = pa.schema([
-    ("uid", pa.int64()), ("row_id", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("place", pa.int32()), ("first", pa.int64()), ("last", pa.int64()),
-    ("n_words", pa.int32()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64())),
-])
-_UNIT_DDL = "uid long, row_id long, doc_id long, text_hash long, place int, first long, last long, n_words int, fp1 long, fp2 long, bands array<bigint>"
+_UNIT = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("pos", pa.int32()), ("n_words", pa.int32()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_UNIT_DDL = "row_id long, doc_id long, t1 long, t2 long, pos int, n_words int, fp long, bands array<bigint>"
 
 
 def _units(batches):
-    from pyspark import TaskContext
-
-    uid = TaskContext.get().partitionId() << 40
+    """The paragraphs of each text, and before them one row (pos -1) with its number of words."""
     for b in batches:
-        step = 200
-        for lo in range(0, b.num_rows, step):
-            out: dict[str, list] = {f.name: [] for f in _UNIT}
-            near, sets = [], []
-            for row, doc, th, text in zip(*(c.to_pylist() for c in b.slice(lo, step).columns), strict=True):
-                for place, (x, y, h) in enumerate(paragraphs(text)):
-                    fp = fingerprint(h)
-                    for k, v in zip(_UNIT.names, (uid, row, doc, th, place, x, y, len(h), fp[0], fp[1], None), strict=True):
-                        out[k].append(v)
-                    if len(h) >= NEAR_WORDS:
-                        near.append(len(out["uid"]) - 1)
-                        sets.append(shingle_hashes(h))
-                    uid += 1
-            if near:
-                starts = np.cumsum([0, *map(len, sets[:-1])])
-                m = minhash(np.concatenate(sets), starts, BANDS * ROWS, seed=11).astype(np.uint64)
-                keys = np.zeros((len(near), BANDS), np.uint64)
-                for j in range(BANDS):
-                    k = np.full(len(near), j + 1, np.uint64)
-                    for r in range(ROWS):
-                        k = mix64(k * np.uint64(0x9E3779B97F4A7C15) + m[:, j * ROWS + r])
-                    keys[:, j] = k
-                for i, k in zip(near, signed(keys), strict=True):
-                    out["bands"][i] = k
-            yield batch(_UNIT, **out)
-
-
-def _sets(batches):
-    """Shingle sets of the wanted paragraphs of each text."""
-    schema = pa.schema([("fp1", pa.int64()), ("fp2", pa.int64()), ("set", pa.binary())])
+        for lo in range(0, b.num_rows, 200):
+            part = b.slice(lo, 200)
+            seqs = [text_words(t)[0] for t in part.column(4).to_pylist()]
+            found = [paragraphs(h) for h in seqs]
+            n = np.array([len(at) for at, _, _ in found], np.int64)
+            rows = np.repeat(np.arange(len(n)), n)
+            keys = signed(band_keys(np.concatenate([s for _, _, s in found]))).ravel()
+            yield batch(_UNIT, **{k: part.column(i) for i, k in enumerate(_UNIT.names[:4])}, pos=np.full(len(n), -1, np.int32), n_words=np.array([len(h) for h in seqs], np.int32), fp=pa.nulls(len(n), pa.int64()), bands=pa.nulls(len(n), pa.list_(pa.int64())))
+            yield batch(_UNIT, **{k: part.column(i).take(pa.array(rows)) for i, k in enumerate(_UNIT.names[:4])}, pos=np.concatenate([at for at, _, _ in found]).astype(np.int32), n_words=pa.nulls(len(rows), pa.int32()),
+                        fp=signed(np.concatenate([f for _, f, _ in found])), bands=pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * BANDS, pa.int32()), pa.array(keys)))
+
+
+def _leaf_pairs(batches):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for b in batches:
+        pairs = [p for v in b.column(0).to_pylist() for p in itertools.combinations(sorted(set(v)), 2)]
+        yield batch(schema, a=[p[0] for p in pairs], b=[p[1] for p in pairs])
+
+
+def _choices(batches):
+    """A key for every choice of NEED shingles of the wanted paragraphs; two paragraphs have a key in
+    common exactly if they agree in so many."""
+    schema = pa.schema([("fp", pa.int64()), ("key", pa.int64())])
+    drop = np.array(list(itertools.combinations(range(SHINGLES), SHINGLES - NEED)))
     for b in batches:
-        out: dict[str, list] = {f.name: [] for f in schema}
         for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            want = set(want)
-            for _, _, h in paragraphs(text):
-                fp = fingerprint(h)
-                if fp[0] in want:
-                    for k, v in zip(schema.names, (*fp, np.unique(shingle_hashes(h)).tobytes()), strict=True):
-                        out[k].append(v)
-        yield batch(schema, **out)
+            h = text_words(text)[0]
+            for x in want:
+                s = np.sort(shingle_hashes(h[x["pos"] : x["pos"] + WORDS]))
+                again = np.zeros(len(s), np.uint64)  # equal shingles of one paragraph are told apart
+                for i in range(1, len(s)):
+                    again[i] = again[i - 1] + np.uint64(1) if s[i] == s[i - 1] else np.uint64(0)
+                m = mix64(s + again * _Q)
+                keys = m.sum(keepdims=True, dtype=np.uint64) - m[drop].sum(1, dtype=np.uint64)
+                yield batch(schema, fp=np.full(len(keys), x["fp"], np.int64), key=signed(mix64(keys)))
+
+
+def _seeds(occ: DataFrame, hub: DataFrame, key: str) -> DataFrame:
+    """Occurrences (key, t1, t2, pos, o) with the first of their key (key, hub), where that is in another text."""
+    x = occ.join(hub, key).where("t1 <> hub.t1 or t2 <> hub.t2")
+    return x.select("t1", "t2", F.col("hub.t1").alias("h1"), F.col("hub.t2").alias("h2"), "pos", F.col("hub.pos").alias("h_pos"))
+
 
+def _first():
+    """The occurrence that comes first: by document id and row, then by place."""
+    return F.min(F.struct("o", "t1", "t2", "pos"))
 
-def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+
+def _near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, units: DataFrame) -> DataFrame:
+    """Seeds of different paragraphs that collide in a band, between the first texts that have them."""
+    rows = units.where("pos >= 0").select(F.explode("bands").alias("key"), "fp")
+    keys = rows.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("key")
+    keys = scratch.write(keys, "band-keys")
+    scratch.tidy()
+    met = units.where("pos >= 0").select(F.explode("bands").alias("key"), "fp", "t1", "t2", "pos", F.struct("doc_id", "row_id").alias("o")).join(selective(keys, "key"), "key")
+    met = scratch.write(met.groupBy("key", "fp").agg(_first().alias("r")), "band-met", bloom=True)
+    scratch.tidy()
+    reps = scratch.write(met.groupBy("fp").agg(F.min("r").alias("r")), "band-reps")
+    sizes = scratch.write(met.groupBy("key").agg(F.count("*").alias("n")), "band-sizes")
+    pairs = met.join(sizes.where(F.col("n") <= LEAF), "key").groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(_leaf_pairs, "a long, b long")
+    large = met.join(sizes.where(F.col("n") > LEAF), "key").select("fp").distinct().join(reps, "fp")
+    large = scratch.write(large.select("fp", F.col("r.t1").alias("t1"), F.col("r.t2").alias("t2"), F.col("r.pos").alias("pos")), "band-large")
+    if not large.isEmpty():
+        want = scratch.write(large.groupBy("t1", "t2").agg(F.collect_list(F.struct("fp", "pos")).alias("want")).join(texts.select("t1", "t2", "doc_id"), ["t1", "t2"]), "choices-wanted")
+        got = rows_by_text(scratch.spark, docs, want).select("text", "want").mapInArrow(_choices, "fp long, key long")
+        choices = scratch.write(got.distinct(), "choices", bloom=True)
+        star = scratch.write(choices.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("hi")).where("a <> hi").select("key", "a"), "choices-first")
+        star = choices.join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
+        pairs = pairs.union(star)
+    pairs = scratch.write(pairs.distinct(), "band-pairs")
+    x = pairs.join(reps.select(F.col("fp").alias("a"), F.col("r").alias("ra")), "a").join(reps.select(F.col("fp").alias("b"), F.col("r").alias("rb")), "b")
+    x = x.select(F.greatest("ra", "rb").alias("x"), F.least("ra", "rb").alias("y")).where("x.t1 <> y.t1 or x.t2 <> y.t2")
+    out = x.select(F.col("x.t1").alias("t1"), F.col("x.t2").alias("t2"), F.col("y.t1").alias("h1"), F.col("y.t2").alias("h2"), F.col("x.pos").alias("pos"), F.col("y.pos").alias("h_pos"))
+    out = scratch.write(out, "near-seeds")
+    scratch.drop("band-keys", "band-met", "band-reps", "band-sizes", "band-large", "choices-wanted", "choices", "choices-first", "band-pairs")
+    return out
+
+
+_PART = pa.schema([("kind", pa.int32()), ("t1", pa.int64()), ("t2", pa.int64()), ("stretch", pa.int64()), ("first", pa.int64()), ("n_words", pa.int64())])
+_PART_DDL = "kind int, t1 long, t2 long, stretch long, first long, n_words long"
+
+
+def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for x, y in sorted(spans):
+        if out and x < out[-1][1]:
+            out[-1][1] = max(out[-1][1], y)
+        else:
+            out.append([x, y])
+    return out
+
+
+def _parts(batches):
+    """Per text: its stretches (kind 0 kept, kind 1 removed words) and the stretch of each span (kind 2)."""
+    for b in batches:
+        out: dict[str, list] = {f.name: [] for f in _PART}
+        for t1, t2, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            whole = _merge([(s["x0"], s["x1"]) for s in spans])
+            heads = [w[0] for w in whole]
+            of = lambda x: heads[int(np.searchsorted(heads, x, "right")) - 1]  # noqa: B023, E731
+            gone = _merge([(s["x0"], s["x1"]) for s in spans if s["later"]])
+            rows = [(1, of(x), x, y - x) for x, y in gone]
+            rows += [(0, x, x, y - x) for x, y in whole if not any(x <= g[0] < y for g in gone)]
+            rows += [(2, of(x), x, 0) for x in sorted({s["x0"] for s in spans})]
+            for kind, head, first, n in rows:
+                for name, v in zip(_PART.names, (kind, t1, t2, head, first, n), strict=True):
+                    out[name].append(v)
+        yield batch(_PART, **out)
+
+
+def _hashed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    c = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(c).alias("t1"), F.hash(c).cast("long").alias("t2"), c.alias("text"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per paragraph of a repeated passage, or per passage not made of such paragraphs: doc_id, text_hash, row_id, first and last byte,
-    n_words, class_id, copies, removed."""
+    """One row per passage and row of ``docs`` that has it: doc_id, t1 and t2 (the text's hashes), first
+    (word, from 0), n_words, class_id, copies (members of the class), removed, and whole, which is true of
+    rows whose entire text is a repeat of, or is repeated by, another row's."""
     bounded_batches(spark)
     scratch = Scratch(spark, "substring")
-    keyed = _keyed(docs, text, doc_id)
-    src = keyed.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text_hash", "text")
-    units = scratch.write(src.mapInArrow(_units, _UNIT_DDL), "units")
-    classes = scratch.write(units.groupBy("fp1", "fp2").agg(F.min("uid").alias("node"), F.count("*").alias("n"), F.min("row_id").alias("r0"), F.max("row_id").alias("r1")), "classes")
+    src = _hashed(docs, text, doc_id)
+    units = src.select(F.monotonically_increasing_id(), "doc_id", "t1", "t2", "text").mapInArrow(_units, _UNIT_DDL)
+    units = scratch.write(units, "units")
+    rows = units.where("pos < 0").select("row_id", "doc_id", "t1", "t2", F.col("n_words").cast("long").alias("n_words"))
+    texts = rows.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.max("n_words").alias("n_words"), F.min(F.struct("doc_id", "row_id")).alias("o"))
+    texts = scratch.write(texts.withColumn("doc_id", F.col("o.doc_id")), "texts")
+
+    # equal paragraphs of different texts
+    equal = units.where("pos >= 0").groupBy("fp").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("fp")
+    equal = scratch.write(equal, "equal")
     scratch.tidy()
-
-    # band keys that more than one text of a paragraph has
-    rows = units.where("bands is not null").select(F.explode("bands").alias("key"), "fp1", "fp2")
-    keys = rows.groupBy("key").agg(F.min("fp1").alias("lo"), F.max("fp1").alias("hi")).where("lo <> hi").select("key")
-    keys = scratch.write(keys, "keys")
-    scratch.tidy()
-    met = scratch.write(rows.join(keys, "key").distinct(), "met-units")
+    occ = units.where("pos >= 0").join(selective(equal, "fp"), "fp").groupBy("fp", "t1", "t2", "pos").agg(F.min(F.struct("doc_id", "row_id")).alias("o"))
+    occ = scratch.write(occ, "occurrences", bloom=True)
     scratch.tidy()
-    met = scratch.write(met.join(classes.select("fp1", "fp2", "node", "n"), ["fp1", "fp2"]).select("key", "node", "n"), "met")
-    sizes = scratch.write(met.groupBy("key").agg(F.count("*").alias("size")), "sizes")
-    met = scratch.write(met.join(sizes, "key"), "met-sized")
-    pairs = met.where(F.col("size") <= LEAF).groupBy("key").agg(F.collect_list("node").alias("nodes")).select("nodes").mapInArrow(_leaf_pairs, "a long, b long")
-    large = met.where(F.col("size") > LEAF)
-    leader = large.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.max(F.struct("n", (-F.col("node")).alias("m"))).alias("x"))
-    leader = scratch.write(leader.select("key", (-F.col("x.m")).alias("leader")), "leader")
-    star = large.join(leader, "key").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    pairs = scratch.write(pairs.union(star).distinct(), "pairs")
-
-    # exact sets of the paragraphs in question, from the texts that hold their first copy
-    nodes = pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid"))).distinct()
-    wanted = scratch.write(units.select("uid", "doc_id", "text_hash", "fp1", "fp2").join(nodes, "uid"), "wanted")
-    by_text = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list("fp1").alias("want"))
-    sets = keyed.join(by_text, ["doc_id", "text_hash"]).select("text", "want").mapInArrow(_sets, "fp1 long, fp2 long, set binary")
-    sets = scratch.write(sets.join(wanted.select("fp1", "fp2", F.col("uid").alias("node")), ["fp1", "fp2"]).groupBy("node").agg(F.first("set").alias("set")), "sets")
-    links = scratch.write(confirm(pairs, sets), "links")
-    scratch.drop("keys", "met-units", "met", "sizes", "met-sized", "leader", "pairs", "wanted", "sets")
+    hub = scratch.write(occ.groupBy("fp").agg(_first().alias("hub")), "hubs")
+    seeds = scratch.write(_seeds(occ, hub, "fp").unionByName(_near_seeds(scratch, src, texts, units)), "seeds")
+    whole = rows.join(texts.where((F.col("n") > 1) & (F.col("n_words") >= LEAST)).select("t1", "t2", "n", F.col("o.row_id").alias("r")), ["t1", "t2"])
+    whole = whole.select("doc_id", "t1", "t2", F.lit(0).cast("long").alias("first"), "n_words", F.xxhash64("t1", "t2").alias("class_id"), F.col("n").alias("copies"), (F.col("row_id") != F.col("r")).alias("removed"), F.lit(True).alias("whole"))
+    whole = scratch.write(whole, "whole")
+    scratch.drop("units", "equal", "occurrences", "hubs", "near-seeds")
     scratch.tidy()
-    comp = scratch.write(components(scratch, links), "components")
-
-    # classes of paragraphs, with those that stand in two documents at least
-    named = classes.where("n > 1").select("fp1", "fp2", "node", "n", "r0", "r1").join(comp, "node", "left")
-    more = classes.where("n = 1").select("fp1", "fp2", "node", "n", "r0", "r1").join(comp, "node")
-    named = named.unionByName(more).select("fp1", "fp2", F.coalesce("comp", "node").alias("class_id"), "n", "r0", "r1")
-    named = scratch.write(named, "named")
-    wide = named.groupBy("class_id").agg(F.sum("n").alias("copies"), F.min("r0").alias("a"), F.max("r1").alias("b")).where("a <> b").select("class_id", "copies")
-    wide = scratch.write(wide, "wide")
-    named = scratch.write(named.select("fp1", "fp2", "class_id").join(wide, "class_id"), "classed")
-    found = units.select("row_id", "doc_id", "text_hash", "place", "first", "last", "n_words", "fp1", "fp2").join(named, ["fp1", "fp2"])
-    found = scratch.write(found.drop("fp1", "fp2"), "found")
-    scratch.drop("units", "classes", "named", "wide", "classed", "links", "components")
-    # runs of paragraphs within a document; windows are no larger than a document
-    w = Window.partitionBy("row_id").orderBy("place")
-    runs = found.withColumn("new", (F.col("place") - F.lag("place", 1, -9).over(w) > 1).cast("int")).withColumn("run", F.sum("new").over(w))
-    runs = runs.withColumn("words", F.sum("n_words").over(Window.partitionBy("row_id", "run"))).where(F.col("words") >= PASSAGE_WORDS)
-    runs = scratch.write(runs.drop("new", "run", "words"), "runs")
-    start = scratch.write(runs.groupBy("class_id").agg(F.min(F.struct("doc_id", "row_id", "place")).alias("s"), F.min("row_id").alias("a"), F.max("row_id").alias("b")).where("a <> b").select("class_id", "s"), "start")
-    out = runs.join(start, "class_id").select(
-        F.expr(f"nullif(doc_id, {NO_ID})").alias("doc_id"), "text_hash", "row_id", "first", "last", F.col("n_words").cast("long").alias("n_words"), "class_id", "copies",
-        (F.struct("doc_id", "row_id", "place") != F.col("s")).alias("removed"),
-    )
-    out = scratch.write(out, "passages")
-    scratch.drop("found", "runs", "start")
-    scratch.tidy()
-    # what stands inside lines, or across short and edited ones
-    more = shared_passages(scratch, src, keyed, out.where("removed").select("row_id", "first", "last"), PASSAGE_WORDS)
-    out = out.unionByName(more.withColumn("doc_id", F.expr(f"nullif(doc_id, {NO_ID})")))
+
+    told = align(scratch, src, texts, seeds, WORDS, LEAST, "first", ask=True)
+    spans = told.where("kind = 0").drop("kind")
+    # passages of later texts whose paragraphs all stand in other, earlier ones
+    ask = told.where("kind = 1").select("t1", "t2", F.col("h1").alias("key"), F.col("x0").alias("pos")).distinct()
+    keys = ask.groupBy("key").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("key")
+    ask = scratch.write(ask.join(selective(keys, "key"), "key").join(texts.select("t1", "t2", "o"), ["t1", "t2"]), "windows")
+    if not ask.isEmpty():
+        hub = scratch.write(ask.groupBy("key").agg(_first().alias("hub")), "window-hubs")
+        more = scratch.write(_seeds(ask, hub, "key").distinct(), "window-seeds")
+        spans = spans.unionByName(align(scratch, src, texts, more, WORDS, LEAST, "second").drop("kind"))
+    spans = scratch.write(spans.distinct(), "spans")
+    scratch.drop("seeds", "first-spans", "second-spans", "windows", "window-hubs", "window-seeds")
+
+    # stretches of each text; a place with many spans counts by its longest, so a group is no larger than its text
+    sides = spans.select("t1", "t2", "x0", "x1", F.lit(True).alias("later")).union(spans.select("h1", "h2", "y0", "y1", F.lit(False)))
+    sides = sides.groupBy("t1", "t2", "x0", "later").agg(F.max("x1").alias("x1"))
+    parts = scratch.write(sides.groupBy("t1", "t2").agg(F.collect_list(F.struct("x0", "x1", "later")).alias("spans")).mapInArrow(_parts, _PART_DDL), "parts")
+    place = parts.where("kind = 2").select("t1", "t2", F.col("first").alias("x0"), F.xxhash64("t1", "t2", "stretch").alias("node"))
+    edges = spans.select(*SIDES, "x0", "y0").distinct().join(place, ["t1", "t2", "x0"]).withColumnRenamed("node", "a").select("a", "h1", "h2", "y0")
+    edges = edges.join(place.select(F.col("t1").alias("h1"), F.col("t2").alias("h2"), F.col("x0").alias("y0"), F.col("node").alias("b")), ["h1", "h2", "y0"]).select("a", "b").distinct()
+    comp = scratch.write(components(scratch, edges), "components")
+    copies = comp.groupBy("comp").agg(F.count("*").alias("copies"))
+    found = parts.where("kind < 2").withColumn("node", F.xxhash64("t1", "t2", "stretch")).join(comp, "node").join(copies, "comp").join(texts.select("t1", "t2", "doc_id"), ["t1", "t2"])
+    found = found.select("doc_id", "t1", "t2", "first", "n_words", F.col("comp").alias("class_id"), "copies", (F.col("kind") == 1).alias("removed"), F.lit(False).alias("whole"))
+    out = scratch.write(found.unionByName(whole), "passages")
+    scratch.drop("texts", "whole", "spans", "parts", "components")
     scratch.tidy()
     return out
 
 
 def _cut(text: str, spans: list[dict]) -> str:
+    """The text without the given runs of words; what stands between other words stays."""
     data = text.encode()
+    s, e = word_bounds(np.frombuffer(data, np.uint8))
     out, at = [], 0
-    for s in sorted(spans, key=lambda s: s["first"]):
-        out.append(data[at : s["first"]])
-        at = max(at, s["last"])
+    for x, n in sorted((v["first"], v["n_words"]) for v in spans):
+        out.append(data[at : s[x]])
+        at = int(e[x + n - 1])
     out.append(data[at:])
     return b"".join(out).decode()
 
 
 def remove(spark: SparkSession, docs: DataFrame, passages: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without the passages that are to go; those left without a word are dropped.
-    Columns stay as they are; a column n_chars is counted anew where a text changed."""
+
+    Columns stay as they are; a column n_chars is counted anew where a text changed. Texts of which
+    nothing goes pass through without a shuffle (``KeyFilter``); of repeated rows one stays."""
     bounded_batches(spark)
-    cols = docs.columns
-    key = ["__id", "__hash"]
-    mine = passages.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("text_hash").alias("__hash"), "row_id", "removed", F.struct("first", "last").alias("s"))
-    spans = mine.where("removed").groupBy(*key).agg(F.collect_set("s").alias("__spans"))
-    src = docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))).withColumn("__hash", F.xxhash64(F.col(text)))
-    out = [*[F.col(f"`{c}`") for c in cols], F.col("__spans")]
-    # rows of one id and one text: the first by row_id may hold what the others lose, and all others lose
-    # the same; any one of the equal rows can stand for the first
     scratch = Scratch(spark, "substring-remove")
-    again = mine.groupBy(*key).agg(F.min("row_id").alias("r"), F.max("row_id").alias("r1")).where("r <> r1").drop("r1")
-    again = scratch.write(again, "again")
-    if again.isEmpty():
-        joined = src.join(spans, key, "left").select(*out)
-    else:
-        first = mine.where("removed").join(again.withColumnRenamed("r", "row_id"), [*key, "row_id"]).groupBy(*key).agg(F.collect_set("s").alias("__spans")).withColumn("__first", F.lit(True))
-        both = scratch.write(spans.join(again, key, "left_semi").withColumn("__first", F.lit(False)).unionByName(first), "both")
-        rows = scratch.write(src.join(again, key, "left_semi").withColumn("__n", F.monotonically_increasing_id()), "rows", "zstd")
-        lead = scratch.write(rows.groupBy(*key).agg(F.min("__n").alias("__n")).select("__n", F.lit(True).alias("__first")), "lead")
-        rows = rows.join(lead, "__n", "left").withColumn("__first", F.coalesce("__first", F.lit(False))).join(both, [*key, "__first"], "left").select(*out)
-        joined = src.join(again, key, "left_anti").join(spans, key, "left").select(*out).union(rows)
+    cols = docs.columns
+    gone = passages.where("removed and not whole").groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "n_words")).alias("spans"))
+    twice = passages.where("whole").groupBy("t1", "t2").agg(F.min(F.struct("doc_id")).alias("lead"))
+    plan = scratch.write(gone.join(twice, ["t1", "t2"], "full").select("t1", "t2", F.coalesce("spans", F.array().cast("array<struct<first: bigint, n_words: bigint>>")).alias("spans"), "lead"), "plan")
+    h1, h2, spans, lead, number = fresh(docs, "t1", "t2", "spans", "lead", "number")
+    plan = plan.toDF(h1, h2, spans, lead)
+    own = [F.col(f"`{c}`") for c in cols]
+    src = docs.withColumns({h1: F.xxhash64(F.col(f"`{text}`")), h2: F.hash(F.col(f"`{text}`")).cast("long")})
+    known = KeyFilter(spark, plan, h1)
+    untouched = src.where(~known.maybe(h1)).select(*own)
+    # of equal texts only rows of the smallest id are candidates to stay
+    touched = src.where(known.maybe(h1)).join(plan, [h1, h2], "left")
+    touched = touched.where(F.col(lead).isNull() | F.col(lead)["doc_id"].eqNullSafe(F.col(f"`{doc_id}`").cast("long")))
+    if not twice.isEmpty():
+        touched = scratch.write(touched.withColumn(number, F.monotonically_increasing_id()), "touched", "zstd")
+        first = scratch.write(touched.where(F.col(lead).isNotNull()).groupBy(h1, h2).agg(F.min(number).alias(number)).select(number), "leads")
+        touched = touched.where(F.col(lead).isNull()).unionByName(touched.where(F.col(lead).isNotNull()).join(first, number, "left_semi").select(*touched.columns))
     at = cols.index(text)
 
     def run(batches):
         for b in batches:
             texts = b.column(at).to_pylist()
-            spans = b.column(b.num_columns - 1).to_pylist()
-            new = [t if not s else _cut(t, s) for t, s in zip(texts, spans, strict=True)]
-            keep = pa.array([not s or bool(t.encode().split()) for t, s in zip(new, spans, strict=True)])
+            cuts = b.column(b.num_columns - 1).to_pylist()
+            new = [_cut(t, s) if s else t for t, s in zip(texts, cuts, strict=True)]
+            keep = pa.array([not s or bool(t.encode().split()) for t, s in zip(new, cuts, strict=True)], pa.bool_())
             columns = list(b.columns[:-1])
             columns[at] = pa.array(new, b.schema.field(at).type)
             if "n_chars" in cols:
                 i = cols.index("n_chars")
                 old = columns[i].to_pylist()
-                columns[i] = pa.array([len(t) if s else o for t, s, o in zip(new, spans, old, strict=True)], b.schema.field(i).type)
+                columns[i] = pa.array([len(t) if s else o for t, s, o in zip(new, cuts, old, strict=True)], b.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(columns, names=cols).filter(keep)
 
-    return joined.mapInArrow(run, docs.schema)
+    return untouched.union(touched.select(*own, F.col(spans)).mapInArrow(run, docs.schema))

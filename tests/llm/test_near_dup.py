@@ -87,6 +87,40 @@ def test_keep_one(spark):
     assert sum(r[0] == 5 for r in out) == 1 and {100, 101, 102} <= {r[0] for r in out}
 
 
+def test_template_family_in_a_large_region(spark):
+    """Hundreds of documents alike at 0.69 of which a few pairs reach 0.75: every such link is found."""
+    rng = random.Random(21)
+    template = [f"t{k}" for k in range(160)]
+    texts = []
+    for k in range(400):
+        own = [f"u{k}x{j}" for j in range(36)]
+        texts.append((template, own))
+        if k % 20 == 0:
+            texts.append((template, [*own[:22], *[f"z{k}x{j}" for j in range(14)]]))
+    rows = [(i, " ".join(a + b), "en", "a", 0, "", "") for i, (a, b) in enumerate(texts)]
+    rng.shuffle(rows)
+    want = brute(rows)
+    assert 15 <= sum(w[0] != w[2] for w in want) <= 25
+    assert got(spark, rows) == want
+
+
+def test_ids_at_both_ends_and_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(23)
+    t = prose(rng, 200, 5000)
+    ids = (-(1 << 63), -(1 << 62), -(1 << 62) - 5, 0, (1 << 63) - 1, None)
+    rows = [(i, edited(rng, t, 1), "en", "a", 0, "", "") for i in ids] + [(4, prose(rng, 90), "en", "a", 0, "", ""), (4, prose(rng, 90), "en", "a", 0, "", "")]
+    assert got(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, DDL)
+    for c in ("__id", "__hash", "t1", "t2", "key", "i", "number", "node", "c"):
+        df = df.withColumn(c, F.lit(7))
+    out = keep_one(spark, df)
+    assert out.columns == df.columns
+    got_ = out.collect()
+    assert sorted(r.doc_id for r in got_) == [-(1 << 63), 4, 4] and {r["__id"] for r in got_} == {7}
+
+
 def test_unlinked_rows_of_one_id_stay(spark):
     rng = random.Random(8)
     texts = [prose(rng, 80, 5000) for _ in range(5)]
