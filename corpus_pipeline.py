@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm.common import Scratch
+from registra.llm.common import Scratch, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +66,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     before = None
     for name, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir), name, "zstd")
+        with scratch_scope():  # what a stage wrote for itself goes with it
+            docs = scratch.write(stage(spark, docs, sf_dir), name, "zstd")
         if before:
             scratch.drop(before)
         before = name
