@@ -149,6 +149,17 @@ _SPAN = pa.schema([("kind", pa.int32())] + [(x, pa.int64()) for x in (*SIDES, "x
 _SPAN_DDL = ", ".join(f"{f.name} {'int' if f.name == 'kind' else 'long'}" for f in _SPAN)
 
 
+def _anchor(a: np.ndarray, p: int, b: np.ndarray, q: int) -> tuple[int, int] | None:
+    """The seed itself where its words are equal, else the first equal ``RESUME`` words after it."""
+    if p + RESUME <= len(a) and np.array_equal(a[p : p + RESUME], b[q : q + RESUME]):
+        return p, q
+    x, y = (np.lib.stride_tricks.sliding_window_view(v, RESUME) for v in (a[p : p + BLOCK], b[q : q + BLOCK]) if len(v) >= RESUME) if min(len(a) - p, len(b) - q) >= RESUME else ((), ())
+    at: dict[bytes, int] = {}
+    for j, v in enumerate(y):
+        at.setdefault(v.tobytes(), j)
+    return next(((p + i, q + at[v.tobytes()]) for i, v in enumerate(x) if v.tobytes() in at), None)
+
+
 def _aligner(width: int, least: int, ask: bool):
     def run(batches):
         for b in batches:
@@ -162,7 +173,7 @@ def _aligner(width: int, least: int, ask: bool):
                 a, a0 = _read([x for x in blocks if x["side"] == 0])
                 c, c0 = _read([x for x in blocks if x["side"] == 1])
                 at = (np.frombuffer(seeds, "<i4").reshape(-1, 2) - np.array([a0, c0])).tolist()
-                at = [(p, q) for p, q in at if near(a[p : p + width], c[q : q + width])]
+                at = [x for x in (_anchor(a, p, c, q) for p, q in at) if x]
                 found = shared(a, c, at, least)
                 for x0, x1, y0, y1 in found:
                     tell(0, *ids, x0 + a0, x1 + a0, y0 + c0, y1 + c0)

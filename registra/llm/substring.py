@@ -1,20 +1,23 @@
 """Repeated passages: paragraph MinHash banding, exact verification, clusters of removals.
 
-A *paragraph* is a window of ``WORDS`` words that begins where the words themselves say so: at the least
-pair hash of ``SPREAD`` neighbouring places. Line ends count for nothing, so a passage inside a line is cut
-alike wherever it stands, and any two texts that share ``WORDS + SPREAD - 1`` words (47) in a row have a
-whole paragraph in common. Paragraphs are compared by MinHash of their 5-word shingles, banded by ``tune``
-for high recall. Those that collide in a band are joined: equal ones with the first text that has
-theirs, different ones in pairs where a band has at most ``LEAF`` of them. In a larger band every
-paragraph is joined with the first of those that agree in ``NEED`` of its shingles, for every choice of
-so many: exact, since less agreement is under the threshold, and linear in the band.
-
-Every colliding pair is verified on its words (exact Jaccard of 0.75) and extended word by word to both
-ends (``passages``); a passage is what then has ``LEAST`` words or more. Where two texts have equal
-paragraphs but no passage with their first holder, each window of ``LEAST`` words around them is looked
-up, so that a passage of two later texts is found too. Passages that overlap in a text are one stretch;
-components of matched stretches are the clusters. Of each match the text that comes first, by smallest
-document id, keeps its words; ``remove`` cuts the others.
+A *paragraph* is what stands between two cuts of the text's words, line ends left aside; a cut is made
+where the hash of two neighbouring words is the least of ``REACH`` on either side, so the words
+themselves say where, and paragraphs have over 40 words on average. They are compared by MinHash of
+their 5-word shingles, banded by ``tune`` for high recall. Paragraphs that collide in a band are joined:
+all pairs in a band of at most ``LEAF``, in a larger one each with its first, and then, by the complete
+prefix filter of ``near_dup.rare_pairs``, those that are not of one component by that.
+
+A passage may hold no whole paragraph. So inside them the finest level is compared too: windows of
+``WINDOW`` words that begin at the least pair hash of ``SPREAD`` neighbouring places. Two texts that
+share ``WINDOW + SPREAD - 1`` words (47) in a row have such a window in common; equal windows are joined
+with the first text that has theirs.
+
+Every colliding pair is extended word by word to both ends (``passages``) and verified by exact Jaccard
+of 0.75; a passage is what then has ``LEAST`` words or more. Where two texts have equal windows but no
+passage with their first holder, each run of ``LEAST`` words around them is looked up, so that a passage
+of two later texts is found too. Passages that overlap in a text are one stretch; components of matched
+stretches are the clusters. Of each match the text that comes first, by smallest document id, keeps its
+words; ``remove`` cuts the others.
 
 Texts, not rows, are compared: equal texts are one, and of their rows all but the first are repeats
 from end to end. Texts are told apart by 96 bits of hash.
@@ -27,27 +30,25 @@ their names, are ignored (``remove`` keeps them).
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, Scratch, batch, bounded_batches, components, fresh, hash_words, minhash_multipliers, mix64, rows_by_text, selective, shingle_hashes, signed, word_bounds
+from .common import KeyFilter, Scratch, batch, bounded_batches, components, fresh, minhash_multipliers, mix64, rows_by_text, selective, shingle_hashes, signed, word_bounds
+from .near_dup import _hashed, confirm, rare_pairs
 from .passages import SIDES, align, text_words
 
-WORDS = 20
+REACH = 20
+WINDOW = 20
 SPREAD = 28
-SHINGLES = WORDS - 4
-NEED = 14  # shingles in common of two paragraphs at a Jaccard of 0.75: 14 / 18, while 13 / 19 is less
 LEAST = 50
 LEAF = 16
 
 
-def tune(threshold: float = 0.75, recall: float = 0.9, most: int = 3) -> tuple[int, int]:
+def tune(threshold: float = 0.75, recall: float = 0.98, most: int = 5) -> tuple[int, int]:
     """(bands, rows): the most selective banding of at most ``most`` bands that finds a pair of paragraphs
-    at the threshold with the wanted probability. A passage has two paragraphs or more on average."""
+    at the threshold with the wanted probability."""
     for rows in range(8, 0, -1):
         for bands in range(1, most + 1):
             if 1 - (1 - threshold**rows) ** bands >= recall:
@@ -68,43 +69,76 @@ def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[: len(x) - width + 1], out[width - k : width - k + len(x) - width + 1]) if k < width else out
 
 
+def _pairs(h: np.ndarray) -> np.ndarray:
+    """Hash of every two neighbouring words."""
+    return mix64(h[:-1] * _Q + h[1:])
+
+
+def cuts(h: np.ndarray) -> np.ndarray:
+    """Places at which a paragraph begins: the text's head, and least pair hashes (the first of equal ones)."""
+    g = _pairs(h)
+    if len(g) <= 2 * REACH:
+        return np.zeros(min(len(h), 1), np.int64)
+    most = np.full(REACH, np.uint64(0xFFFFFFFFFFFFFFFF))
+    wide = np.concatenate([most, g, most])
+    low = _slide(wide, REACH, np.minimum)
+    before, after = low[: len(g)], low[REACH + 1 : REACH + 1 + len(g)]
+    at = np.flatnonzero((g < before) & (g <= after))
+    return np.concatenate([[0], at[at > 0]])
+
+
 def starts(h: np.ndarray) -> np.ndarray:
-    """Places at which the paragraphs of a word sequence begin."""
-    n = len(h) - WORDS + 1
+    """Places at which the windows of a word sequence begin."""
+    n = len(h) - WINDOW + 1
     if n < 1:
         return np.empty(0, np.int64)
-    g = mix64(h[:n] * _Q + h[1 : n + 1])
+    g = _pairs(h)[:n]
     w = min(SPREAD, n)
     least = np.concatenate([np.zeros(w - 1, np.uint64), _slide(g, w, np.minimum), np.zeros(w - 1, np.uint64)])
     return np.flatnonzero(_slide(least, w, np.maximum) == g)
 
 
-def paragraphs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, fingerprints, shingle hashes) of the paragraphs of a word sequence. Within a text that
-    goes round in circles a paragraph is told once a circle of ``WORDS`` or more."""
+def windows(h: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, fingerprints) of the windows of a word sequence with shingle hashes ``s``. Of equal windows
+    that overlap (a text that goes round in circles) the first is told."""
     at = starts(h)
     if not len(at):
-        return at, np.empty(0, np.uint64), np.empty((0, SHINGLES), np.uint64)
-    s = shingle_hashes(h)[at[:, None] + np.arange(SHINGLES)]
-    fp = mix64(mix64(mix64(s[:, 0] * _Q + s[:, 5]) * _Q + s[:, 10]) * _Q + s[:, 15])
-    if len(at) > 1 and np.diff(at).min() < WORDS:
+        return at, np.empty(0, np.uint64)
+    fp = mix64(mix64(mix64(s[at] * _Q + s[at + 5]) * _Q + s[at + 10]) * _Q + s[at + 15])
+    if len(at) > 1 and np.diff(at).min() < WINDOW:
         order = np.lexsort((at, fp))
         again = np.zeros(len(at), bool)
-        again[order[1:]] = (fp[order[1:]] == fp[order[:-1]]) & (at[order[1:]] - at[order[:-1]] < WORDS)
-        at, fp, s = at[~again], fp[~again], s[~again]
-    return at, fp, s
-
-
-def band_keys(s: np.ndarray) -> np.ndarray:
-    """(paragraphs, BANDS) keys of rows of shingle hashes."""
-    a, x = minhash_multipliers(BANDS * ROWS, seed=11)
-    out = np.zeros((len(s), BANDS), np.uint64)
-    for j in range(BANDS):
-        k = np.full(len(s), j + 1, np.uint64)
-        for r in range(j * ROWS, (j + 1) * ROWS):
-            k = mix64(k * np.uint64(0x9E3779B97F4A7C15) + (((s ^ x[r]) * a[r]) >> np.uint64(32)).min(1))
-        out[:, j] = k
-    return out
+        again[order[1:]] = (fp[order[1:]] == fp[order[:-1]]) & (at[order[1:]] - at[order[:-1]] < WINDOW)
+        at, fp = at[~again], fp[~again]
+    return at, fp
+
+
+def paragraphs(seqs: list[np.ndarray], sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, words, fingerprint, band keys) of the paragraphs of ``WINDOW`` words or more of some
+    texts, given as word hashes and their shingle hashes."""
+    at = [cuts(h) for h in seqs]
+    n = np.concatenate([np.diff(c, append=len(h)) for c, h in zip(at, seqs, strict=True)])
+    text = np.repeat(np.arange(len(seqs)), [len(c) for c in at])
+    at = np.concatenate(at)
+    ok = n >= WINDOW
+    text, at, n = text[ok], at[ok], n[ok]
+    keys = np.zeros((len(at), BANDS), np.uint64)
+    fp = np.zeros(len(at), np.uint64)
+    if len(at):
+        # the shingles of all paragraphs, in one run
+        m = n - 4
+        head = np.cumsum(m) - m
+        base = np.cumsum([0, *map(len, sets[:-1])])[text] + at
+        inner = np.arange(int(m.sum())) - np.repeat(head, m)
+        x = np.concatenate(sets)[inner + np.repeat(base, m)]
+        fp = mix64(np.add.reduceat(mix64(x + inner.astype(np.uint64) * _Q), head))
+        a, b = minhash_multipliers(BANDS * ROWS, seed=11)
+        for j in range(BANDS):
+            k = np.full(len(at), j + 1, np.uint64)
+            for r in range(j * ROWS, (j + 1) * ROWS):
+                k = mix64(k * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat((x ^ b[r]) * a[r], head))
+            keys[:, j] = k
+    return text, at, n, fp, keys
 
 
 _UNIT = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("pos", pa.int32()), ("n_words", pa.int32()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
@@ -112,43 +146,38 @@ _UNIT_DDL = "row_id long, doc_id long, t1 long, t2 long, pos int, n_words int, f
 
 
 def _units(batches):
-    """The paragraphs of each text, and before them one row (pos -1) with its number of words."""
+    """Per text one row (pos -1) with its number of words, its windows (n_words null) and its paragraphs."""
     for b in batches:
         for lo in range(0, b.num_rows, 200):
             part = b.slice(lo, 200)
             seqs = [text_words(t)[0] for t in part.column(4).to_pylist()]
-            found = [paragraphs(h) for h in seqs]
-            n = np.array([len(at) for at, _, _ in found], np.int64)
-            rows = np.repeat(np.arange(len(n)), n)
-            keys = signed(band_keys(np.concatenate([s for _, _, s in found]))).ravel()
-            yield batch(_UNIT, **{k: part.column(i) for i, k in enumerate(_UNIT.names[:4])}, pos=np.full(len(n), -1, np.int32), n_words=np.array([len(h) for h in seqs], np.int32), fp=pa.nulls(len(n), pa.int64()), bands=pa.nulls(len(n), pa.list_(pa.int64())))
-            yield batch(_UNIT, **{k: part.column(i).take(pa.array(rows)) for i, k in enumerate(_UNIT.names[:4])}, pos=np.concatenate([at for at, _, _ in found]).astype(np.int32), n_words=pa.nulls(len(rows), pa.int32()),
-                        fp=signed(np.concatenate([f for _, f, _ in found])), bands=pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * BANDS, pa.int32()), pa.array(keys)))
+            sets = [shingle_hashes(h) for h in seqs]
+            win = [windows(h, s) for h, s in zip(seqs, sets, strict=True)]
+            text, at, n, fp, keys = paragraphs(seqs, sets)
 
+            def rows(i, pos, n_words=None, fp=None, bands=None, part=part):
+                size = len(i)
+                lists = pa.array(np.arange(size + 1) * BANDS, pa.int32())
+                return batch(_UNIT, **{k: part.column(c).take(pa.array(i)) for c, k in enumerate(_UNIT.names[:4])}, pos=pos.astype(np.int32), n_words=pa.nulls(size, pa.int32()) if n_words is None else n_words.astype(np.int32),
+                             fp=pa.nulls(size, pa.int64()) if fp is None else signed(fp), bands=pa.nulls(size, pa.list_(pa.int64())) if bands is None else pa.ListArray.from_arrays(lists, pa.array(signed(bands).ravel())))
 
-def _leaf_pairs(batches):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    for b in batches:
-        pairs = [p for v in b.column(0).to_pylist() for p in itertools.combinations(sorted(set(v)), 2)]
-        yield batch(schema, a=[p[0] for p in pairs], b=[p[1] for p in pairs])
+            yield rows(np.arange(len(seqs)), np.full(len(seqs), -1), np.array([len(h) for h in seqs], int))
+            yield rows(np.repeat(np.arange(len(seqs)), [len(w[0]) for w in win]), np.concatenate([w[0] for w in win]), fp=np.concatenate([w[1] for w in win]))
+            yield rows(text, at, n, fp, keys)
 
 
-def _choices(batches):
-    """A key for every choice of NEED shingles of the wanted paragraphs; two paragraphs have a key in
-    common exactly if they agree in so many."""
-    schema = pa.schema([("fp", pa.int64()), ("key", pa.int64())])
-    drop = np.array(list(itertools.combinations(range(SHINGLES), SHINGLES - NEED)))
+def _sets(batches):
+    """Shingle sets of the wanted paragraphs of each text."""
+    schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
     for b in batches:
         for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             h = text_words(text)[0]
-            for x in want:
-                s = np.sort(shingle_hashes(h[x["pos"] : x["pos"] + WORDS]))
-                again = np.zeros(len(s), np.uint64)  # equal shingles of one paragraph are told apart
-                for i in range(1, len(s)):
-                    again[i] = again[i - 1] + np.uint64(1) if s[i] == s[i - 1] else np.uint64(0)
-                m = mix64(s + again * _Q)
-                keys = m.sum(keepdims=True, dtype=np.uint64) - m[drop].sum(1, dtype=np.uint64)
-                yield batch(schema, fp=np.full(len(keys), x["fp"], np.int64), key=signed(mix64(keys)))
+            yield batch(schema, node=[x["fp"] for x in want], set=[np.unique(shingle_hashes(h[x["pos"] : x["pos"] + x["n"]])).tobytes() for x in want])
+
+
+def _first():
+    """The occurrence that comes first: by document id and row, then by place."""
+    return F.min(F.struct("o", "t1", "t2", "pos"))
 
 
 def _seeds(occ: DataFrame, hub: DataFrame, key: str) -> DataFrame:
@@ -157,38 +186,45 @@ def _seeds(occ: DataFrame, hub: DataFrame, key: str) -> DataFrame:
     return x.select("t1", "t2", F.col("hub.t1").alias("h1"), F.col("hub.t2").alias("h2"), "pos", F.col("hub.pos").alias("h_pos"))
 
 
-def _first():
-    """The occurrence that comes first: by document id and row, then by place."""
-    return F.min(F.struct("o", "t1", "t2", "pos"))
+def _pair(rows: DataFrame) -> DataFrame:
+    """Seeds of pairs x, y (first occurrences), the later text against the earlier; n and pos of the later."""
+    z = rows.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).where("x.t1 <> y.t1 or x.t2 <> y.t2")
+    return z.select("x.t1", "x.t2", F.col("y.t1").alias("h1"), F.col("y.t2").alias("h2"), F.col("x.pos").alias("pos"), F.col("y.pos").alias("h_pos"), F.col("x.n").alias("n"))
 
 
-def _near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, units: DataFrame) -> DataFrame:
-    """Seeds of different paragraphs that collide in a band, between the first texts that have them."""
-    rows = units.where("pos >= 0").select(F.explode("bands").alias("key"), "fp")
+def near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, par: DataFrame, cover: DataFrame) -> DataFrame:
+    """Seeds of different paragraphs that collide in a band, between the first texts that have them.
+    ``cover`` (t1, t2, cover) are words that go already: a paragraph inside them needs no partner."""
+    rows = par.select(F.explode("bands").alias("key"), "fp")
     keys = rows.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("key")
     keys = scratch.write(keys, "band-keys")
     scratch.tidy()
-    met = units.where("pos >= 0").select(F.explode("bands").alias("key"), "fp", "t1", "t2", "pos", F.struct("doc_id", "row_id").alias("o")).join(selective(keys, "key"), "key")
-    met = scratch.write(met.groupBy("key", "fp").agg(_first().alias("r")), "band-met", bloom=True)
+    here = F.struct(F.struct("doc_id", "row_id").alias("o"), "t1", "t2", "pos", F.col("n_words").alias("n"))
+    met = par.select(F.explode("bands").alias("key"), "fp", here.alias("r")).join(selective(keys, "key"), "key")
+    met = scratch.write(met.groupBy("key", "fp").agg(F.min("r").alias("r")), "band-met", bloom=True)
     scratch.tidy()
-    reps = scratch.write(met.groupBy("fp").agg(F.min("r").alias("r")), "band-reps")
-    sizes = scratch.write(met.groupBy("key").agg(F.count("*").alias("n")), "band-sizes")
-    pairs = met.join(sizes.where(F.col("n") <= LEAF), "key").groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(_leaf_pairs, "a long, b long")
-    large = met.join(sizes.where(F.col("n") > LEAF), "key").select("fp").distinct().join(reps, "fp")
-    large = scratch.write(large.select("fp", F.col("r.t1").alias("t1"), F.col("r.t2").alias("t2"), F.col("r.pos").alias("pos")), "band-large")
+    sizes = scratch.write(met.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("r", "fp")).alias("f")), "band-sizes")
+    small = met.join(sizes.where(F.col("size") <= LEAF).select("key"), "key")
+    small = small.select("key", F.col("r").alias("x"), F.col("fp").alias("fx")).join(small.select("key", F.col("r").alias("y"), F.col("fp").alias("fy")), "key").where("fx < fy")
+    out = _pair(small)
+    large = scratch.write(met.join(sizes.where(F.col("size") > LEAF).select("key", "f"), "key"), "band-large")
     if not large.isEmpty():
-        want = scratch.write(large.groupBy("t1", "t2").agg(F.collect_list(F.struct("fp", "pos")).alias("want")).join(texts.select("t1", "t2", "doc_id"), ["t1", "t2"]), "choices-wanted")
-        got = rows_by_text(scratch.spark, docs, want).select("text", "want").mapInArrow(_choices, "fp long, key long")
-        choices = scratch.write(got.distinct(), "choices", bloom=True)
-        star = scratch.write(choices.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("hi")).where("a <> hi").select("key", "a"), "choices-first")
-        star = choices.join(star, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
-        pairs = pairs.union(star)
-    pairs = scratch.write(pairs.distinct(), "band-pairs")
-    x = pairs.join(reps.select(F.col("fp").alias("a"), F.col("r").alias("ra")), "a").join(reps.select(F.col("fp").alias("b"), F.col("r").alias("rb")), "b")
-    x = x.select(F.greatest("ra", "rb").alias("x"), F.least("ra", "rb").alias("y")).where("x.t1 <> y.t1 or x.t2 <> y.t2")
-    out = x.select(F.col("x.t1").alias("t1"), F.col("x.t2").alias("t2"), F.col("y.t1").alias("h1"), F.col("y.t2").alias("h2"), F.col("x.pos").alias("pos"), F.col("y.pos").alias("h_pos"))
-    out = scratch.write(out, "near-seeds")
-    scratch.drop("band-keys", "band-met", "band-reps", "band-sizes", "band-large", "choices-wanted", "choices", "choices-first", "band-pairs")
+        reps = scratch.write(large.groupBy("fp").agg(F.min("r").alias("r")), "band-reps")
+        want = reps.groupBy("r.t1", "r.t2").agg(F.collect_list(F.struct("fp", F.col("r.pos").alias("pos"), F.col("r.n").alias("n"))).alias("want")).join(texts.select("t1", "t2", "doc_id"), ["t1", "t2"])
+        want = scratch.write(want, "band-wanted")
+        sets = rows_by_text(scratch.spark, docs, want).select("text", "want").mapInArrow(_sets, "node long, set binary")
+        sets = scratch.write(sets.dropDuplicates(["node"]), "band-sets", bloom=True)
+        star = large.where("fp <> f.fp").select(F.col("fp").alias("a"), F.col("f.fp").alias("b"), F.col("r").alias("x"), F.col("f.r").alias("y"))
+        out = out.unionByName(_pair(star))
+        links = scratch.write(confirm(star.select("a", "b").distinct(), sets), "band-links")
+        comp = scratch.write(components(scratch, links, "band-cc"), "band-comp")
+        rare = scratch.write(confirm(rare_pairs(scratch, sets, comp), sets), "band-rare")
+        rare = rare.join(reps.select(F.col("fp").alias("a"), F.col("r").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("r").alias("y")), "b")
+        out = out.unionByName(_pair(rare))
+    covered = F.exists("cover", lambda c: (c["x0"] <= F.col("pos")) & (F.col("pos") + F.col("n") <= c["x1"]))
+    out = out.distinct().join(cover, ["t1", "t2"], "left").where(F.col("cover").isNull() | ~covered)
+    out = scratch.write(out.select(*SIDES, "pos", "h_pos").distinct(), "near-seeds")
+    scratch.drop("band-keys", "band-met", "band-sizes", "band-large", "band-reps", "band-wanted", "band-sets", "band-links", "band-comp", "band-rare", "rare")
     return out
 
 
@@ -224,11 +260,6 @@ def _parts(batches):
         yield batch(_PART, **out)
 
 
-def _hashed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    c = F.col(f"`{text}`")
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(c).alias("t1"), F.hash(c).cast("long").alias("t2"), c.alias("text"))
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per passage and row of ``docs`` that has it: doc_id, t1 and t2 (the text's hashes), first
     (word, from 0), n_words, class_id, copies (members of the class), removed, and whole, which is true of
@@ -242,33 +273,35 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text",
     texts = rows.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.max("n_words").alias("n_words"), F.min(F.struct("doc_id", "row_id")).alias("o"))
     texts = scratch.write(texts.withColumn("doc_id", F.col("o.doc_id")), "texts")
 
-    # equal paragraphs of different texts
-    equal = units.where("pos >= 0").groupBy("fp").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("fp")
+    # equal windows of different texts
+    win = units.where("fp is not null and bands is null")
+    equal = win.groupBy("fp").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("fp")
     equal = scratch.write(equal, "equal")
     scratch.tidy()
-    occ = units.where("pos >= 0").join(selective(equal, "fp"), "fp").groupBy("fp", "t1", "t2", "pos").agg(F.min(F.struct("doc_id", "row_id")).alias("o"))
+    occ = win.join(selective(equal, "fp"), "fp").groupBy("fp", "t1", "t2", "pos").agg(F.min(F.struct("doc_id", "row_id")).alias("o"))
     occ = scratch.write(occ, "occurrences", bloom=True)
     scratch.tidy()
     hub = scratch.write(occ.groupBy("fp").agg(_first().alias("hub")), "hubs")
-    seeds = scratch.write(_seeds(occ, hub, "fp").unionByName(_near_seeds(scratch, src, texts, units)), "seeds")
+    seeds = scratch.write(_seeds(occ, hub, "fp"), "seeds")
     whole = rows.join(texts.where((F.col("n") > 1) & (F.col("n_words") >= LEAST)).select("t1", "t2", "n", F.col("o.row_id").alias("r")), ["t1", "t2"])
     whole = whole.select("doc_id", "t1", "t2", F.lit(0).cast("long").alias("first"), "n_words", F.xxhash64("t1", "t2").alias("class_id"), F.col("n").alias("copies"), (F.col("row_id") != F.col("r")).alias("removed"), F.lit(True).alias("whole"))
     whole = scratch.write(whole, "whole")
-    scratch.drop("units", "equal", "occurrences", "hubs", "near-seeds")
+    scratch.drop("equal", "occurrences", "hubs")
     scratch.tidy()
-
-    told = align(scratch, src, texts, seeds, WORDS, LEAST, "first", ask=True)
+    told = align(scratch, src, texts, seeds, WINDOW, LEAST, "first", ask=True)
     spans = told.where("kind = 0").drop("kind")
-    # passages of later texts whose paragraphs all stand in other, earlier ones
+
+    # near paragraphs, and passages of later texts whose windows all stand in other, earlier ones
+    cover = spans.groupBy("t1", "t2", "x0").agg(F.max("x1").alias("x1")).groupBy("t1", "t2").agg(F.collect_list(F.struct("x0", "x1")).alias("cover"))
+    near = near_seeds(scratch, src, texts, units.where("bands is not null"), scratch.write(cover, "cover"))
     ask = told.where("kind = 1").select("t1", "t2", F.col("h1").alias("key"), F.col("x0").alias("pos")).distinct()
     keys = ask.groupBy("key").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("key")
-    ask = scratch.write(ask.join(selective(keys, "key"), "key").join(texts.select("t1", "t2", "o"), ["t1", "t2"]), "windows")
-    if not ask.isEmpty():
-        hub = scratch.write(ask.groupBy("key").agg(_first().alias("hub")), "window-hubs")
-        more = scratch.write(_seeds(ask, hub, "key").distinct(), "window-seeds")
-        spans = spans.unionByName(align(scratch, src, texts, more, WORDS, LEAST, "second").drop("kind"))
+    ask = scratch.write(ask.join(selective(keys, "key"), "key").join(texts.select("t1", "t2", "o"), ["t1", "t2"]), "asked", bloom=True)
+    hub = scratch.write(ask.groupBy("key").agg(_first().alias("hub")), "asked-hubs")
+    more = scratch.write(near.unionByName(_seeds(ask, hub, "key")).distinct(), "more-seeds")
+    spans = spans.unionByName(align(scratch, src, texts, more, WINDOW, LEAST, "second").drop("kind"))
     spans = scratch.write(spans.distinct(), "spans")
-    scratch.drop("seeds", "first-spans", "second-spans", "windows", "window-hubs", "window-seeds")
+    scratch.drop("units", "seeds", "first-spans", "second-spans", "cover", "near-seeds", "asked", "asked-hubs", "more-seeds")
 
     # stretches of each text; a place with many spans counts by its longest, so a group is no larger than its text
     sides = spans.select("t1", "t2", "x0", "x1", F.lit(True).alias("later")).union(spans.select("h1", "h2", "y0", "y1", F.lit(False)))
