@@ -43,7 +43,7 @@ LEADERS = 2  # central members that every member of a larger region is paired wi
 LEAF = 24  # a region of at most so many is compared in full
 LEAST_ESTIMATE = 0.56  # candidates whose signatures agree in less than this part are dropped; at a true 0.75 that is over four standard errors below
 PERCENT = 75
-CELLS = 1 << 20  # of the table that orders shingles by how rare they are
+CELLS = 1 << 17  # of the table that orders shingles by how rare they are
 
 _SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
 _SIG_DDL = "row_id long, doc_id long, t1 long, t2 long, n_shingles long, fp1 long, fp2 long, sig binary"
@@ -183,15 +183,15 @@ def _sets(batches):
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
-    return (mix64(h) >> np.uint64(44)).astype(np.int64)
+    return (mix64(h) >> np.uint64(47)).astype(np.int64)
 
 
 def _tally(batches):
     """How many sets have a shingle of each cell."""
     n = np.zeros(CELLS, np.int64)
     for b in batches:
-        for x in b.column(0).to_pylist():
-            n += np.bincount(_cells(np.frombuffer(x, np.uint64)), minlength=CELLS)
+        if b.num_rows:
+            n += np.bincount(_cells(np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)), minlength=CELLS)
     at = np.flatnonzero(n)
     yield batch(pa.schema([("cell", pa.int32()), ("n", pa.int64())]), cell=at.astype(np.int32), n=n[at])
 
@@ -218,10 +218,13 @@ def rare_pairs(scratch: Scratch, sets: DataFrame, comp: DataFrame) -> DataFrame:
     def run(batches):
         schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("index", pa.bool_())])
         for b in batches:
-            for node, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = np.frombuffer(x, np.uint64)
-                keys, index = prefix(h, shared.value)
-                yield batch(schema, key=signed(keys), node=np.full(len(keys), node, np.int64), n=np.full(len(keys), len(h), np.int32), index=np.arange(len(keys)) < index)
+            for lo in range(0, b.num_rows, 200):
+                part = b.slice(lo, 200)
+                sets = [np.frombuffer(x, np.uint64) for x in part.column(1).to_pylist()]
+                rare = [prefix(h, shared.value) for h in sets]
+                m = [len(k) for k, _ in rare]
+                yield batch(schema, key=signed(np.concatenate([k for k, _ in rare])), node=np.repeat(part.column(0).to_numpy(), m), n=np.repeat(np.array([len(h) for h in sets], np.int32), m),
+                            index=np.concatenate([np.arange(k) < i for k, (_, i) in zip(m, rare, strict=True)]))
 
     met = sets.select("node", "set").mapInArrow(run, "key long, node long, n int, index boolean").join(comp.select("node", F.col("comp").alias("c")), "node", "left")
     met = scratch.write(met.select("key", "node", "n", "index", F.coalesce("c", "node").alias("c")), "prefixes")
