@@ -65,7 +65,7 @@ def run(argv: list[str], spark) -> object:
     if a.command == "smk-parse":
         words = T.words(spark, a.words)
         pages = words.groupBy("doc_id").agg((F.max("page") + 1).alias("n_pages"))
-        m = T.form_manifest(spark, a.manifest).withColumn("doc_id", F.concat(F.lit("smk_"), "wayback_ts")).join(pages, "doc_id")
+        m = T.form_versions(T.form_manifest(spark, a.manifest)).withColumn("doc_id", F.concat(F.lit("smk_"), "wayback_ts")).join(pages, "doc_id")
         return parse.parse_forms(spark, m, words, a.store, a.source_url)
     if a.command == "enrich":
         module, _, name = a.extractor.partition(":")

@@ -1,14 +1,18 @@
-"""Filling the derived layer: blocks that the cache lacks go to an extractor in batches.
+"""Filling the derived layer: blocks that the cache lacks are put to an extractor in batches.
 
-The extractor is a function given by the caller, ``extract(batch) -> {position: items}``; it may raise
-``RateLimited``. A run is bounded by its request budget, so its blocks (budget x batch size at most)
-are the only rows that leave Spark."""
+An *extractor* is a function of one batch, a list of dicts (id, block_hash, paragraf, label, text). It
+gives a dict of id -> items, or a ``Refusal``. It runs in a task, not on the driver: a plan ranks the
+pending blocks into batches, one partition takes the batches in order (a service's pace is one for all),
+and its rows of outcomes are written once and then read by the cache append and by the statistics.
+A run is bounded by its request budget, so that partition holds budget x batch size rows at most."""
 
 from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +20,67 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import items as I
 from ..schemas import CACHE
+from ..session import shared_folder
 from ..sources import sinks, tables
 
 PROMPT_VERSION = "v1"
 LONGEST_WAIT = 90.0
+_OUTCOME = f"batch_id int, block_hash string, items {CACHE['items'].dataType.simpleString()}, state string, requests int"
 
 
-class RateLimited(Exception):
-    """The extractor refuses for now; ``retry_after`` in seconds where it says so."""
+class Refusal(NamedTuple):
+    """The extractor's word for "not now"; ``wait`` in seconds, where the service names a time."""
 
-    def __init__(self, retry_after: float | None = None):
-        super().__init__(f"rate limited, retry after {retry_after}")
-        self.retry_after = retry_after
+    wait: float | None = None
+
+
+class Pace(NamedTuple):
+    """Seconds between the starts of two requests, and how to wait."""
+
+    interval: float = 4.5
+    sleep: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.monotonic
+
+
+def _settle(batch: list[dict], extract: Callable, pace: Pace) -> tuple[str, dict, int]:
+    """(state, answer, requests) of one batch: a refusal of a bearable length is waited out once."""
+    try:
+        answer = extract(batch)
+        if isinstance(answer, Refusal) and answer.wait is not None and answer.wait <= LONGEST_WAIT:
+            pace.sleep(answer.wait + 1)
+            answer = extract(batch)
+    except (OSError, json.JSONDecodeError, LookupError, ValueError):
+        return "failed", {}, 1
+    return ("stopped", {}, 0) if isinstance(answer, Refusal) else ("answered", answer, 1)
+
+
+def outcomes(work: DataFrame, extract: Callable, pace: Pace = Pace()) -> DataFrame:
+    """One row per block of ``work`` (batch_id, place and the block's columns) that was put to the
+    extractor: state is resolved or failed. A batch that is refused ends the run with a row of its own."""
+    fields = ("block_hash", "paragraf", "label", "text")
+
+    def run(frames: Iterator) -> Iterator:
+        import itertools
+
+        import pandas as pd
+
+        rows = itertools.chain.from_iterable(f.to_dict("records") for f in frames)
+        begun = None
+        for number, group in itertools.groupby(rows, key=lambda r: r["batch_id"]):
+            batch = [{"id": k, **{c: r[c] for c in fields}} for k, r in enumerate(group)]
+            if begun is not None:
+                pace.sleep(max(0.0, pace.interval - (pace.clock() - begun)))
+            begun = pace.clock()
+            state, answer, requests = _settle(batch, extract, pace)
+            if state == "stopped":
+                yield pd.DataFrame([(number, None, None, state, requests)], columns=["batch_id", "block_hash", "items", "state", "requests"])
+                return
+            told = [[{k: None if v is None else str(v) for k, v in i.items()} for i in answer[b["id"]]] if answer.get(b["id"]) is not None else None for b in batch]
+            yield pd.DataFrame({
+                "batch_id": number, "block_hash": [b["block_hash"] for b in batch], "items": told,
+                "state": ["failed" if t is None else "resolved" for t in told], "requests": [requests] + [0] * (len(batch) - 1)})
+
+    return work.repartition(1).sortWithinPartitions("batch_id", "place").mapInPandas(run, _OUTCOME)
 
 
 def blank_records(blocks: DataFrame, cache: DataFrame) -> DataFrame:
@@ -36,51 +89,26 @@ def blank_records(blocks: DataFrame, cache: DataFrame) -> DataFrame:
     return new.select("block_hash", F.array().cast(CACHE["items"].dataType).alias("items"), F.lit("none").alias("model"), F.lit(PROMPT_VERSION).alias("prompt_version"))
 
 
-def ask(batch: list[dict], extract: Callable, sleep: Callable, stats: dict) -> dict | None:
-    """One request, asked again once after a short refusal; None when the run has to stop."""
-    for attempt in (0, 1):
-        try:
-            answer = extract(batch)
-            stats["requests"] += 1
-            return answer
-        except RateLimited as refusal:
-            if attempt or refusal.retry_after is None or refusal.retry_after > LONGEST_WAIT:
-                stats["stopped"] = "rate_limited"
-                return None
-            sleep(refusal.retry_after + 1)
-    return None
-
-
-def enrich(spark: SparkSession, blocks: DataFrame, cache_dir: str, extract: Callable, model: str, order: tuple[str, ...], max_requests: int = 120, batch_size: int = 6, interval: float = 4.5, clock=time.monotonic, sleep=time.sleep) -> dict:
-    """``blocks`` has block_hash, paragraf, label, text. Gives the run's statistics."""
-    cache = I.latest_records(tables.cache_records(spark, cache_dir)).select("block_hash").cache()
-    todo = I.pending(I.distinct_blocks(blocks, order), cache)
-    blank = blank_records(blocks, cache)
-    n_blank = blank.count()
-    stats = {"cached": cache.count() + n_blank, "pending": todo.count(), "requests": 0, "resolved": 0, "failed": 0, "stopped": None}
-    work = I.batches(todo, order, batch_size, max_requests).orderBy("batch_id", *order).collect() if max_requests > 0 else []
-    if n_blank:
-        sinks.append_cache(blank, cache_dir)
-    last = None
-    for k in sorted({r["batch_id"] for r in work}):
-        batch = [{"id": j, **{c: r[c] for c in ("block_hash", "paragraf", "label", "text")}} for j, r in enumerate(r for r in work if r["batch_id"] == k)]
-        if last is not None and (left := interval - (clock() - last)) > 0:
-            sleep(left)
-        last = clock()
-        try:
-            answer = ask(batch, extract, sleep, stats)
-        except (OSError, json.JSONDecodeError, KeyError, IndexError, ValueError):
-            stats["failed"] += len(batch)
-            stats["requests"] += 1
-            continue
-        if answer is None:
-            break
-        got = [(b["block_hash"], [{k: None if v is None else str(v) for k, v in i.items()} for i in answer[b["id"]]], model, PROMPT_VERSION) for b in batch if answer.get(b["id"]) is not None]
-        stats["resolved"] += len(got)
-        stats["failed"] += len(batch) - len(got)
-        if got:
-            sinks.append_cache(spark.createDataFrame(got, CACHE), cache_dir)
-    if stats["stopped"] is None and stats["pending"] > len(work):
-        stats["stopped"] = "max_requests"
-    cache.unpersist()
-    return stats
+def enrich(spark: SparkSession, blocks: DataFrame, cache_dir: str, extract: Callable, model: str, order: tuple[str, ...], max_requests: int = 120, batch_size: int = 6, pace: Pace = Pace()) -> dict:
+    """``blocks`` has block_hash, paragraf, label, text and the columns of ``order``. Appends what the
+    extractor gave to the cache and gives the run's statistics."""
+    from pyspark.sql import Window
+
+    known = I.latest_records(tables.cache_records(spark, cache_dir)).select("block_hash")
+    todo = I.pending(I.distinct_blocks(blocks, order), known)
+    work = I.batches(todo, order, batch_size, max_requests)
+    work = work.withColumn("place", F.row_number().over(Window.partitionBy("batch_id").orderBy(*order)))
+    folder = f"{shared_folder(spark)}/enrich-{uuid.uuid4().hex}"
+    blank = blank_records(blocks, known)
+    counted = known.agg(F.lit("cached").alias("name"), F.count("*").alias("n")).union(blank.agg(F.lit("blank"), F.count("*"))).union(todo.agg(F.lit("pending"), F.count("*")))
+    n = {r["name"]: r["n"] for r in counted.collect()}
+    outcomes(work.where(F.lit(max_requests > 0)), extract, pace).write.parquet(f"{folder}/outcomes")
+    done = spark.read.schema(_OUTCOME).parquet(f"{folder}/outcomes")
+    got = done.where("state = 'resolved'").select("block_hash", "items", F.lit(model).alias("model"), F.lit(PROMPT_VERSION).alias("prompt_version"))
+    r = done.agg(*[F.count_if(F.col("state") == s).alias(s) for s in ("resolved", "failed", "stopped")], F.coalesce(F.sum("requests"), F.lit(0)).alias("requests")).first()
+    if n["blank"] or r["resolved"]:
+        sinks.append_cache(blank.unionByName(got), cache_dir)
+    left = n["pending"] > r["resolved"] + r["failed"]
+    stopped = "rate_limited" if r["stopped"] else "max_requests" if left else None
+    sinks.remove(spark, folder)
+    return {"cached": n["cached"] + n["blank"], "pending": n["pending"], "requests": r["requests"], "resolved": r["resolved"], "failed": r["failed"], "stopped": stopped}

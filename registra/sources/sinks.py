@@ -44,8 +44,19 @@ def publish(df: DataFrame, out: str, name: str) -> None:
 
 
 def append_cache(records: DataFrame, cache: str) -> None:
-    """Appends records to JSON Lines shards named by the first two digits of the hash."""
-    records.withColumn("shard", S.shard("block_hash")).repartition("shard").write.mode("append").partitionBy("shard").option("ignoreNullFields", False).json(cache)
+    """Appends records as JSON Lines under ``run=<n>/shard=<first two digits of the hash>``. Runs are
+    numbered, so that a record written later is known as later whatever its file is called."""
+    spark = records.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{cache}/run=*")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    last = max((int(f.getPath().getName().partition("=")[2]) for f in found or ()), default=0)
+    out = records.withColumn("shard", S.shard("block_hash")).repartition("shard")
+    out.write.mode("errorifexists").partitionBy("shard").option("ignoreNullFields", False).json(f"{cache}/run={last + 1:012d}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

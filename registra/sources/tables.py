@@ -40,9 +40,14 @@ def backfill_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def form_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Versions of the form register, once per (generated, wayback_ts)."""
-    m = json_table(spark, path, SMK_MANIFEST)
-    return m.groupBy("generated", "wayback_ts").agg(F.max_by(F.struct("digest", "sha256", "size_bytes"), F.length("digest")).alias("r")).select("generated", "wayback_ts", "r.*")
+    """All entries of the form register's manifest, as they stand in it; an absent file gives none."""
+    return json_table(spark, path, SMK_MANIFEST).orderBy("generated", "wayback_ts")
+
+
+def form_versions(manifest: DataFrame) -> DataFrame:
+    """One entry per version (generated, wayback_ts): the one with the longest digest."""
+    best = F.max_by(F.struct("digest", "sha256", "size_bytes"), F.length("digest"))
+    return manifest.groupBy("generated", "wayback_ts").agg(best.alias("r")).select("generated", "wayback_ts", "r.*")
 
 
 def snapshots(spark: SparkSession, store: str, name: str, columns: list[str] | None = None, date: str | None = None) -> DataFrame:
@@ -66,11 +71,15 @@ def latest(df: DataFrame, by: str = "date") -> DataFrame:
 def cache_records(spark: SparkSession, cache: str) -> DataFrame:
     """Records of the JSON Lines cache with file and line, blank lines skipped; absent gives none.
 
-    Files are shards by hash prefix and stay small, so each is read as one text to number its lines."""
+    Both layouts are read: ``<shard>.jsonl``, and what ``sinks.append_cache`` writes in numbered runs.
+    ``file`` orders them as they were written: shards first, then runs by number. Files stay small, so
+    each is read as one text to number its lines."""
     ddl = "block_hash string, items " + CACHE["items"].dataType.simpleString() + ", model string, prompt_version string, file string, line int"
-    if not exists(spark, f"{cache}/*.jsonl"):
+    globs = [g for g in (f"{cache}/*.jsonl", f"{cache}/run=*/shard=*/*.json") if exists(spark, g)]
+    if not globs:
         return spark.createDataFrame([], ddl)
-    text = spark.read.text(f"{cache}/*.jsonl", wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "row"))
+    name = F.concat(F.regexp_extract(F.col("_metadata.file_path"), "/(run=[^/]+/shard=[^/]+/)[^/]+$", 1), F.col("_metadata.file_name"))
+    text = spark.read.text(globs, wholetext=True).select(name.alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "row"))
     rec = text.where(S.non_empty("row")).select("file", "line", F.from_json("row", CACHE).alias("r"))
     return rec.select("r.*", "file", "line")
 

@@ -107,7 +107,8 @@ def test_manifests(spark, tmp_path):
     assert T.form_manifest(spark, f"{tmp_path}/none.json").count() == 0
     rows = [{"generated": "2024-01-01", "wayback_ts": "1", "digest": d, "sha256": "s", "size_bytes": 1} for d in ("SHORT", "LONGERDIGEST")]
     (tmp_path / "m.json").write_text(json.dumps(rows))
-    (r,) = T.form_manifest(spark, f"{tmp_path}/m.json").collect()
+    assert T.form_manifest(spark, f"{tmp_path}/m.json").count() == 2  # every entry
+    (r,) = T.form_versions(T.form_manifest(spark, f"{tmp_path}/m.json")).collect()
     assert r.digest == "LONGERDIGEST"
     (tmp_path / "b.json").write_text(json.dumps([{"date": "2020-01-01", "sha256": "a" * 64, "origin": "wayback", "dataset": True}, {"date": "2020-01-01", "sha256": "x", "origin": "other", "dataset": False}]))
     assert T.backfill_manifest(spark, f"{tmp_path}/b.json").count() == 1
@@ -156,36 +157,60 @@ def test_population_names(spark):
 
 
 def test_enrich_loop(spark, tmp_path):
+    """The extractor runs in a task, so it tells what it was asked through files."""
     blocks = spark.createDataFrame([(f"{i:02d}", i, "§", "l", "  " if i == 0 else f"t{i}") for i in range(8)] + [("03", 9, "§", "l", "t3")], "block_hash string, k int, paragraf string, label string, text string")
-    write_cache(spark, f"{tmp_path}/c", [("07", [], "m", "v1")])
-    pauses, calls = [], []
+    cache, log, waits = f"{tmp_path}/c", tmp_path / "log", tmp_path / "waits"
+    write_cache(spark, cache, [("07", [], "m", "v1")])
 
     def extract(batch):
-        calls.append([b["block_hash"] for b in batch])
-        if len(calls) == 1:
-            raise enrich.RateLimited(5)
-        if len(calls) == 3:
+        with open(log, "a") as f:
+            f.write(" ".join(b["block_hash"] for b in batch) + "\n")
+        n = len(log.read_text().splitlines())
+        if n == 1:
+            return enrich.Refusal(5)
+        if n == 3:
             raise KeyError("choices")
         return {b["id"]: [{"item_text": b["text"], "amount_nok": 3}] for b in batch if b["id"] != 1}
 
-    def cache():
-        return spark.read.schema(CACHE).json(f"{tmp_path}/c")
-
-    import unittest.mock as mock
-
-    def records(spark, path):
-        return cache().withColumn("file", F.lit("f")).withColumn("line", F.lit(0))
-
-    with mock.patch.object(T, "cache_records", records):
-        s = enrich.enrich(spark, blocks, f"{tmp_path}/c", extract, "m", ("k",), max_requests=3, batch_size=2, interval=0, sleep=pauses.append)
-        assert s == {"cached": 2, "pending": 6, "requests": 3, "resolved": 2, "failed": 4, "stopped": None}
-        assert calls == [["01", "02"], ["01", "02"], ["03", "04"], ["05", "06"]] and pauses == [6]
-        assert {r.block_hash: len(r["items"]) for r in cache().collect()} == {"00": 0, "01": 1, "05": 1, "07": 0}
-
-        def refuse(batch):
-            raise enrich.RateLimited(1000)
-
-        assert enrich.enrich(spark, blocks, f"{tmp_path}/c", refuse, "m", ("k",), sleep=pauses.append)["stopped"] == "rate_limited"
+    def sleep(s):
+        with open(waits, "a") as f:
+            f.write(f"{s}\n")
+
+    def known():
+        return {r.block_hash: len(r["items"]) for r in I.latest_records(T.cache_records(spark, cache)).collect()}
+
+    pace = enrich.Pace(0.0, sleep)
+    s = enrich.enrich(spark, blocks, cache, extract, "m", ("k",), max_requests=3, batch_size=2, pace=pace)
+    assert s == {"cached": 2, "pending": 6, "requests": 3, "resolved": 2, "failed": 4, "stopped": None}
+    assert log.read_text().splitlines() == ["01 02", "01 02", "03 04", "05 06"] and "6" in waits.read_text().split()[0]
+    assert known() == {"00": 0, "01": 1, "05": 1, "07": 0}
+    # what was answered is not asked again
+    s = enrich.enrich(spark, blocks, cache, extract, "m", ("k",), max_requests=1, batch_size=2, pace=pace)
+    assert s == {"cached": 4, "pending": 4, "requests": 1, "resolved": 1, "failed": 1, "stopped": "max_requests"}
+    assert log.read_text().splitlines()[4:] == ["02 03"]
+
+    def every(batch):
+        with open(log, "a") as f:
+            f.write("more\n")
+        return {b["id"]: [] for b in batch}
+
+    assert enrich.enrich(spark, blocks, cache, every, "m", ("k",), pace=pace)["resolved"] == 3
+    before = log.read_text()
+    s = enrich.enrich(spark, blocks, cache, every, "m", ("k",), pace=pace)
+    assert s == {"cached": 8, "pending": 0, "requests": 0, "resolved": 0, "failed": 0, "stopped": None} and log.read_text() == before
+    more = blocks.withColumn("block_hash", F.concat(F.lit("x"), "block_hash"))
+    assert enrich.enrich(spark, more, cache, lambda batch: enrich.Refusal(1000), "m", ("k",), pace=pace)["stopped"] == "rate_limited"
+
+
+def test_last_appended_record_wins(spark, tmp_path):
+    from registra.sources import sinks
+
+    cache = f"{tmp_path}/c"
+    for k in range(3):
+        rows = [(h, [], f"model {k}", "v1") for h in ("aa1", "ab2", f"ac{k}")]
+        sinks.append_cache(spark.createDataFrame(rows, CACHE), cache)
+    got = {r.block_hash: r.model for r in I.latest_records(T.cache_records(spark, cache)).collect()}
+    assert got == {"aa1": "model 2", "ab2": "model 2", "ac0": "model 0", "ac1": "model 1", "ac2": "model 2"}
 
 
 def test_coverage_counts_empty_items_as_known(spark):
