@@ -17,6 +17,7 @@ from .operators import form_layout, incremental, lines, register_layout
 from .operators import items as I
 from .operators.resolve import name_changes, resolve
 from .plans import candidates, markdown
+from .schemas import CACHE
 from .session import shared_folder
 from .sources import sinks
 from .sources import tables as T
@@ -273,10 +274,11 @@ def table_row_counts(spark, sf):
     return row_counts({n: table(spark, sf, n) for n in ("customer", "nation", "orders", "region")})
 
 
-@query("""SELECT 'k' AS key""")
+@query("""SELECT key, min(c_custkey) AS first_row FROM (SELECT c_mktsegment AS key, c_custkey FROM customer UNION ALL SELECT 'nation ' || c_nationkey, c_custkey FROM customer) GROUP BY key""")
 def dynamic_columns(spark, sf):
-    e = table(spark, sf, "events").select(F.col("event_id").alias("person_index"), F.lit("").alias("paragraf"), F.lit(0).alias("row_index"), F.col("props").alias("cells_json"))
-    return markdown.dynamic_columns(e).select("key")
+    cells = F.to_json(F.create_map("c_mktsegment", "c_name", F.concat(F.lit("nation "), "c_nationkey"), F.lit("x")))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("person_index"), F.lit("").alias("paragraf"), F.lit(0).alias("row_index"), cells.alias("cells_json"))
+    return markdown.dynamic_columns(c).select("key", F.col("first.at.person_index").alias("first_row"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -353,7 +355,7 @@ def overlap_assign(spark, sf):
 @query(_LINES + """SELECT doc_id, page, string_agg(text, chr(10) ORDER BY line_no) AS text, bool_and(bold) AS bold, max(size)::DOUBLE AS size, count(*) AS n_lines FROM l GROUP BY 1, 2""")
 def line_listagg(spark, sf):
     x = doc_lines(spark, sf)
-    return x.groupBy(F.col("doc_id").cast("bigint").alias("doc_id"), "page").agg(F.expr("listagg(text, '\n') within group (order by line_no)").alias("text"), F.bool_and("bold").alias("bold"), F.max("size").alias("size"), F.count("*").alias("n_lines"))
+    return x.groupBy(F.col("doc_id").cast("bigint").alias("doc_id"), "page").agg(register_layout._joined(F.col("text"), F.lit(True), "\n").alias("text"), F.bool_and("bold").alias("bold"), F.max("size").alias("size"), F.count("*").alias("n_lines"))
 
 
 @query(r"""WITH l0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
@@ -476,3 +478,18 @@ def sink_roundtrip(spark, sf):
     sinks.publish(n, out, "nation")
     csv = spark.read.schema(n.schema).option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/nation.csv.gz")
     return spark.read.parquet(f"{out}/nation.parquet").intersect(csv).intersect(spark.read.schema(n.schema).json(f"{out}/nation.jsonl.gz"))
+
+
+@query("""WITH r AS (SELECT sha256(text) AS block_hash, lang AS item_text, 'first' AS model, 1 AS run FROM documents WHERE text IS NOT NULL UNION ALL SELECT sha256(text), source, 'second', 2 FROM documents WHERE lang = 'en' AND text IS NOT NULL),
+d AS (SELECT block_hash, run, min(item_text) AS item_text, min(model) AS model FROM r GROUP BY 1, 2)
+SELECT block_hash, arg_max(model, run) AS model, arg_max(item_text, run) AS item_text FROM d GROUP BY 1""")
+def cache_roundtrip(spark, sf):
+    """Records appended to the item cache twice and read again: of each block the later record."""
+    d = table(spark, sf, "documents").where("text is not null").withColumn("block_hash", F.sha2("text", 256))
+    cache = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}"
+    for model, item, rows in (("first", "lang", d), ("second", "source", d.where("lang = 'en'"))):
+        items = F.array(F.struct(F.col("item").alias("item_text"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in CACHE["items"].dataType.elementType if f.name != "item_text"]))
+        one = rows.groupBy("block_hash").agg(F.min(item).alias("item"))
+        sinks.append_cache(one.select("block_hash", items.cast(CACHE["items"].dataType).alias("items"), F.lit(model).alias("model"), F.lit("v1").alias("prompt_version")), cache)
+    r = I.latest_records(T.cache_records(spark, cache))
+    return r.select("block_hash", "model", F.col("items")[0]["item_text"].alias("item_text"))
