@@ -144,8 +144,11 @@ class Scratch:
     folder is used, which goes when the process ends.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, broadcast: bool = True):
+        """Without ``broadcast`` no join of a written plan sends a side whole: for plans whose tables all
+        grow with the input, so that they are the same at every size."""
         self.spark = spark
+        self._conf = {} if broadcast else {"spark.sql.autoBroadcastJoinThreshold": "-1"}
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             if not spark.sparkContext.master.startswith("local"):
@@ -162,7 +165,7 @@ class Scratch:
         compress and take the codec that needs least native memory; texts and token ids take zstd.
         With ``bloom`` Spark filters the large side of shuffled joins by what the other side holds."""
         path = f"{self.root}/{next(self._n)}-{label}"
-        with settings(self.spark, BLOOM if bloom else {}):
+        with settings(self.spark, self._conf | (BLOOM if bloom else {})):
             df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[label] = path
@@ -345,14 +348,16 @@ def batch(schema: pa.Schema, **cols) -> pa.RecordBatch:
 def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFrame:
     """(node, comp) for every node of an edge; comp is the smallest node that it reaches.
 
-    ``edges`` has long columns a and b. Alternates large-star and small-star steps until the edge
-    set stays as it is; each round is written to the scratch folder. A hub's edges are never in one
-    group: only minima are grouped (combined before the shuffle), and the join that hands them back
-    is one that adaptive execution splits.
+    ``edges`` has long columns a and b. Alternates large-star and small-star steps until every node
+    points to one root that points to none; each round is written to the scratch folder. A hub's edges are
+    never in one group: only minima are grouped (combined before the shuffle), and the join that hands them
+    back is one that adaptive execution splits.
     """
     e = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-0")
-    seen = None
     for k in itertools.count(1):
+        n = e.agg(F.count("*"), F.count_distinct("a")).first()
+        if n[0] == n[1] and e.select(F.col("b").alias("a")).join(e, "a", "left_semi").isEmpty():
+            break
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-{k}m")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -360,12 +365,7 @@ def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFra
         low = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-{k}n")
         small = large.join(low, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        new = scratch.write(small, f"{label}-{k}")
+        e = scratch.write(small, f"{label}-{k}")
         scratch.drop(f"{label}-{k - 1}", *[f"{label}-{k}{x}" for x in "lmn"])
-        e = new
-        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == seen:
-            break
-        seen = now
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(roots)

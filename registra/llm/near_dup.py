@@ -285,7 +285,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     """One row per input row: doc_id, n_shingles, component_id, kept; and row_id, the text's hashes t1 and
     t2, and c, the component's own number, which no two components share whatever their ids."""
     bounded_batches(spark)
-    scratch = Scratch(spark, "near-dup")
+    scratch = Scratch(spark, "near-dup", broadcast=False)
     src = _hashed(docs, text, doc_id)
     sig = scratch.write(src.select(F.monotonically_increasing_id(), "doc_id", "t1", "t2", "text").mapInArrow(_signatures, _SIG_DDL), "signatures")
     full = sig.where("n_shingles > 0")

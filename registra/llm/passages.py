@@ -132,7 +132,7 @@ def _blocks(batches):
 
 def _read(blocks: list[dict]) -> tuple[np.ndarray, int]:
     """(word hashes, place of the first)."""
-    blocks = sorted(blocks, key=lambda x: x["block"])
+    blocks = sorted(blocks, key=lambda x: x["block"])  # each once: the rows were collected as a set
     return np.frombuffer(b"".join(x["words"] for x in blocks), "<u4"), blocks[0]["block"] * BLOCK
 
 
@@ -198,16 +198,15 @@ def align(scratch: Scratch, docs: DataFrame, texts: DataFrame, seeds: DataFrame,
     regions = regions.withColumn("rid", F.monotonically_increasing_id())
     ask_for = regions.select("rid", F.lit(0).alias("side"), "t1", "t2", F.explode("mine").alias("block"))
     ask_for = ask_for.union(regions.select("rid", F.lit(1).alias("side"), F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.explode("other").alias("block")))
-    ask_for = scratch.write(ask_for, f"{label}-asked")
     want = ask_for.groupBy(*TEXT).agg(F.collect_set("block").alias("want")).join(texts.select("t1", "t2", "doc_id"), [*TEXT])
     want = scratch.write(want, f"{label}-wanted")
     scratch.tidy()
     got = rows_by_text(scratch.spark, docs, want).select("t1", "t2", "text", "want")
     blocks = scratch.write(got.mapInArrow(_blocks, "t1 long, t2 long, block int, words binary"), f"{label}-blocks", bloom=True)
     scratch.tidy()
-    sent = ask_for.join(blocks.dropDuplicates([*TEXT, "block"]), [*TEXT, "block"]).groupBy("rid").agg(F.collect_list(F.struct("side", "block", "words")).alias("blocks"))
+    sent = ask_for.join(blocks, [*TEXT, "block"]).groupBy("rid").agg(F.collect_set(F.struct("side", "block", "words")).alias("blocks"))
     sent = regions.drop("mine", "other").join(sent, "rid").select(*SIDES, "seeds", "blocks")
     out = scratch.write(sent.mapInArrow(_aligner(width, least, ask), _SPAN_DDL), f"{label}-spans")
-    scratch.drop(*[f"{label}-{k}" for k in ("regions", "asked", "wanted", "blocks")])
+    scratch.drop(*[f"{label}-{k}" for k in ("regions", "wanted", "blocks")])
     scratch.tidy()
     return out

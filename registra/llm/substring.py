@@ -186,6 +186,11 @@ def _seeds(occ: DataFrame, hub: DataFrame, key: str) -> DataFrame:
     return x.select("t1", "t2", F.col("hub.t1").alias("h1"), F.col("hub.t2").alias("h2"), "pos", F.col("hub.pos").alias("h_pos"))
 
 
+def _alike(a: str, b: str):
+    """Can paragraphs of so many words reach the threshold (sets of n - 4 shingles at most)."""
+    return F.expr(f"4 * (least({a}, {b}) - 4) >= 3 * (greatest({a}, {b}) - 4)")
+
+
 def _pair(rows: DataFrame) -> DataFrame:
     """Seeds of pairs x, y (first occurrences), the later text against the earlier; n and pos of the later."""
     z = rows.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).where("x.t1 <> y.t1 or x.t2 <> y.t2")
@@ -206,7 +211,7 @@ def near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, par: DataFra
     sizes = scratch.write(met.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("r", "fp")).alias("f")), "band-sizes")
     small = met.join(sizes.where(F.col("size") <= LEAF).select("key"), "key")
     small = small.select("key", F.col("r").alias("x"), F.col("fp").alias("fx")).join(small.select("key", F.col("r").alias("y"), F.col("fp").alias("fy")), "key").where("fx < fy")
-    out = _pair(small)
+    out = _pair(small.where(_alike("x.n", "y.n")))
     large = scratch.write(met.join(sizes.where(F.col("size") > LEAF).select("key", "f"), "key"), "band-large")
     if not large.isEmpty():
         reps = scratch.write(large.groupBy("fp").agg(F.min("r").alias("r")), "band-reps")
@@ -214,17 +219,18 @@ def near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, par: DataFra
         want = scratch.write(want, "band-wanted")
         sets = rows_by_text(scratch.spark, docs, want).select("text", "want").mapInArrow(_sets, "node long, set binary")
         sets = scratch.write(sets.dropDuplicates(["node"]), "band-sets", bloom=True)
-        star = large.where("fp <> f.fp").select(F.col("fp").alias("a"), F.col("f.fp").alias("b"), F.col("r").alias("x"), F.col("f.r").alias("y"))
+        star = large.where("fp <> f.fp").select(F.col("fp").alias("a"), F.col("f.fp").alias("b"), F.col("r").alias("x"), F.col("f.r").alias("y")).where(_alike("x.n", "y.n"))
         out = out.unionByName(_pair(star))
         links = scratch.write(confirm(star.select("a", "b").distinct(), sets), "band-links")
-        comp = scratch.write(components(scratch, links, "band-cc"), "band-comp")
+        # members of one confirmed star are of one component, and need not meet again
+        comp = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp"))
         rare = scratch.write(confirm(rare_pairs(scratch, sets, comp), sets), "band-rare")
         rare = rare.join(reps.select(F.col("fp").alias("a"), F.col("r").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("r").alias("y")), "b")
         out = out.unionByName(_pair(rare))
     covered = F.exists("cover", lambda c: (c["x0"] <= F.col("pos")) & (F.col("pos") + F.col("n") <= c["x1"]))
     out = out.distinct().join(cover, ["t1", "t2"], "left").where(F.col("cover").isNull() | ~covered)
     out = scratch.write(out.select(*SIDES, "pos", "h_pos").distinct(), "near-seeds")
-    scratch.drop("band-keys", "band-met", "band-sizes", "band-large", "band-reps", "band-wanted", "band-sets", "band-links", "band-comp", "band-rare", "rare")
+    scratch.drop("band-keys", "band-met", "band-sizes", "band-large", "band-reps", "band-wanted", "band-sets", "band-links", "band-rare", "rare")
     return out
 
 
@@ -265,7 +271,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text",
     (word, from 0), n_words, class_id, copies (members of the class), removed, and whole, which is true of
     rows whose entire text is a repeat of, or is repeated by, another row's."""
     bounded_batches(spark)
-    scratch = Scratch(spark, "substring")
+    scratch = Scratch(spark, "substring", broadcast=False)
     src = _hashed(docs, text, doc_id)
     units = src.select(F.monotonically_increasing_id(), "doc_id", "t1", "t2", "text").mapInArrow(_units, _UNIT_DDL)
     units = scratch.write(units, "units")
@@ -297,11 +303,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, text: str = "text",
     ask = told.where("kind = 1").select("t1", "t2", F.col("h1").alias("key"), F.col("x0").alias("pos")).distinct()
     keys = ask.groupBy("key").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("key")
     ask = scratch.write(ask.join(selective(keys, "key"), "key").join(texts.select("t1", "t2", "o"), ["t1", "t2"]), "asked", bloom=True)
-    hub = scratch.write(ask.groupBy("key").agg(_first().alias("hub")), "asked-hubs")
+    hub = ask.groupBy("key").agg(_first().alias("hub"))
     more = scratch.write(near.unionByName(_seeds(ask, hub, "key")).distinct(), "more-seeds")
     spans = spans.unionByName(align(scratch, src, texts, more, WINDOW, LEAST, "second").drop("kind"))
     spans = scratch.write(spans.distinct(), "spans")
-    scratch.drop("units", "seeds", "first-spans", "second-spans", "cover", "near-seeds", "asked", "asked-hubs", "more-seeds")
+    scratch.drop("units", "seeds", "first-spans", "second-spans", "cover", "near-seeds", "asked", "more-seeds")
 
     # stretches of each text; a place with many spans counts by its longest, so a group is no larger than its text
     sides = spans.select("t1", "t2", "x0", "x1", F.lit(True).alias("later")).union(spans.select("h1", "h2", "y0", "y1", F.lit(False)))
