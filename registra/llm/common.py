@@ -33,12 +33,10 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-#: Spark's own Bloom filter over the small side of a join, at any input size: 8 MB at most, whatever it holds.
+#: Spark's own Bloom filter over the small side of a join, at any input size: of 1 MB, whatever it holds.
 BLOOM = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
-    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
-    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
 }
 LEAST_LONG = -(1 << 63)
 

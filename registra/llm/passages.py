@@ -136,13 +136,12 @@ def _read(blocks: list[dict]) -> tuple[np.ndarray, int]:
     return np.frombuffer(b"".join(x["words"] for x in blocks), "<u4"), blocks[0]["block"] * BLOCK
 
 
-def windows(h: np.ndarray, at: int, width: int, least: int) -> list[tuple[int, int]]:
-    """(start, hash) of every window of ``least`` words that holds the paragraph at ``at``."""
-    out = []
-    for s in range(max(0, at + width - least), min(at, len(h) - least) + 1):
-        k = mix64(h[s : s + least].astype(np.uint64) + np.arange(least, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        out.append((s, int(signed(mix64(np.array([np.bitwise_xor.reduce(k)], np.uint64)))[0])))
-    return out
+def windows(h: np.ndarray, at: list[int], width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of every run of ``least`` words that holds one of the windows at ``at``."""
+    near_by = np.unique(np.array(at, np.int64)[:, None] - np.arange(least - width + 1))
+    s = near_by[(near_by >= 0) & (near_by <= len(h) - least)]
+    k = mix64(h[s[:, None] + np.arange(least)].astype(np.uint64) + np.arange(least, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return s, signed(mix64(np.bitwise_xor.reduce(k, axis=1)))
 
 
 _SPAN = pa.schema([("kind", pa.int32())] + [(x, pa.int64()) for x in (*SIDES, "x0", "x1", "y0", "y1")])
@@ -163,26 +162,23 @@ def _anchor(a: np.ndarray, p: int, b: np.ndarray, q: int) -> tuple[int, int] | N
 def _aligner(width: int, least: int, ask: bool):
     def run(batches):
         for b in batches:
-            out: dict[str, list] = {f.name: [] for f in _SPAN}
-
-            def tell(*v, out=out):
-                for name, x in zip(_SPAN.names, v, strict=True):
-                    out[name].append(int(x))
-
+            out = [np.empty((0, len(_SPAN)), np.int64)]
             for *ids, seeds, blocks in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 a, a0 = _read([x for x in blocks if x["side"] == 0])
                 c, c0 = _read([x for x in blocks if x["side"] == 1])
                 at = (np.frombuffer(seeds, "<i4").reshape(-1, 2) - np.array([a0, c0])).tolist()
                 at = [x for x in (_anchor(a, p, c, q) for p, q in at) if x]
                 found = shared(a, c, at, least)
-                for x0, x1, y0, y1 in found:
-                    tell(0, *ids, x0 + a0, x1 + a0, y0 + c0, y1 + c0)
-                if ask:
-                    for p in sorted({p for p, _ in at}):
-                        if not any(x0 <= p and p + width <= x1 for x0, x1, _, _ in found):
-                            for s, key in windows(a, p, width, least):
-                                tell(1, ids[0], ids[1], key, 0, s + a0, 0, 0, 0)
-            yield batch(_SPAN, **out)
+                if found:
+                    out.append(np.array([(0, *ids, x0 + a0, x1 + a0, y0 + c0, y1 + c0) for x0, x1, y0, y1 in found], np.int64))
+                open_ = sorted({p for p, _ in at if not any(x0 <= p and p + width <= x1 for x0, x1, _, _ in found)}) if ask else []
+                if open_ and len(a) >= least:
+                    s, key = windows(a, open_, width, least)
+                    rows = np.zeros((len(s), len(_SPAN)), np.int64)
+                    rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 5] = 1, ids[0], ids[1], key, s + a0
+                    out.append(rows)
+            rows = np.concatenate(out)
+            yield batch(_SPAN, **{f.name: rows[:, i].astype(np.int32) if i == 0 else np.ascontiguousarray(rows[:, i]) for i, f in enumerate(_SPAN)})
 
     return run
 
