@@ -213,8 +213,10 @@ def near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, par: DataFra
     small = small.select("key", F.col("r").alias("x"), F.col("fp").alias("fx")).join(small.select("key", F.col("r").alias("y"), F.col("fp").alias("fy")), "key").where("fx < fy")
     out = _pair(small.where(_alike("x.n", "y.n")))
     large = scratch.write(met.join(sizes.where(F.col("size") > LEAF).select("key", "f"), "key"), "band-large")
+    covered = F.coalesce(F.exists("cover", lambda c: (c["x0"] <= F.col("pos")) & (F.col("pos") + F.col("n") <= c["x1"])), F.lit(False))
     if not large.isEmpty():
-        reps = scratch.write(large.groupBy("fp").agg(F.min("r").alias("r")), "band-reps")
+        reps = large.groupBy("fp").agg(F.min("r").alias("r")).select("fp", "r", "r.t1", "r.t2", "r.pos", "r.n").join(cover, ["t1", "t2"], "left")
+        reps = scratch.write(reps.select("fp", "r", (~covered).alias("open")), "band-reps")
         want = reps.groupBy("r.t1", "r.t2").agg(F.collect_list(F.struct("fp", F.col("r.pos").alias("pos"), F.col("r.n").alias("n"))).alias("want")).join(texts.select("t1", "t2", "doc_id"), ["t1", "t2"])
         want = scratch.write(want, "band-wanted")
         sets = rows_by_text(scratch.spark, docs, want).select("text", "want").mapInArrow(_sets, "node long, set binary")
@@ -224,11 +226,10 @@ def near_seeds(scratch: Scratch, docs: DataFrame, texts: DataFrame, par: DataFra
         links = scratch.write(confirm(star.select("a", "b").distinct(), sets), "band-links")
         # members of one confirmed star are of one component, and need not meet again
         comp = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp"))
-        rare = scratch.write(confirm(rare_pairs(scratch, sets, comp), sets), "band-rare")
+        rare = scratch.write(confirm(rare_pairs(scratch, sets, comp, reps.where("open").select(F.col("fp").alias("node"))), sets), "band-rare")
         rare = rare.join(reps.select(F.col("fp").alias("a"), F.col("r").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("r").alias("y")), "b")
         out = out.unionByName(_pair(rare))
-    covered = F.exists("cover", lambda c: (c["x0"] <= F.col("pos")) & (F.col("pos") + F.col("n") <= c["x1"]))
-    out = out.distinct().join(cover, ["t1", "t2"], "left").where(F.col("cover").isNull() | ~covered)
+    out = out.distinct().join(cover, ["t1", "t2"], "left").where(~covered)
     out = scratch.write(out.select(*SIDES, "pos", "h_pos").distinct(), "near-seeds")
     scratch.drop("band-keys", "band-met", "band-sizes", "band-large", "band-reps", "band-wanted", "band-sets", "band-links", "band-rare", "rare")
     return out
