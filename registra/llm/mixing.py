@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, word_count
+from .common import Scratch, fresh, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -129,13 +129,15 @@ def apply_mix(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id:
     cols = [F.col(f"`{c}`") for c in docs.columns]
     mixed = mix(spark, docs, text, doc_id, source)
     key = [F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(source), F.lit("")), F.col(doc_id).isNull(), F.col(source).isNull(), word_count(F.col(text))]
-    names = ["__a", "__b", "__c", "__d", "__e"]
+    *names, copies, rows, number, place = fresh(docs, "a", "b", "c", "d", "e", "copies", "rows", "n", "k")
     d = docs.withColumns(dict(zip(names, key, strict=True)))
-    k = mixed.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__a"), F.coalesce("source", F.lit("")).alias("__b"), F.col("doc_id").isNull().alias("__c"), F.col("source").isNull().alias("__d"), F.col("size").alias("__e"), "copies")
+    mine = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("source", F.lit("")), F.col("doc_id").isNull(), F.col("source").isNull(), F.col("size")]
+    k = mixed.select(*[c.alias(n) for c, n in zip(mine, names, strict=True)], F.col("copies").alias(copies))
     scratch = Scratch(spark, "mix-apply")
-    k = scratch.write(k.groupBy(*names).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "copies")
+    k = scratch.write(k.groupBy(*names).agg(F.sum(copies).alias(copies), F.count("*").alias(rows)), "copies")
     # rows of one key share its copies evenly, the first ones taking what is over
-    single = d.join(k.where("copies > 0 and rows = 1"), names).select(*cols, F.col("copies").alias("__n"))
-    many = d.join(k.where("copies > 0 and rows > 1"), names).withColumn("__k", F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64(*cols))))
-    many = many.select(*cols, (F.floor(F.col("copies") / F.col("rows")) + (F.col("__k") <= F.col("copies") % F.col("rows")).cast("long")).alias("__n"))
-    return single.union(many).where("__n > 0").withColumn("__i", F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int")))).select(*cols)
+    n, r = F.col(copies), F.col(rows)
+    single = d.join(k.where((n > 0) & (r == 1)), names).select(*cols, n.alias(number))
+    many = d.join(k.where((n > 0) & (r > 1)), names).withColumn(place, F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64(*cols))))
+    many = many.select(*cols, (F.floor(n / r) + (F.col(place) <= n % r).cast("long")).alias(number))
+    return single.union(many).where(F.col(number) > 0).withColumn(place, F.explode(F.array_repeat(F.lit(1), F.col(number).cast("int")))).select(*cols)
