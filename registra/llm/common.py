@@ -177,6 +177,10 @@ class Scratch:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
+    def keep(self, *labels: str) -> None:
+        """Drop all tables but these."""
+        self.drop(*[x for x in self._paths if x not in labels])
+
     def close(self) -> None:
         """Remove the whole folder; tables given out by ``write`` can no longer be read."""
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
