@@ -3,8 +3,8 @@
 ``parse_pages`` reads HTML into a sequence of structs (position, kind, text, digest, caption) in
 document order: runs of text, and a media reference for every img, audio, video, source, embed and
 object element; its caption is the figcaption of its figure, else its alt or title text. A reference
-names its payload by digest (``media:<sha256>``) or, where it names a URL, by the digest that a
-``references`` table gives for it.
+names its payload by digest (``media:<sha256>``) or, where it names a URL, by the digest that a table of
+``addresses`` (url, digest) gives for it.
 
 ``store_samples`` keeps payloads as 8-bit grey images in the plain PGM form (64 samples a row; the
 payload is padded with zero bytes to whole rows, at least one) in a Parquet table with digest and
@@ -13,7 +13,8 @@ features from what it read. ``resolve`` joins sequences with features by digest;
 take part in the join, payload bytes are never shuffled.
 
 Defined results: a null text or payload counts as empty and becomes one row of zero samples; null
-HTML gives an empty sequence; broken markup is read as far as the tolerant parser can; a reference
+HTML gives an empty sequence; a head that is never closed ends where the body's first element begins, and an
+element of hidden text that nothing closes hides nothing; a reference
 without a payload keeps its place with null features; equal payloads share one digest and all their
 values, however often they are stored; empty tables give empty results; other columns ride along.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,16 +36,23 @@ from .common import Scratch, batch, bounded_batches, crc32
 WIDTH = 64
 MEDIA_TAGS = frozenset({"img", "audio", "video", "source", "embed", "object"})
 _BREAKS = frozenset("p div br li ul ol h1 h2 h3 h4 h5 h6 tr td th table section article blockquote pre".split())
-_SKIP = frozenset({"script", "style", "head", "template", "noscript"})
+_SKIP = frozenset({"script", "style", "title", "template", "noscript"})
+_HEAD = frozenset({"head", "title", "base", "link", "meta", "script", "style", "template", "noscript"})
 ITEMS_DDL = "array<struct<position: int, kind: string, text: string, ref: string, caption: string>>"
 _ITEMS = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("caption", pa.string())]))
 
 
+_CLOSER = re.compile(r"</(title|template|noscript|script|style)\b", re.I)
+
+
 class _Reader(HTMLParser):
     """Collects the items of one page."""
 
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
+        # a skipped element that nothing closes hides nothing
+        self.closers = Counter(m.lower() for m in _CLOSER.findall(html))
+        self.in_head = False
         self.items: list[dict] = []
         self.run: list[str] = []
         self.skip = 0
@@ -57,9 +66,13 @@ class _Reader(HTMLParser):
             self.items.append({"position": len(self.items), "kind": "text", "text": text, "ref": None, "caption": None})
 
     def handle_starttag(self, tag, attrs):
-        if tag in _SKIP:
+        if tag == "head":
+            self.in_head = True
+        elif tag not in _HEAD:
+            self.in_head = False  # the body has begun, whether the head was closed or not
+        if tag in _SKIP and self.closers[tag] > 0:
             self.skip += 1
-        if self.skip:
+        if self.skip or self.in_head:
             return
         if tag in _BREAKS or tag == "figure":
             self.flush()
@@ -78,9 +91,12 @@ class _Reader(HTMLParser):
                 self.items.append({"position": len(self.items), "kind": "media", "text": None, "ref": ref, "caption": a.get("alt") or a.get("title")})
 
     def handle_endtag(self, tag):
+        if tag == "head":
+            self.in_head = False
         if tag in _SKIP:
+            self.closers[tag] -= 1
             self.skip = max(0, self.skip - 1)
-        if self.skip:
+        if self.skip or self.in_head:
             return
         if tag == "figcaption" and self.caption is not None:
             text = " ".join("".join(self.caption).split())
@@ -95,12 +111,12 @@ class _Reader(HTMLParser):
             self.flush()
 
     def handle_data(self, data):
-        if not self.skip:
+        if not self.skip and not self.in_head:
             (self.run if self.caption is None else self.caption).append(data)
 
 
 def parse_html(html: str | None) -> list[dict]:
-    r = _Reader()
+    r = _Reader(html or "")
     if html:
         r.feed(html)
         r.close()
@@ -195,10 +211,17 @@ def read_back(store: DataFrame) -> DataFrame:
     return store.select("digest", "n_bytes", "media").mapInArrow(run, _FEATURES_DDL)
 
 
-def references(sequences: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """One row per media reference: kept columns, position, caption, ref, digest (of media: refs)."""
+def references(sequences: DataFrame, keep: tuple[str, ...], addresses: DataFrame | None = None) -> DataFrame:
+    """One row per media reference: kept columns, position, caption, ref, digest. ``addresses`` (url, digest),
+    with one row per URL, gives the digests of references that name a URL; of others it is ``''``."""
     x = sequences.select(*keep, F.explode(F.filter("items", lambda i: i["kind"] == "media")).alias("i"))
-    return x.select(*keep, F.col("i.position").alias("position"), F.col("i.caption").alias("caption"), F.col("i.ref").alias("ref"), F.regexp_extract("i.ref", "^media:([0-9a-f]{64})$", 1).alias("digest"))
+    own = F.regexp_extract("i.ref", "^media:([0-9a-f]{64})$", 1)
+    rows = x.select(*keep, F.col("i.position").alias("position"), F.col("i.caption").alias("caption"), F.col("i.ref").alias("ref"), own.alias("digest"))
+    if addresses is None:
+        return rows
+    named = rows.where("digest <> ''")
+    by_url = rows.where("digest = ''").drop("digest").join(addresses.select(F.col("url").alias("ref"), "digest"), "ref", "left")
+    return named.unionByName(by_url.withColumn("digest", F.coalesce("digest", F.lit(""))))
 
 
 def resolve(scratch: Scratch, refs: DataFrame, features: DataFrame) -> DataFrame:
@@ -210,14 +233,29 @@ def resolve(scratch: Scratch, refs: DataFrame, features: DataFrame) -> DataFrame
     return refs.join(one, "digest", "left")
 
 
+def pages_of(store: DataFrame) -> DataFrame:
+    """(doc_id, html): the stored text as a page, its lines as paragraphs and, after the first half of them,
+    a figure that shows the stored payload by its URL, captioned with the id. The text is taken out of
+    the stored bytes, so the page needs no second read of the documents."""
+    padded = F.greatest(F.lit(WIDTH), F.ceil(F.col("n_bytes") / WIDTH) * WIDTH).cast("int")
+    raw = F.substring(F.col("media"), F.octet_length("media") - padded + 1, F.col("n_bytes").cast("int"))
+    text = F.decode(raw, "UTF-8")
+    safe = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    lines = F.transform(F.split(safe, "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>")))
+    half = F.expr("cast(size(lines) div 2 as int)")
+    figure = F.concat(F.lit("<figure><img src='"), F.col("url"), F.lit("' alt='payload'><figcaption>document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("without id")), F.lit("</figcaption></figure>"))
+    d = store.select("doc_id", "url", lines.alias("lines"))
+    return d.select("doc_id", F.concat(F.lit("<html><body>"), F.array_join(F.slice("lines", F.lit(1), half), ""), figure, F.array_join(F.slice("lines", half + 1, F.size("lines")), ""), F.lit("</body></html>")).alias("html"))
+
+
 def documents_as_media(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Every text as a stored payload of an interleaved page that refers to it by digest."""
+    """Every text as a stored payload, shown by a page that interleaves it with the text's lines."""
     bounded_batches(spark)
     scratch = Scratch(spark, "media")
-    store = store_samples(scratch, docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", ("doc_id",))
-    page = F.concat(F.lit("<article><h1>document</h1><figure><img src='media:"), F.col("digest"), F.lit("' alt='payload'><figcaption>document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("without id")), F.lit("</figcaption></figure></article>"))
-    seqs = parse_pages(spark, store.select("doc_id", page.alias("html")), keep=("doc_id",))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.concat(F.lit("/media/"), F.monotonically_increasing_id().cast("string"), F.lit(".pgm")).alias("url"), F.col(text).alias("text"))
+    store = store_samples(scratch, src, "text", ("doc_id", "url"))
+    seqs = parse_pages(spark, pages_of(store), keep=("doc_id",))
     feats = scratch.write(read_back(store), "features")
-    refs = scratch.write(references(seqs, ("doc_id",)), "references")
+    refs = scratch.write(references(seqs, ("doc_id",), store.select("url", "digest")), "references")
     scratch.drop("media")
     return resolve(scratch, refs, feats)

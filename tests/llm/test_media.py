@@ -20,6 +20,35 @@ def test_sequences_keep_order_captions_and_places():
     assert [i["text"] for i in media.parse_html("<p>a <b>b")] == ["a b"]
 
 
+def test_open_elements_hide_nothing():
+    texts = lambda h: [i["text"] or i["ref"] for i in media.parse_html(h)]
+    assert texts("<html><head><title>x</title><body><p>hello</p><img src=a.png>") == ["hello", "a.png"]
+    assert texts("<head><title>x</title><meta name=a><p>hello") == ["hello"]
+    assert texts("<body><noscript><p>a</p><template><p>b") == ["a", "b"]
+    assert texts("<p>a<noscript>b</noscript><template>c</template>d") == ["ad"]
+
+
+def test_documents_interleave_with_their_payloads(spark):
+    rows = awkward() + [(600, "a < b &amp; c\n\nsecond  line\n<img src=x>\nlast", "en", "a", 0, "", "")]
+    got = media.documents_as_media(spark, spark.createDataFrame(rows, DDL)).collect()
+    want = []
+    for i, t, *_ in rows:
+        lines = (t or "").split("\n")
+        before = [x for x in lines[: len(lines) // 2] if x.split()]
+        digest = hashlib.sha256((t or "").encode()).hexdigest()
+        want.append((str(i), len(before), f"document {'without id' if i is None else i}", digest))
+    assert sorted((str(r.doc_id), r.position, r.caption, r.digest) for r in got) == sorted(want)
+    assert all(r.feature for r in got)
+
+
+def test_references_by_url_and_digest(spark):
+    html = "<p>one</p><figure><img src='/a.png'><figcaption>first</figcaption></figure><p>two</p><img src='media:%s'><img src='/gone.png' alt='g'><p>three</p><img src='/a.png'>" % ("1" * 64)
+    pages = spark.createDataFrame([(1, html), (2, "<p>no media</p>")], "page_id long, html string")
+    urls = spark.createDataFrame([("/a.png", "2" * 64), ("/b.png", "3" * 64)], "url string, digest string")
+    got = media.references(media.parse_pages(spark, pages), ("page_id",), urls).collect()
+    assert sorted((r.position, r.caption, r.digest) for r in got) == sorted([(1, "first", "2" * 64), (3, None, "1" * 64), (4, "g", ""), (6, None, "2" * 64)], key=lambda x: x[0])
+
+
 def test_payloads_read_back(spark):
     rows = awkward() + [(500, "ab\x00", "en", "a", 0, "", ""), (501, "ab", "en", "a", 0, "", "")]
     got = media.documents_as_media(spark, spark.createDataFrame(rows, DDL)).collect()
