@@ -6,13 +6,14 @@ one of ``CLASSES`` classes by its first and last letters; hidden states emit sym
 emits its tokens by smoothed counts, (c + 1) / (class tokens + class types + 1), of which one part is
 for tokens never seen. So log P(text) = forward likelihood of the symbols + sum of log P(token | class).
 
-Counts of all training tokens are summed in Spark and stay a table. The ``HEAD`` most frequent tokens
-(of at most ``HEAD_BYTES`` bytes) are broadcast, a fixed bound; occurrences of any other token are
+Counts of all training tokens are summed in Spark and stay a table. The most frequent tokens, as many as
+have a count that no more than ``HEAD`` tokens reach (of at most ``HEAD_BYTES`` bytes) are broadcast, a fixed bound; occurrences of any other token are
 looked up by a join with the table. As no frequent token takes part, that join has no hot key among
 the training tokens; an unseen token that is frequent in held-out texts finds no partner.
 
-Baum-Welch runs over all training texts, cut into segments of ``SEGMENT`` symbols for the E-step only.
-Each task adds up its expected counts; Spark sums them by index, and the driver gets states x symbols
+Baum-Welch runs over all training texts, whole. The E-step lays a text out in rows of ``SEGMENT`` symbols
+that step together; what the rest of the text says about a row's borders is first worked out exactly from
+the rows' transfer matrices, so every move is counted and starts are counted at heads of texts only. Each task adds up its expected counts; Spark sums them by index, and the driver gets states x symbols
 numbers per round, whatever the corpus size. Texts are scored whole: texts of a block step together,
 and a text of more than ``LONG`` tokens is cut into spans whose transfer matrices are multiplied.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -86,8 +88,17 @@ class Lexicon:
 
 def lexicon(spark: SparkSession, counts: DataFrame) -> Lexicon:
     row = counts.agg(F.sum("c"), F.count("*")).first()
-    top = counts.where(F.octet_length("token") <= HEAD_BYTES).orderBy(F.desc("c"), "token").limit(HEAD).toArrow()
-    tokens, c = top.column(0).to_pylist(), top.column(1).to_numpy()
+    short = counts.where(F.octet_length("token") <= HEAD_BYTES).withColumn("level", F.floor(F.log2("c") * 64))
+    levels = sorted(short.groupBy("level").agg(F.count("*").alias("n")).collect(), reverse=True)  # 64 * 63 rows at most
+    cut = held = 0
+    for level, n in levels:
+        held += n
+        if held > HEAD:
+            cut = level + 1
+            break
+    top = short.where(F.col("level") >= cut).select("token", "c").toArrow()  # HEAD rows at most
+    ranked = sorted(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    tokens, c = [w for w, _ in ranked], np.array([n for _, n in ranked], np.int64)
     own = set(tokens[: OWN - 1])
     if tokens:
         own.add(END)
@@ -168,31 +179,98 @@ class Chain:
         return cls(np.full(STATES, 1 / STATES), move, emit / emit.sum(0))
 
 
-def _segments(seqs: list[np.ndarray]) -> np.ndarray:
-    """(n, SEGMENT) symbols, -1 where a text's last segment is over."""
-    parts = []
+class Rows(NamedTuple):
+    """Texts in rows of SEGMENT symbols, -1 where a text's last row is over; ``head`` and ``last`` mark rows."""
+
+    x: np.ndarray
+    head: np.ndarray
+    last: np.ndarray
+
+
+def _rows(seqs: list[np.ndarray]) -> Rows:
+    parts, sizes = [np.empty((0, SEGMENT), np.int32)], []
     for s in seqs:
         n = -(-len(s) // SEGMENT)
         x = np.full(n * SEGMENT, -1, np.int32)
         x[: len(s)] = s
         parts.append(x.reshape(n, SEGMENT))
-    return np.concatenate(parts)
-
-
-def expected(chain: Chain, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions, and the log-likelihood, of segments."""
+        sizes.append(n)
+    end = np.cumsum(sizes, dtype=np.int64)
+    head, last = np.zeros(sum(sizes), bool), np.zeros(sum(sizes), bool)
+    head[end - np.array(sizes, np.int64)] = True
+    last[end - 1] = True
+    return Rows(np.concatenate(parts), head, last)
+
+
+def _borders(chain: Chain, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: the state's distribution at the symbol before it, given all symbols up to there (zeros at
+    heads), and the weight of each state of its last symbol, given all symbols after it (ones at ends)."""
+    n = len(rows.x)
+    before, after = np.zeros((n, STATES)), np.ones((n, STATES))
+    many = np.flatnonzero(~(rows.head & rows.last))
+    if not len(many):
+        return before, after
+    # transfer matrices of the rows of longer texts, from the first symbol's state to the last one's
+    emit, move = chain.emit.astype(np.float32), chain.move.astype(np.float32)
+    t = np.empty((n, STATES, STATES), np.float32)
+    for lo in range(0, len(many), 4096):
+        at = many[lo : lo + 4096]
+        x = np.ascontiguousarray(rows.x[at].T)
+        e = emit[x[0]]
+        m = np.eye(STATES, dtype=np.float32) * (e / e.max(1, keepdims=True))[:, None, :]
+        live = np.arange(len(at))
+        for k in range(1, SEGMENT):
+            if not (x[k, live] >= 0).all():
+                live = live[x[k, live] >= 0]
+            e = emit[x[k, live]]
+            y = (m[live] if len(live) < len(at) else m).reshape(-1, STATES) @ move
+            y = y.reshape(-1, STATES, STATES) * (e / e.max(1, keepdims=True))[:, None, :]
+            if k % 8 == 0:
+                y /= y.max(axis=(1, 2), keepdims=True)
+            m[live] = y
+        t[at] = m / m.max(axis=(1, 2), keepdims=True)
+    # texts walk along their rows together, longest first; then back
+    first = np.flatnonzero(rows.head)
+    size = np.flatnonzero(rows.last) - first + 1
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    for k in range(1, int(size[0])):
+        at = first[: np.searchsorted(-size, -k, "left")] + k
+        p = np.where(rows.head[at - 1][:, None], chain.start, before[at - 1] @ chain.move)
+        a = np.einsum("ni,nij->nj", p, t[at - 1])
+        before[at] = a / np.maximum(a.sum(1, keepdims=True), 1e-300)
+    for k in range(int(size[0]) - 1, 0, -1):
+        at = first[: np.searchsorted(-size, -k, "left")] + k
+        b = np.einsum("nij,nj->ni", t[at], after[at]) @ chain.move.T
+        after[at - 1] = b / np.maximum(b.max(1, keepdims=True), 1e-300)
+    return before, after
+
+
+def expected(chain: Chain, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions, and the log-likelihood, of whole texts."""
+    rows = _rows(seqs)
+    before, after = _borders(chain, rows)
+    total = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES)), 0.0]
+    for lo in range(0, len(rows.x), 4096):
+        part = slice(lo, lo + 4096)
+        for k, v in enumerate(_expected(chain, rows.x[part], rows.head[part], before[part], after[part])):
+            total[k] = total[k] + v
+    return tuple(total)
+
+
+def _expected(chain: Chain, x: np.ndarray, head: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     n, t = x.shape
     emit = np.vstack([chain.emit, np.ones(STATES)]).astype(np.float32)  # row -1: nothing is emitted
     move = chain.move.astype(np.float32)
     back = np.ascontiguousarray(move.T)
     x = np.ascontiguousarray(x.T)
     live = x >= 0
-    whole = live.all(axis=1)  # steps at which no segment is over: the usual case needs no masks
+    whole = live.all(axis=1)  # steps at which no row is over: the usual case needs no masks
     e = emit[x]
     alpha = np.empty((t, n, STATES), np.float32)
     scale = np.ones((t, n, 1), np.float32)
     for k in range(t):
-        a = (alpha[k - 1] @ move if k else chain.start.astype(np.float32)) * e[k]
+        a = (alpha[k - 1] @ move if k else np.where(head[:, None], chain.start, before @ chain.move).astype(np.float32)) * e[k]
         c = a @ _ONES
         if not whole[k]:
             mask = live[k][:, None]
@@ -203,25 +281,24 @@ def expected(chain: Chain, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
         np.divide(a, c, out=alpha[k])
     moves = np.zeros((STATES, STATES))
     gamma = np.empty((t, n, STATES), np.float32)
-    beta = np.ones((n, STATES), np.float32)
+    beta = after.astype(np.float32)
+    beta /= np.maximum((alpha[-1] * beta) @ _ONES, 1e-30)
     for k in range(t - 1, -1, -1):
         g = alpha[k] * beta
         g /= np.maximum(g @ _ONES, 1e-30)
         gamma[k] = g
+        v = e[k] * beta
+        v /= scale[k]
+        if not whole[k]:
+            v = np.where(live[k][:, None], v, 0)
         if k:
-            v = e[k] * beta
-            v /= scale[k]
-            if whole[k]:
-                moves += alpha[k - 1].T @ v
-                beta = v @ back
-            else:
-                mask = live[k][:, None]
-                v = np.where(mask, v, 0)
-                moves += alpha[k - 1].T @ v
-                beta = np.where(mask, v @ back, beta)
+            moves += alpha[k - 1].T @ v
+            beta = v @ back if whole[k] else np.where(live[k][:, None], v @ back, beta)
+        else:
+            moves += before.T @ v
     at = np.where(live, x, SYMBOLS)[:, :, None] * STATES + np.arange(STATES)
     emitted = np.bincount(at.ravel(), gamma.ravel(), minlength=(SYMBOLS + 1) * STATES).reshape(-1, STATES)
-    return gamma[0].sum(0, dtype=float), moves * chain.move, emitted[:SYMBOLS], float(np.log(scale).sum(dtype=float))
+    return gamma[0][head].sum(0, dtype=float), moves * chain.move, emitted[:SYMBOLS], float(np.log(scale).sum(dtype=float))
 
 
 _ONES = np.ones((STATES, 1), np.float32)
@@ -238,10 +315,8 @@ def baum_welch(spark: SparkSession, encoded: DataFrame, chain: Chain, unigram: n
             total = np.zeros(size)
             for b in batches:
                 seqs = [np.frombuffer(s, "<u2") for s in b.column(0).to_pylist()]
-                x = _segments(seqs) if seqs else np.empty((0, SEGMENT), np.int32)
-                for lo in range(0, len(x), 4096):
-                    s, m, e, ll = expected(chain, x[lo : lo + 4096])
-                    total += np.concatenate([s, m.ravel(), e.ravel(), [ll]])
+                s, m, e, ll = expected(chain, seqs)
+                total += np.concatenate([s, m.ravel(), e.ravel(), [ll]])
             at = np.flatnonzero(total)
             yield batch(pa.schema([("i", pa.int32()), ("v", pa.float64())]), i=at.astype(np.int32), v=total[at])
 

@@ -49,30 +49,30 @@ def cell_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """Cells of a whole text and how often each occurs; None without a letter."""
     if not text:
         return None
-    total = None
+    low = text.lower()  # whole: how a letter is lowered can depend on its neighbours
+    total = np.zeros(BUCKETS, np.int64)
     seen = False
-    for lo in range(0, len(text), BLOCK_CHARS):
-        # neighbouring blocks share two characters, so that no n-gram is lost or told twice
-        head = max(0, lo - 2)
-        cp = np.frombuffer(text[head : lo + BLOCK_CHARS].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    tail = np.array([32], np.uint64)  # the last two characters before the block, which begin n-grams that end in it
+    after_letter = True
+    for lo in range(0, len(low), BLOCK_CHARS):
+        cp = np.frombuffer(low[lo : lo + BLOCK_CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
         ok = _is_letter(cp)
         seen = seen or bool(ok.any())
-        x = np.where(ok, cp, 32)
-        keep = np.ones(len(x), bool)
-        keep[1:] = ok[1:] | ok[:-1]
-        x = x[keep].astype(np.uint64)
-        if lo == 0:
-            x = np.concatenate([[np.uint64(32)], x])
-        if lo + BLOCK_CHARS >= len(text):
-            x = np.concatenate([x, [np.uint64(32)]])
-        c = np.zeros(BUCKETS, np.int64)
+        keep = ok | np.append(after_letter, ok[:-1])
+        after_letter = bool(ok[-1])
+        x = np.where(ok, cp, 32)[keep].astype(np.uint64)
+        if lo + BLOCK_CHARS >= len(low):
+            x = np.append(x, np.uint64(32))
+        fresh = len(x) + (lo == 0)  # the blank at the text's head is a 1-gram of the first block
+        x = np.concatenate([tail, x])
         for n in ORDERS:
-            if len(x) >= n:
-                h = np.full(len(x) - n + 1, n, np.uint64)
+            y = x[max(0, len(x) - fresh - n + 1) :]
+            if len(y) >= n:
+                h = np.full(len(y) - n + 1, n, np.uint64)
                 for j in range(n):
-                    h = h * np.uint64(0x100000001B3) + x[j : j + len(h)]
-                c += np.bincount((mix64(h) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
-        total = c if total is None else total + c
+                    h = h * np.uint64(0x100000001B3) + y[j : j + len(h)]
+                total += np.bincount((mix64(h) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
+        tail = x[-2:]
     if not seen:
         return None
     at = np.flatnonzero(total)
