@@ -6,7 +6,8 @@ is data: ``verdict`` folds it into one boolean column.
 Defined results: a null text counts as the empty text (0 words, base rule fails, not kept). Any
 other null column passes through. Very long texts cost n log n. Rows are judged one by one, so
 repeated rows, ties and empty tables need no special case, and the input's own columns are kept as
-they are (``measure`` refuses a clash of names by prefixing its columns with ``q_``).
+they are: the metrics are named ``q_*``, or ``qq_*`` and so on where the input has such a column
+(``prefix`` tells).
 Three-word windows are compared by a 64-bit hash within one text; a clash inside one text of n
 windows has a chance of about n*n / 2**65.
 """
@@ -50,7 +51,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 
-def _expr(text: str) -> dict[str, list[tuple[str, str]]]:
+def _expr(text: str, p: str) -> dict[str, list[tuple[str, str]]]:
     space = SPACE_RE.replace("\\", "\\\\")
     word = "[^ \\\\t-\\\\r]"
     stops = ",".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
@@ -61,68 +62,73 @@ def _expr(text: str) -> dict[str, list[tuple[str, str]]]:
             ("q_n_symbols", f"cast(octet_length(regexp_replace(coalesce(`{text}`, ''), '[^#*$%&|<>]+', '')) as bigint)"),
         ],
         "b": [
-            ("q_n_words", "cast(size(q_words) as bigint)"),
-            ("q_word_chars", "cast(length(array_join(q_words, '')) as bigint)"),
-            ("q_n_lines", "cast(size(q_lines) as bigint)"),
-            ("q_n_dup_lines", "cast(size(q_lines) - size(array_distinct(q_lines)) as bigint)"),
-            ("q_n_bar_lines", "cast(size(filter(q_lines, l -> l like '% | %')) as bigint)"),
-            ("q_n_stop", f"cast(size(filter(q_words, w -> lower(w) in ({stops}))) as bigint)"),
-            ("q_n_shout", "cast(size(filter(q_words, w -> endswith(w, '!!'))) as bigint)"),
-            ("q_h", "if(size(q_words) < 3, cast(array() as array<bigint>), transform(sequence(0, size(q_words) - 3), i -> xxhash64(get(q_words, i), get(q_words, i + 1), get(q_words, i + 2))))"),
+            ("q_n_words", f"cast(size({p}words) as bigint)"),
+            ("q_word_chars", f"cast(length(array_join({p}words, '')) as bigint)"),
+            ("q_n_lines", f"cast(size({p}lines) as bigint)"),
+            ("q_n_dup_lines", f"cast(size({p}lines) - size(array_distinct({p}lines)) as bigint)"),
+            ("q_n_bar_lines", f"cast(size(filter({p}lines, l -> l like '% | %')) as bigint)"),
+            ("q_n_stop", f"cast(size(filter({p}words, w -> lower(w) in ({stops}))) as bigint)"),
+            ("q_n_shout", f"cast(size(filter({p}words, w -> endswith(w, '!!'))) as bigint)"),
+            ("q_h", f"if(size({p}words) < 3, cast(array() as array<bigint>), transform(sequence(0, size({p}words) - 3), i -> xxhash64(get({p}words, i), get({p}words, i + 1), get({p}words, i + 2))))"),
         ],
         "c": [
             # positions of windows that occur more than once, in order; mostly none
-            ("q_at", "if(size(array_distinct(q_h)) = size(q_h), cast(array() as array<int>), transform(array(sort_array(transform(q_h, (x, i) -> struct(x, i)))), s -> sort_array(transform(filter(s, (e, k) -> get(s, k - 1).x <=> e.x or get(s, k + 1).x <=> e.x), e -> e.i)))[0])"),
+            ("q_at", f"if(size(array_distinct({p}h)) = size({p}h), cast(array() as array<int>), transform(array(sort_array(transform({p}h, (x, i) -> struct(x, i)))), s -> sort_array(transform(filter(s, (e, k) -> get(s, k - 1).x <=> e.x or get(s, k + 1).x <=> e.x), e -> e.i)))[0])"),
         ],
         "d": [
-            ("q_n_repeat_words", "cast(aggregate(transform(q_at, (p, k) -> least(3, coalesce(get(q_at, k + 1) - p, 3))), 0, (a, b) -> a + b) as bigint)"),
+            ("q_n_repeat_words", f"cast(aggregate(transform({p}at, (p, k) -> least(3, coalesce(get({p}at, k + 1) - p, 3))), 0, (a, b) -> a + b) as bigint)"),
         ],
     }
 
 
+def prefix(docs: DataFrame) -> str:
+    """What the metrics' names begin with: no column of the input does."""
+    p = "q_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = "q" + p
+    return p
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input's columns and the metrics, each named q_*."""
-    clash = [c for c in docs.columns if c.lower().startswith("q_")]
-    if clash:
-        raise ValueError(f"columns {clash} clash with the metrics' names; rename them")
+    """The input's columns and the metrics, each named with the prefix."""
+    p = prefix(docs)
     own = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs
-    keep: list[str] = []
-    steps = _expr(text)
-    out = out.select(*own, *[F.expr(e).alias(n) for n, e in steps["a"]])
-    out = out.select(*own, "q_n_symbols", *[F.expr(e).alias(n) for n, e in steps["b"]])
-    keep = ["q_n_symbols", "q_n_words", "q_word_chars", "q_n_lines", "q_n_dup_lines", "q_n_bar_lines", "q_n_stop", "q_n_shout"]
-    out = out.select(*own, *keep, *[F.expr(e).alias(n) for n, e in steps["c"]])
-    return out.select(*own, *keep, *[F.expr(e).alias(n) for n, e in steps["d"]])
+    steps = {k: [(n.replace("q_", p, 1), e) for n, e in v] for k, v in _expr(text, p).items()}
+    metrics = [F.col(p + n) for n in ("n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", "n_bar_lines", "n_stop", "n_shout")]
+    out = docs.select(*own, *[F.expr(e).alias(n) for n, e in steps["a"]])
+    out = out.select(*own, metrics[0], *[F.expr(e).alias(n) for n, e in steps["b"]])
+    out = out.select(*own, *metrics, *[F.expr(e).alias(n) for n, e in steps["c"]])
+    return out.select(*own, *metrics, *[F.expr(e).alias(n) for n, e in steps["d"]])
 
 
 _METRICS = {
-    "mean_word_chars": ("q_word_chars", "q_n_words"),
-    "symbol_ratio": ("q_n_symbols", "q_n_words"),
-    "stop_ratio": ("q_n_stop", "q_n_words"),
-    "shout_ratio": ("q_n_shout", "q_n_words"),
-    "bar_line_ratio": ("q_n_bar_lines", "q_n_lines"),
-    "dup_line_ratio": ("q_n_dup_lines", "q_n_lines"),
+    "mean_word_chars": ("word_chars", "n_words"),
+    "symbol_ratio": ("n_symbols", "n_words"),
+    "stop_ratio": ("n_stop", "n_words"),
+    "shout_ratio": ("n_shout", "n_words"),
+    "bar_line_ratio": ("n_bar_lines", "n_lines"),
+    "dup_line_ratio": ("n_dup_lines", "n_lines"),
 }
 
 
-def base_failed() -> Column:
-    return (F.col("q_n_words") < MIN_WORDS) | (100 * F.col("q_n_repeat_words") > MAX_REPEAT_PERCENT * F.col("q_n_words"))
+def base_failed(p: str = "q_") -> Column:
+    words, repeated = F.col(p + "n_words"), F.col(p + "n_repeat_words")
+    return (words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * words)
 
 
-def verdict(rules=RULES) -> Column:
+def verdict(rules=RULES, p: str = "q_") -> Column:
     """One boolean column from the threshold table."""
     ok = F.lit(True)
     for r in rules:
-        top, bottom = (F.col(c).cast("double") for c in _METRICS[r.metric])
+        top, bottom = (F.col(p + c).cast("double") for c in _METRICS[r.metric])
         ok = ok & F.coalesce((top >= r.low * bottom) & (top <= r.high * bottom), F.lit(False))
-    return ok & ~base_failed()
+    return ok & ~base_failed(p)
 
 
 def quality(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The input's columns, the metrics, q_base_failed and q_kept."""
-    m = measure(docs, text)
-    return m.withColumn("q_base_failed", base_failed()).withColumn("q_kept", verdict(rules))
+    """The input's columns, the metrics, base_failed and kept, the new ones named with the prefix."""
+    p = prefix(docs)
+    return measure(docs, text).withColumn(p + "base_failed", base_failed(p)).withColumn(p + "kept", verdict(rules, p))
 
 
 def filter_kept(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
@@ -130,6 +136,7 @@ def filter_kept(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
 
     The filter also reads a row number that is made with the metrics: it keeps the optimiser from
     pushing the condition below them, which would copy every metric's expression into it many times."""
-    m = measure(docs, text).withColumn("q_row", F.monotonically_increasing_id())
-    kept = m.where((F.col("q_row") >= 0) & verdict(rules))
+    p = prefix(docs)
+    m = measure(docs, text).withColumn(p + "row", F.monotonically_increasing_id())
+    kept = m.where((F.col(p + "row") >= 0) & verdict(rules, p))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
