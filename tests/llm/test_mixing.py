@@ -125,3 +125,10 @@ def test_one_hot_source(spark):
         taken[r.source] += r.taken
         target[r.source] = r.target
     assert all(abs(taken[s] - t) <= 0.01 * t + 1 for s, t in target.items())
+
+
+def test_columns_named_like_the_plan(spark):
+    df = spark.createDataFrame(awkward(), DDL)
+    clash = df.withColumn("extra", F.lit(1)).withColumnsRenamed({"extra": "copies", "q": "rank"}).withColumn("size", F.lit("s")).withColumn("fronts", F.lit(0)).withColumn("a.b", F.lit(2))
+    out = apply_mix(spark, clash)
+    assert out.columns == clash.columns and {(r["copies"], r["size"], r["fronts"], r["a.b"]) for r in out.collect()} == {(1, "s", 0, 2)}

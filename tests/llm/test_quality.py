@@ -40,3 +40,13 @@ def test_filter_keeps_columns_and_clean_rows(spark):
 def test_plan_is_native(spark):
     plan = quality(spark.createDataFrame(awkward(), DDL))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_named_like_metrics_stay(spark):
+    df = spark.createDataFrame(awkward(), DDL)
+    clash = df.withColumnRenamed("q", "q_words").withColumnRenamed("extra", "QQ_kept")
+    got = quality(clash)
+    assert got.columns[: len(clash.columns)] == clash.columns and "qqq_n_words" in got.columns
+    want = sorted((str(r.doc_id), r.q_n_words, r.q_kept) for r in quality(df).collect())
+    assert sorted((str(r.doc_id), r.qqq_n_words, r.qqq_kept) for r in got.collect()) == want
+    assert filter_kept(clash).columns == clash.columns and filter_kept(clash).count() == filter_kept(df).count()
