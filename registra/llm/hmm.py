@@ -210,25 +210,29 @@ def _borders(chain: Chain, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
     many = np.flatnonzero(~(rows.head & rows.last))
     if not len(many):
         return before, after
-    # transfer matrices of the rows of longer texts, from the first symbol's state to the last one's
-    emit, move = chain.emit.astype(np.float32), chain.move.astype(np.float32)
+    # transfer matrices of the rows of longer texts, from the first symbol's state to the last one's; rows
+    # stand along the last axis, the longest first, so that those not yet over are a front part
+    weight = np.ascontiguousarray((chain.emit / chain.emit.max(1, keepdims=True)).T.astype(np.float32))
+    step = np.ascontiguousarray(chain.move.T.astype(np.float32))
+    length = (rows.x[many] >= 0).sum(1)
+    order = np.argsort(-length, kind="stable")
+    many, length = many[order], length[order]
     t = np.empty((n, STATES, STATES), np.float32)
-    for lo in range(0, len(many), 4096):
-        at = many[lo : lo + 4096]
+    for lo in range(0, len(many), 2048):
+        at, size = many[lo : lo + 2048], length[lo : lo + 2048]
         x = np.ascontiguousarray(rows.x[at].T)
-        e = emit[x[0]]
-        m = np.eye(STATES, dtype=np.float32) * (e / e.max(1, keepdims=True))[:, None, :]
-        live = np.arange(len(at))
-        for k in range(1, SEGMENT):
-            if not (x[k, live] >= 0).all():
-                live = live[x[k, live] >= 0]
-            e = emit[x[k, live]]
-            y = (m[live] if len(live) < len(at) else m).reshape(-1, STATES) @ move
-            y = y.reshape(-1, STATES, STATES) * (e / e.max(1, keepdims=True))[:, None, :]
+        m = np.eye(STATES, dtype=np.float32)[:, :, None] * weight[:, x[0]]
+        for k in range(1, int(size[0])):
+            run = int(np.searchsorted(-size, -k, "left"))
+            y = np.matmul(step, m[:, :, :run])
+            y *= weight[:, x[k, :run]]
             if k % 8 == 0:
-                y /= y.max(axis=(1, 2), keepdims=True)
-            m[live] = y
-        t[at] = m / m.max(axis=(1, 2), keepdims=True)
+                y /= y.max(axis=(0, 1))
+            if run < len(at):
+                m[:, :, :run] = y
+            else:
+                m = y
+        t[at] = (m / m.max(axis=(0, 1))).transpose(2, 0, 1)
     # texts walk along their rows together, longest first; then back
     first = np.flatnonzero(rows.head)
     size = np.flatnonzero(rows.last) - first + 1
