@@ -125,6 +125,27 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   base_failed, NOT base_failed AND {rules} AS kept FROM b"""
 
 
+def _near_sql(source: str = "documents") -> str:
+    """Classes of equal sets, pairs of classes by their common shingles, and what each class reaches."""
+    from .near_dup import PERCENT
+
+    return rf"""
+WITH RECURSIVE t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM {source}),
+w0 AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\v\f\r]+')) AS w, generate_subscripts(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), 1) AS p FROM t),
+w AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM w0 WHERE w <> ''),
+g AS (SELECT doc_id, i, n, concat_ws(' ', w, lead(w, 1) OVER z, lead(w, 2) OVER z, lead(w, 3) OVER z, lead(w, 4) OVER z) AS s FROM w WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT DISTINCT doc_id, s FROM g WHERE i <= greatest(n - 4, 1)),
+d AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM s GROUP BY 1),
+c AS (SELECT k, n, min(doc_id) AS rep FROM d GROUP BY 1, 2),
+r AS (SELECT rep, n, s FROM c JOIN s ON doc_id = rep),
+e AS (SELECT a.rep AS a, b.rep AS b FROM r a JOIN r b ON a.s = b.s AND a.rep < b.rep GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+x AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (SELECT rep, rep FROM c UNION SELECT reach.a, x.b FROM reach JOIN x ON reach.b = x.a),
+m AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT t.doc_id, coalesce(d.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, t.doc_id)::BIGINT AS component_id, t.doc_id = coalesce(m.component_id, t.doc_id) AS kept
+FROM t LEFT JOIN d ON d.doc_id = t.doc_id LEFT JOIN c ON c.k = d.k AND c.n = d.n LEFT JOIN m ON m.rep = c.rep"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_shortest_pack_first, op2_quality_rules, op3_token_matrix, op4_pareto_mixing, op5_naive_bayes_language, op6_paragraph_banding,
@@ -134,4 +155,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _quality_sql()}
+    return {"op2_quality_rules": _quality_sql(), "op9_minhash_forest": _near_sql()}
