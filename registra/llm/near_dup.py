@@ -209,32 +209,35 @@ def prefix(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
 def rare_pairs(scratch: Scratch, sets: DataFrame, comp: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of the nodes of ``sets`` that belong to different components and may be linked, those
     with one of the nodes of ``wanted`` at least where it is given: a complete prefix filter. Shingles are ordered by their counts in a table of bounded size; any order
-    gives all pairs, and a good one few others."""
+    gives all pairs, and a good one few others. At the first shingle that two linked sets share, what either
+    has from there on is no less than what they share, so places too far on are not paired."""
     total = sets.select("set").mapInArrow(_tally, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
     counts = np.zeros(CELLS, np.int64)
     counts[total.column(0).to_numpy()] = total.column(1).to_numpy()
     shared = scratch.spark.sparkContext.broadcast(counts)
 
     def run(batches):
-        schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("index", pa.bool_())])
+        schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("index", pa.bool_()), ("left", pa.int32())])
         for b in batches:
             for lo in range(0, b.num_rows, 200):
                 part = b.slice(lo, 200)
                 sets = [np.frombuffer(x, np.uint64) for x in part.column(1).to_pylist()]
                 rare = [prefix(h, shared.value) for h in sets]
                 m = [len(k) for k, _ in rare]
-                yield batch(schema, key=signed(np.concatenate([k for k, _ in rare])), node=np.repeat(part.column(0).to_numpy(), m), n=np.repeat(np.array([len(h) for h in sets], np.int32), m),
-                            index=np.concatenate([np.arange(k) < i for k, (_, i) in zip(m, rare, strict=True)]))
+                at = np.concatenate([np.arange(k, dtype=np.int32) for k in m])
+                n = np.repeat(np.array([len(h) for h in sets], np.int32), m)
+                yield batch(schema, key=signed(np.concatenate([k for k, _ in rare])), node=np.repeat(part.column(0).to_numpy(), m), n=n,
+                            index=at < np.repeat([i for _, i in rare], m), left=n - at)
 
-    met = sets.select("node", "set").mapInArrow(run, "key long, node long, n int, index boolean").join(comp.select("node", F.col("comp").alias("c")), "node", "left")
+    met = sets.select("node", "set").mapInArrow(run, "key long, node long, n int, index boolean, left int").join(comp.select("node", F.col("comp").alias("c")), "node", "left")
     met = met.withColumn("on", F.lit(True)) if wanted is None else met.join(wanted.select("node", F.lit(True).alias("on")), "node", "left")
-    met = scratch.write(met.select("key", "node", "n", "index", F.coalesce("c", "node").alias("c"), F.coalesce("on", F.lit(False)).alias("on")), "prefixes")
+    met = scratch.write(met.select("key", "node", "n", "index", "left", F.coalesce("c", "node").alias("c"), F.coalesce("on", F.lit(False)).alias("on")), "prefixes")
     keys = met.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.bool_or("index").alias("any"), F.bool_or("on").alias("some")).where("lo <> hi and any and some").select("key")
     keys = scratch.write(keys, "prefix-keys")
     met = scratch.write(met.join(selective(keys, "key"), "key"), "prefix-met", bloom=True)
-    small = met.where("index").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("on").alias("ox"))
-    large = met.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("on").alias("oy"))
-    pairs = small.join(large, "key").where(f"cx <> cy and (ox or oy) and (nx < ny or nx = ny and x < y) and 100 * nx >= {PERCENT} * ny")
+    small = met.where("index").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"), F.col("c").alias("cx"), F.col("on").alias("ox"))
+    large = met.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"), F.col("c").alias("cy"), F.col("on").alias("oy"))
+    pairs = small.join(large, "key").where(f"cx <> cy and (ox or oy) and (nx < ny or nx = ny and x < y) and 100L * nx >= {PERCENT}L * ny and {100 + PERCENT}L * least(lx, ly) >= {PERCENT}L * (nx + ny)")
     out = scratch.write(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rare")
     scratch.drop("prefixes", "prefix-keys", "prefix-met")
     return out
