@@ -99,6 +99,12 @@ def op12_padded_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spark, _docs(spark, sf_dir))
 
 
+def op13_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import damage, repair
+
+    return repair(spark, damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))).summary
+
+
 def media_page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as its ordered sequence of text runs and media references."""
     from .media import parse_pages
@@ -155,7 +161,7 @@ FROM t LEFT JOIN d ON d.doc_id = t.doc_id LEFT JOIN c ON c.k = d.k AND c.n = d.n
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_shortest_pack_first, op2_quality_rules, op3_token_matrix, op4_pareto_mixing, op5_naive_bayes_language, op6_paragraph_banding,
-        op7_interleaved_media, op8_hidden_markov_scores, op9_minhash_forest, op10_toxic_segments, op12_padded_bpe,
+        op7_interleaved_media, op8_hidden_markov_scores, op9_minhash_forest, op10_toxic_segments, op12_padded_bpe, op13_auction_repair,
         media_page_sequences,
     )
     return {f.__name__: f for f in found}
