@@ -93,6 +93,12 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_end_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .align import scores
+
+    return scores(spark, _docs(spark, sf_dir))
+
+
 def op12_padded_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import digests
 
@@ -161,7 +167,7 @@ FROM t LEFT JOIN d ON d.doc_id = t.doc_id LEFT JOIN c ON c.k = d.k AND c.n = d.n
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_shortest_pack_first, op2_quality_rules, op3_token_matrix, op4_pareto_mixing, op5_naive_bayes_language, op6_paragraph_banding,
-        op7_interleaved_media, op8_hidden_markov_scores, op9_minhash_forest, op10_toxic_segments, op12_padded_bpe, op13_auction_repair,
+        op7_interleaved_media, op8_hidden_markov_scores, op9_minhash_forest, op10_toxic_segments, op11_end_dictionaries, op12_padded_bpe, op13_auction_repair,
         media_page_sequences,
     )
     return {f.__name__: f for f in found}
