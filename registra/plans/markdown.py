@@ -54,7 +54,7 @@ def export(spark: SparkSession, store: str, out: str, cache: str, releases: str
     put("sections.md", f"Registered interests, snapshot {date}", sections.select("person_index", "section_order", F.col("person_index").alias("idx"), F.col("person_header").alias("person"), F.col("paragraf").alias("§"), "label", "text"), ["idx", "person", "§", "label", "text"], ("person_index", "section_order"))
     tx, headers = pivot_cells(snap("transactions"))
     put("transactions.md", f"Share transactions, snapshot {date}", tx.withColumnsRenamed({"person_header": "person", "paragraf": "§"}), ["person", "§", *headers], ("person_index", "row_index"))
-    memo = I.latest_records(tables.cache_records(spark, cache))
+    memo = tables.cache_latest(spark, cache)
     full = sections.where(S.non_empty("text"))
     items = I.build_items(full, memo).join(full.select("person_index", "block_hash", "section_order").distinct(), ["person_index", "block_hash"])
     cover = I.coverage(sections, memo).first()

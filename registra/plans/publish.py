@@ -19,7 +19,7 @@ FORM = ("smk_documents", "smk_persons", "smk_fields")
 def combine(spark: SparkSession, store: str, cache: str, pool: str | None = None, form_store: str | None = None) -> dict[str, DataFrame]:
     """All published tables as lazy plans; the cache is read once."""
     out = {n: tables.snapshots(spark, store, n) for n in REGISTER}
-    out["items"] = I.build_items(out["sections"], I.latest_records(tables.cache_records(spark, cache)))
+    out["items"] = I.build_items(out["sections"], tables.cache_latest(spark, cache))
     if pool and tables.exists(spark, pool):
         out["roster"] = resolve(out["persons"], tables.reference_pool(spark, pool))
     if form_store and tables.exists(spark, form_store):
@@ -58,7 +58,7 @@ def build(spark: SparkSession, store: str, out: str, cache: str, pool: str | Non
         sinks.publish(df, out, name)
     # counted from what was published, so that no plan runs twice
     published = {n: spark.read.schema(df.schema).parquet(f"{out}/{n}.parquet") for n, df in combined.items()}
-    report = quality_report(published, tables.snapshot_meta(spark, store), I.latest_records(tables.cache_records(spark, cache)))
+    report = quality_report(published, tables.snapshot_meta(spark, store), tables.cache_latest(spark, cache))
     text = report.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})).first()[0]
     sinks.write_text(spark, f"{out}/qa_report.json", text)
     return json.loads(text)

@@ -488,8 +488,29 @@ def cache_roundtrip(spark, sf):
     d = table(spark, sf, "documents").where("text is not null").withColumn("block_hash", F.sha2("text", 256))
     cache = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}"
     for model, item, rows in (("first", "lang", d), ("second", "source", d.where("lang = 'en'"))):
-        items = F.array(F.struct(F.col("item").alias("item_text"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in CACHE["items"].dataType.elementType if f.name != "item_text"]))
-        one = rows.groupBy("block_hash").agg(F.min(item).alias("item"))
-        sinks.append_cache(one.select("block_hash", items.cast(CACHE["items"].dataType).alias("items"), F.lit(model).alias("model"), F.lit("v1").alias("prompt_version")), cache)
-    r = I.latest_records(T.cache_records(spark, cache))
-    return r.select("block_hash", "model", F.col("items")[0]["item_text"].alias("item_text"))
+        sinks.append_cache(_memo_records(rows, item, model), cache)
+    return T.cache_latest(spark, cache).select("block_hash", "model", F.col("items")[0]["item_text"].alias("item_text"))
+
+
+def _memo_records(rows: DataFrame, item: str, model: str) -> DataFrame:
+    """A record for each block hash, with one item."""
+    items = F.array(F.struct(F.col("item").alias("item_text"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in CACHE["items"].dataType.elementType if f.name != "item_text"]))
+    one = rows.groupBy("block_hash").agg(F.min(item).alias("item"))
+    return one.select("block_hash", items.cast(CACHE["items"].dataType).alias("items"), F.lit(model).alias("model"), F.lit("v1").alias("prompt_version"))
+
+
+@query("""WITH b AS (SELECT *, sha256(text) AS block_hash FROM documents WHERE text IS NOT NULL),
+r AS (SELECT block_hash, lang AS item_text, 'first' AS model, 1 AS run FROM b UNION ALL SELECT block_hash, source, 'second', 2 FROM b WHERE lang = 'en' UNION ALL SELECT block_hash, lang, 'third', 3 FROM b WHERE source IS NULL OR source < 'src2'),
+d AS (SELECT block_hash, run, min(item_text) AS item_text, min(model) AS model FROM r GROUP BY 1, 2),
+c AS (SELECT block_hash, arg_max(model, run) AS model, arg_max(item_text, run) AS item_text FROM d GROUP BY 1)
+SELECT b.lang, c.model, c.item_text, count(*) AS n_rows, count(DISTINCT block_hash) AS n_blocks FROM b JOIN c USING (block_hash) GROUP BY 1, 2, 3""")
+def cache_compaction(spark, sf):
+    """Two runs compacted by hash and a third one after, joined to the documents by block."""
+    d = table(spark, sf, "documents").where("text is not null").withColumn("block_hash", F.sha2("text", 256))
+    cache = f"{shared_folder(spark)}/cache-{uuid.uuid4().hex}"
+    sinks.append_cache(_memo_records(d, "lang", "first"), cache)
+    sinks.append_cache(_memo_records(d.where("lang = 'en'"), "source", "second"), cache)
+    sinks.compact_cache(spark, cache, 8)
+    sinks.append_cache(_memo_records(d.where("source is null or source < 'src2'"), "lang", "third"), cache)
+    r = T.cache_latest(spark, cache).select("block_hash", "model", F.col("items")[0]["item_text"].alias("item_text"))
+    return d.select("lang", "block_hash").join(r, "block_hash").groupBy("lang", "model", "item_text").agg(F.count("*").alias("n_rows"), F.count_distinct("block_hash").alias("n_blocks"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import tables
 
 
 def write_snapshots(df: DataFrame, store: str, name: str, by: str = "date") -> None:
@@ -43,15 +47,44 @@ def publish(df: DataFrame, out: str, name: str) -> None:
     publish_jsonl(df, f"{out}/{name}.jsonl.gz")
 
 
-def append_cache(records: DataFrame, cache: str) -> None:
-    """Appends records as JSON Lines under ``run=<n>/shard=<first two digits of the hash>``. Runs are
-    numbered, so that a record written later is known as later whatever its file is called."""
-    spark = records.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{cache}/run=*")
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    last = max((int(f.getPath().getName().partition("=")[2]) for f in found or ()), default=0)
-    out = records.withColumn("shard", S.shard("block_hash")).repartition("shard")
-    out.write.mode("errorifexists").partitionBy("shard").option("ignoreNullFields", False).json(f"{cache}/run={last + 1:012d}")
+def append_cache(records: DataFrame, cache: str, run: int | None = None) -> None:
+    """Appends records as JSON Lines under ``run=<n>``, those of a shard (the first two digits of the hash)
+    together, in files of about the size that Spark advises. Runs are numbered, so that a record written later is known as later whatever its file is called. A ``run`` that
+    is given replaces itself, so that a caller that is not sure whether it was written may write it again."""
+    number = tables.last_run(records.sparkSession, cache) + 1 if run is None else run
+    shard = S.shard("block_hash").alias("shard")
+    out = records.select("*", shard).hint("rebalance", F.col("shard")).sortWithinPartitions("shard").drop("shard")
+    out.write.mode("errorifexists" if run is None else "overwrite").option("ignoreNullFields", False).json(f"{cache}/run={number:012d}")
+
+
+def compact_cache(spark: SparkSession, cache: str, buckets: int = 64) -> int:
+    """Rewrites all runs as one record a hash, in files bucketed and sorted by hash; gives the generation.
+
+    Its marker is written last: until then readers use the generation and the runs before. Runs that the
+    generation holds are no longer read, and ``vacuum_cache`` removes them. Shard files of the other layout
+    may be appended to elsewhere, so they stay as they are."""
+    last = tables.last_run(spark, cache)
+    g = (tables.generation(spark, cache) or {"generation": 0})["generation"] + 1
+    name, path = f"cache_{uuid.uuid4().hex}", f"{cache}/compact/generation={g:06d}-{uuid.uuid4().hex}"
+    rows = tables.cache_latest(spark, cache, shards=False).repartition(buckets, "block_hash")
+    rows.write.format("parquet").bucketBy(buckets, "block_hash").sortBy("block_hash").option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    marker = {"generation": g, "last_run": last, "buckets": buckets, "folder": path.rpartition("/")[2]}
+    write_text(spark, f"{cache}/compact/generation={g:06d}.json", json.dumps([marker]))
+    return g
+
+
+def vacuum_cache(spark: SparkSession, cache: str) -> None:
+    """Removes what the last generation has made needless. No reader of an earlier state may be at work."""
+    g = tables.generation(spark, cache)
+    if g:
+        for path in tables.listed(spark, f"{cache}/run=*"):
+            if int(path.rpartition("=")[2]) <= g["last_run"]:
+                remove(spark, path)
+        for path in tables.listed(spark, f"{cache}/compact/*"):
+            name = path.rpartition("/")[2]
+            if name not in (g["folder"], f"generation={g['generation']:06d}.json"):
+                remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -72,8 +105,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def commit_marker(spark: SparkSession, store: str, date: str, meta: dict) -> None:
     """``meta.json`` of a snapshot, written after its tables: without it the snapshot counts as absent."""
-    import json
-
     write_text(spark, f"{store}/{date}/meta.json", json.dumps(meta, ensure_ascii=False))
 
 

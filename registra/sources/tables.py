@@ -68,22 +68,74 @@ def latest(df: DataFrame, by: str = "date") -> DataFrame:
     return df.join(F.broadcast(top), F.col(by) == F.col("_top"), "left_semi")  # one row
 
 
-def cache_records(spark: SparkSession, cache: str) -> DataFrame:
+def listed(spark: SparkSession, glob: str) -> list[str]:
+    """Paths that match, on whatever file system the glob names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return [f.getPath().toString() for f in found or ()]
+
+
+def last_run(spark: SparkSession, cache: str) -> int:
+    """Number of the cache's last run, also where it was compacted and removed."""
+    runs = [int(p.rpartition("=")[2]) for p in listed(spark, f"{cache}/run=*")]
+    return max([*runs, (generation(spark, cache) or {"last_run": 0})["last_run"]])
+
+
+def generation(spark: SparkSession, cache: str) -> dict | None:
+    """The last generation that was committed: generation, last_run, buckets, folder."""
+    markers = sorted(listed(spark, f"{cache}/compact/generation=*.json"))
+    ddl = "generation int, last_run bigint, buckets int, folder string"
+    return spark.read.schema(ddl).option("multiLine", True).json(markers[-1]).first().asDict() if markers else None
+
+
+def _compacted(spark: SparkSession, cache: str, g: dict) -> DataFrame:
+    """The generation as a bucketed table of the session, so that joins on the hash do not shuffle it."""
+    import hashlib
+
+    path = f"{cache}/compact/{g['folder']}"
+    name = f"cache_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CACHE)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (block_hash) SORTED BY (block_hash) INTO {g['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def cache_records(spark: SparkSession, cache: str, after: int = 0, shards: bool = True) -> DataFrame:
     """Records of the JSON Lines cache with file and line, blank lines skipped; absent gives none.
 
-    Both layouts are read: ``<shard>.jsonl``, and what ``sinks.append_cache`` writes in numbered runs.
-    ``file`` orders them as they were written: shards first, then runs by number. Files stay small, so
-    each is read as one text to number its lines."""
-    ddl = "block_hash string, items " + CACHE["items"].dataType.simpleString() + ", model string, prompt_version string, file string, line int"
-    globs = [g for g in (f"{cache}/*.jsonl", f"{cache}/run=*/shard=*/*.json") if exists(spark, g)]
-    if not globs:
+    Both layouts are read: ``<shard>.jsonl``, and what ``sinks.append_cache`` writes in runs numbered over
+    ``after``. ``file`` orders them as they were written: shards first, then runs by number. Files may be
+    split: ``line`` is the block's start in the file and a number that rises inside the block, which one
+    task reads from front to back."""
+    ddl = "block_hash string, items " + CACHE["items"].dataType.simpleString() + ", model string, prompt_version string, file string, line struct<block:bigint,place:bigint>"
+    paths = [p for p in listed(spark, f"{cache}/run=*") if int(p.rpartition("=")[2]) > after]
+    paths += [f"{cache}/*.jsonl"] if shards and exists(spark, f"{cache}/*.jsonl") else []
+    if not paths:
         return spark.createDataFrame([], ddl)
-    name = F.concat(F.regexp_extract(F.col("_metadata.file_path"), "/(run=[^/]+/shard=[^/]+/)[^/]+$", 1), F.col("_metadata.file_name"))
-    text = spark.read.text(globs, wholetext=True).select(name.alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "row"))
-    rec = text.where(S.non_empty("row")).select("file", "line", F.from_json("row", CACHE).alias("r"))
+    name = F.concat(F.regexp_extract(F.col("_metadata.file_path"), "/(run=[^/]+/)[^/]+$", 1), F.col("_metadata.file_name"))
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    rows = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.json*").text(paths).select("value", name.alias("file"), line.alias("line"))
+    rec = rows.where(S.non_empty("value")).select(F.from_json("value", CACHE).alias("r"), "file", "line")
     return rec.select("r.*", "file", "line")
 
 
+def cache_latest(spark: SparkSession, cache: str, shards: bool = True) -> DataFrame:
+    """One record per block hash, the last: shard files come first, then the compacted runs, then the runs
+    since. The compacted table is neither aggregated nor shuffled."""
+    from ..operators.items import latest_records
+
+    g = generation(spark, cache)
+    if not g:
+        return latest_records(cache_records(spark, cache, shards=shards))
+    out = _compacted(spark, cache, g)
+    if any(int(p.rpartition("=")[2]) > g["last_run"] for p in listed(spark, f"{cache}/run=*")):
+        late = latest_records(cache_records(spark, cache, g["last_run"], shards=False))
+        out = out.join(late.select("block_hash"), "block_hash", "left_anti").unionByName(late)
+    if shards and exists(spark, f"{cache}/*.jsonl"):
+        early = latest_records(cache_records(spark, cache, 1 << 62))
+        out = out.unionByName(early.join(out.select("block_hash"), "block_hash", "left_anti"))
+    return out
+
+
 def reference_pool(spark: SparkSession, directory: str) -> DataFrame:
     """The person pool: of each id the first record gives the scalars, all records add to the sets.
 
