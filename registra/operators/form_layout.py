@@ -52,8 +52,9 @@ class FormTables(NamedTuple):
     smk_fields: DataFrame
 
 
-def tables(lines: DataFrame, classified: DataFrame, meta: DataFrame) -> FormTables:
-    """``meta`` has doc_id, wayback_ts, source_url, wayback_url, file_hash, n_pages and perhaps generated."""
+def tables(lines: DataFrame, classified: DataFrame, meta: DataFrame, *keys: str) -> FormTables:
+    """``meta`` has doc_id, wayback_ts, source_url, wayback_url, file_hash, n_pages and perhaps generated;
+    its columns ``keys`` ride along in all three tables."""
     c = classified
     cover = lines.where("page = 0").groupBy("doc_id").agg(_joined(F.col("text"), F.lit(True), "\n").alias("cover_text"))
     m = meta.join(cover, "doc_id", "left").withColumn("cover_text", F.coalesce("cover_text", F.lit("")))
@@ -61,17 +62,17 @@ def tables(lines: DataFrame, classified: DataFrame, meta: DataFrame) -> FormTabl
     m = m.withColumn("version", F.coalesce(given, S.generated_date("cover_text"), F.substring("wayback_ts", 1, 8)))
     people = c.where("person_id > 0").groupBy("doc_id", "person_id").agg(
         F.max(F.when(F.col("rule") == "S1", F.col("text"))).alias("name"), F.max(F.when(F.col("rule") == "S3", F.col("text"))).alias("affiliation"), F.sum(F.col("rule").startswith("S4").cast("int")).alias("n_fields"))
-    people = people.join(m.select("doc_id", "version"), "doc_id")
+    people = people.join(m.select("doc_id", "version", *keys), "doc_id")
     a = S.affiliation("affiliation")
-    persons = people.select(F.col("version").alias("generated"), F.col("person_id").alias("person_index"), "name", "affiliation", a["parti"].alias("parti"), a["fylke"].alias("fylke"), "n_fields")
+    persons = people.select(*keys, F.col("version").alias("generated"), F.col("person_id").alias("person_index"), "name", "affiliation", a["parti"].alias("parti"), a["fylke"].alias("fylke"), "n_fields")
     f = c.where(F.col("rule").startswith("S4") | (F.col("rule") == "S5"))
     left, right = F.array_join("left", " "), F.array_join("right", " ")
     f = f.groupBy("doc_id", "person_id", "field_id").agg(
         _joined(left, F.col("left_bold"), " ").alias("field_label"), _joined(right, F.size("right") > 0, "\n").alias("value"), F.max(F.col("rule") == "S4 header").alias("is_header"))
-    fields = f.join(people.select("doc_id", "person_id", "version", "name"), ["doc_id", "person_id"]).select(F.col("version").alias("generated"), F.col("person_id").alias("person_index"), "name", "field_label", "value", F.col("field_id").alias("field_order"), "is_header")
+    fields = f.join(people.select("doc_id", "person_id", "version", "name", *keys), ["doc_id", "person_id"]).select(*keys, F.col("version").alias("generated"), F.col("person_id").alias("person_index"), "name", "field_label", "value", F.col("field_id").alias("field_order"), "is_header")
     rest = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("rule") == "remainder", F.struct("page", "line_no", "top", "text")))).alias("rest"), F.coalesce(F.max("person_id"), F.lit(0)).alias("n_persons"))
-    docs = m.join(rest, "doc_id", "left").select(F.col("version").alias("generated"), "wayback_ts", "source_url", "wayback_url", "file_hash", "n_pages", F.coalesce("n_persons", F.lit(0)).alias("n_persons"), "cover_text", F.coalesce(F.size("rest"), F.lit(0)).alias("n_remainder_lines"), F.coalesce(S.remainder_json("rest"), F.lit("[]")).alias("remainder_json"), F.lit(PARSER_VERSION).alias("parser_version"))
-    return FormTables(conform(docs, "smk_documents"), conform(persons, "smk_persons"), conform(fields, "smk_fields"))
+    docs = m.join(rest, "doc_id", "left").select(*keys, F.col("version").alias("generated"), "wayback_ts", "source_url", "wayback_url", "file_hash", "n_pages", F.coalesce("n_persons", F.lit(0)).alias("n_persons"), "cover_text", F.coalesce(F.size("rest"), F.lit(0)).alias("n_remainder_lines"), F.coalesce(S.remainder_json("rest"), F.lit("[]")).alias("remainder_json"), F.lit(PARSER_VERSION).alias("parser_version"))
+    return FormTables(conform(docs, "smk_documents", *keys), conform(persons, "smk_persons", *keys), conform(fields, "smk_fields", *keys))
 
 
 def parse(words: DataFrame, meta: DataFrame) -> FormTables:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,17 +21,42 @@ def body_words(words: DataFrame, layout: str = "register") -> DataFrame:
     return words.where(F.col("top") < F.col("page_height") - FOOTER[layout]).withColumn("bold", F.coalesce(F.col("fontname").contains("Bold"), F.lit(False)))
 
 
+def line_starts(tops: np.ndarray, tolerance: float) -> list[int]:
+    """Places at which a line begins in tops that rise (unknown ones first). A line ends before the first
+    top that is over the tolerance away from the line's own first top: found by bisection, and set right
+    where the sum rounds otherwise than the difference."""
+    n, known = len(tops), int(np.isnan(tops).sum())
+    starts, at = list(range(min(known + 1, n))), known  # a word of unknown top is a line of its own
+    while at < n:
+        anchor = tops[at]
+        end = int(np.searchsorted(tops, anchor + tolerance, "right"))
+        while end < n and not tops[end] - anchor > tolerance:
+            end += 1
+        while end - 1 > at and tops[end - 1] - anchor > tolerance:
+            end -= 1
+        if end < n:
+            starts.append(end)
+        at = end
+    return starts
+
+
 def anchored_groups(sorted_words: Column, tolerance: float = TOP_TOLERANCE) -> Column:
     """Line number of each word of an array sorted by top. A line is anchored at its first word's
-    top and the anchor does not move, so this is a fold and no gap session."""
-    start = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(0).alias("line"), F.array().cast("array<int>").alias("lines"))
+    top and the anchor does not move, so this is a walk from anchor to anchor and no gap session.
+
+    A walk has no expression in Spark but a fold, which would copy its array at every word; only the tops
+    go to Python, in Arrow batches, and the work is in proportion to the words."""
 
-    def step(acc, w):
-        new = acc["anchor"].isNull() | (F.abs(w["top"] - acc["anchor"]) > tolerance)
-        line = F.when(new, acc["line"] + 1).otherwise(acc["line"])
-        return F.struct(F.when(new, w["top"]).otherwise(acc["anchor"]).alias("anchor"), line.alias("line"), F.concat(acc["lines"], F.array(line)).alias("lines"))
+    @F.pandas_udf("array<int>")
+    def numbers(pages: pd.Series) -> pd.Series:
+        out = []
+        for tops in pages:
+            lines = np.zeros(len(tops), np.int32)
+            lines[line_starts(np.asarray(tops, float), tolerance)] = 1
+            out.append(np.cumsum(lines, dtype=np.int32))
+        return pd.Series(out, dtype=object)
 
-    return F.aggregate(sorted_words, start, step)["lines"]
+    return numbers(F.transform(sorted_words, lambda w: w["top"]))
 
 
 def group_lines(words: DataFrame) -> DataFrame:
@@ -75,14 +102,17 @@ def form_split(lines: DataFrame) -> DataFrame:
 
 def cells(words: Column, gap: float = CELL_GAP) -> Column:
     """Cells of a line: a new one begins where the distance to the word before is over ``gap``."""
-    one = lambda w: F.struct(w["text"].alias("text"), w["x0"].alias("x0"), w["x1"].alias("x1"))
+    before = lambda i: F.get(words, i - 1)
+    begins = lambda w, i: F.when((i == 0) | F.coalesce(w["x0"] - before(i)["x1"] > gap, F.lit(False)), i)
+    starts = F.array_compact(F.transform(words, begins))
 
-    def step(acc, w):
-        last = F.element_at(acc, -1)
-        grown = F.struct(F.concat_ws(" ", last["text"], w["text"]).alias("text"), last["x0"].alias("x0"), w["x1"].alias("x1"))
-        return F.when(F.size(acc) == 0, F.array(one(w))).when(w["x0"] - last["x1"] > gap, F.concat(acc, F.array(one(w)))).otherwise(F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown)))
+    def cell(spans, k):
+        first, end = F.get(spans, k), F.coalesce(F.get(spans, k + 1), F.size(words))
+        text = F.array_join(F.transform(F.slice(words, first + 1, end - first), lambda w: w["text"]), " ")
+        return F.struct(F.when(end - first == 1, F.get(words, first)["text"]).otherwise(text).alias("text"), F.get(words, first)["x0"].alias("x0"), F.get(words, end - 1)["x1"].alias("x1"))
 
-    return F.aggregate(words, F.array().cast("array<struct<text:string,x0:double,x1:double>>"), step)
+    # bound once, so that the starts are not told anew for every cell
+    return F.element_at(F.transform(F.array(starts), lambda s: F.transform(s, lambda _, k: cell(s, k))), 1)
 
 
 def assign_header(cell: Column, spans: Column, pad: float = CELL_GAP) -> Column:

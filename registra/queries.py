@@ -17,7 +17,7 @@ from .operators import form_layout, incremental, lines, register_layout
 from .operators import items as I
 from .operators.resolve import name_changes, resolve
 from .plans import candidates, markdown
-from .schemas import CACHE
+from .schemas import CACHE, conform
 from .session import shared_folder
 from .sources import sinks
 from .sources import tables as T
@@ -514,3 +514,26 @@ def cache_compaction(spark, sf):
     sinks.append_cache(_memo_records(d.where("source is null or source < 'src2'"), "lang", "third"), cache)
     r = T.cache_latest(spark, cache).select("block_hash", "model", F.col("items")[0]["item_text"].alias("item_text"))
     return d.select("lang", "block_hash").join(r, "block_hash").groupBy("lang", "model", "item_text").agg(F.count("*").alias("n_rows"), F.count_distinct("block_hash").alias("n_blocks"))
+
+
+@query("""SELECT c_mktsegment AS date, CASE WHEN c_mktsegment >= 'FURNITURE' THEN 'h2' ELSE 'h1' END AS file_hash, count(*) AS n_persons, sum(c_custkey)::BIGINT AS ids,
+ min(CASE WHEN c_mktsegment >= 'FURNITURE' THEN upper(c_name) ELSE c_name END) AS first_name FROM customer GROUP BY 1, 2""")
+def snapshot_commit(spark, sf):
+    """Customers as persons of a snapshot a segment: committed, some committed again under another hash, and
+    then written once more without a commit, which nobody sees."""
+    store = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("date"))
+
+    def meta(h: str) -> DataFrame:
+        return c.select("date").distinct().select("date", F.col("date").alias("snapshot"), F.lit(h).alias("file_hash"), F.lit("1").alias("parser_version"))
+
+    def persons(dates: DataFrame, name) -> DataFrame:
+        rows = c.join(dates.select("date"), "date", "left_semi").select("date", F.col("c_custkey").alias("person_index"), name.alias("name"))
+        return conform(rows, "persons").withColumn("snapshot", F.col("date"))
+
+    for h, name, some in (("h1", F.col("c_name"), F.lit(True)), ("h2", F.upper("c_name"), F.col("date") >= "FURNITURE")):
+        new = incremental.changed_snapshots(meta(h).where(some), T.snapshot_meta(spark, store), "1")
+        sinks.commit_snapshots(spark, store, {"persons": persons(new, name)}, new)
+    sinks.write_version(persons(meta("h3"), F.lit("cut short")), store, "persons", "00000009-cut")
+    p = T.snapshots(spark, store, "persons").groupBy("date").agg(F.count("*").alias("n_persons"), F.sum("person_index").alias("ids"), F.min("name").alias("first_name"))
+    return p.join(T.snapshot_meta(spark, store).select("date", "file_hash"), "date")

@@ -38,7 +38,8 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[name])
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """The declared columns in order and type; a missing column becomes null, an extra one goes."""
+def conform(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """The columns ``keys`` and the declared ones in order and type; a missing column becomes null, an extra
+    one goes."""
     have = {c.lower() for c in df.columns}
-    return df.select(*[(F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])
+    return df.select(*keys, *[(F.col(f.name) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]])

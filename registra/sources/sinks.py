@@ -7,19 +7,50 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import scalars as S
 from . import tables
 
 
-def write_snapshots(df: DataFrame, store: str, name: str, by: str = "date") -> None:
-    """``store/<name>/<date>=.../``: new dates are added, a date written again replaces itself only."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{store}/{name}")
+def commit_snapshots(spark: SparkSession, store: str, parts: dict[str, DataFrame], meta: DataFrame) -> str:
+    """Write the tables of any number of snapshots and then commit them together; gives the version.
 
+    ``parts`` has the published columns and ``snapshot``; ``meta`` has snapshot and columns of META, one
+    row a snapshot. Every table is one write under a version of its own, so nothing that readers use is
+    touched; the commit is one file of markers, which appears whole or not at all. Without it the version's
+    rows are never read. A snapshot that is committed again replaces its older version."""
+    last = tables.commits(spark, store).agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+    version = f"{last + 1:08d}-{uuid.uuid4().hex}"
+    for name, df in parts.items():
+        write_version(df, store, name, version)
+    write_markers(meta.withColumns({"version": F.lit(version), "generation": F.lit(last + 1)}), store)
+    return version
 
-def write_snapshot_files(df: DataFrame, store: str, date: str, name: str) -> None:
-    """One snapshot's table in the per-snapshot layout that ``snapshots`` reads."""
-    df.coalesce(1).write.mode("overwrite").parquet(f"{store}/{date}/{name}.parquet")
+
+def write_version(df: DataFrame, store: str, name: str, version: str) -> None:
+    """One table of all snapshots of a version, a folder a snapshot."""
+    df.withColumn("version", F.lit(version)).hint("rebalance", F.col("snapshot")).write.mode("append").partitionBy("version", "snapshot").parquet(f"{store}/{name}")
+
+
+def write_markers(meta: DataFrame, store: str) -> None:
+    """One file of markers; a column of META that ``meta`` lacks is null."""
+    schema = StructType.fromDDL(f"snapshot string, version string, generation bigint, {tables.META}")
+    told = [(F.col(f.name) if f.name in meta.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    meta.select(*told).coalesce(1).write.mode("append").parquet(f"{store}/commits")
+
+
+def vacuum_snapshots(spark: SparkSession, store: str) -> int:
+    """Removes versions of snapshots that no commit in force names: replaced ones, and those of writes that
+    were cut short. No writer may be at work, nor a reader of an earlier state."""
+    keep = {(r["snapshot"], r["version"]) for r in tables.commits(spark, store).select("snapshot", "version").collect()}  # one a publication
+    gone = 0
+    for path in tables.listed(spark, f"{store}/*/version=*/snapshot=*"):
+        version, snapshot = path.split("/")[-2:]
+        if (snapshot.partition("=")[2], version.partition("=")[2]) not in keep:
+            remove(spark, path)
+            gone += 1
+    return gone
 
 
 def publish_parquet(df: DataFrame, path: str) -> None:
@@ -103,11 +134,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def commit_marker(spark: SparkSession, store: str, date: str, meta: dict) -> None:
-    """``meta.json`` of a snapshot, written after its tables: without it the snapshot counts as absent."""
-    write_text(spark, f"{store}/{date}/meta.json", json.dumps(meta, ensure_ascii=False))
-
-
 def md_line(*cells: Column) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[S.md_escape(c) for c in cells]), F.lit(" |"))
 

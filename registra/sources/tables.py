@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import scalars as S
 from ..schemas import CACHE, SCHEMAS, WORDS, empty
@@ -50,16 +51,46 @@ def form_versions(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("generated", "wayback_ts").agg(best.alias("r")).select("generated", "wayback_ts", "r.*")
 
 
+def commits(spark: SparkSession, store: str) -> DataFrame:
+    """The commit in force of every snapshot: snapshot, version, generation and the columns of META.
+
+    A commit is a row of the store's marker table; of a snapshot the one of the last generation counts.
+    Snapshots of the layout with a folder a date (``<date>/meta.json``) have generation 0 and no version."""
+    ddl = f"snapshot string, version string, generation bigint, {META}"
+    rows = spark.read.schema(ddl).parquet(f"{store}/commits") if listed(spark, f"{store}/commits/*.parquet") else spark.createDataFrame([], ddl)
+    if exists(spark, f"{store}/*/meta.json"):
+        old = spark.read.schema(META).option("multiLine", True).json(f"{store}/*/meta.json")
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/meta\\.json$", 1)
+        rows = rows.unionByName(old.select(folder.alias("snapshot"), F.lit(None).cast("string").alias("version"), F.lit(0).cast("bigint").alias("generation"), *old.columns))
+    rest = [c for c in rows.columns if c not in ("snapshot", "generation")]
+    last = rows.groupBy("snapshot").agg(F.max_by(F.struct("generation", *rest), F.struct("generation", "version")).alias("r"))
+    return last.select("snapshot", "r.*")
+
+
 def snapshots(spark: SparkSession, store: str, name: str, columns: list[str] | None = None, date: str | None = None) -> DataFrame:
-    """One table of all snapshots (``store/<date>/<name>.parquet``), or of one; none gives a typed empty table."""
-    glob = f"{store}/{date or '*'}/{name}.parquet"
-    df = spark.read.schema(SCHEMAS[name]).parquet(glob) if exists(spark, glob) else empty(spark, name)
+    """One table of all committed snapshots, or of one; none gives a typed empty table.
+
+    The store keeps a table for all dates in ``<name>/version=<v>/snapshot=<date>``; rows count where the
+    commit in force names their version. Both are partition columns, so the join with the few commits
+    prunes what is read. The layout with a folder a date is read as well."""
+    c = commits(spark, store)
+    c = c.where(F.col("snapshot") == date) if date else c
+    df = empty(spark, name)
+    if exists(spark, f"{store}/{name}/version=*"):
+        schema = StructType([*SCHEMAS[name], StructField("version", StringType()), StructField("snapshot", StringType())])
+        new = spark.read.schema(schema).parquet(f"{store}/{name}")
+        new = new.where(F.col("snapshot") == date) if date else new
+        df = new.join(c.select("snapshot", "version"), ["snapshot", "version"], "left_semi").select(*SCHEMAS[name].names)
+    if exists(spark, f"{store}/{date or '*'}/{name}.parquet"):
+        old = spark.read.schema(SCHEMAS[name]).parquet(f"{store}/{date or '*'}/{name}.parquet")
+        old = old.withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), f"/([^/]+)/{name}\\.parquet", 1))
+        old = old.join(c.where("generation = 0").select("snapshot"), "snapshot", "left_semi").select(*SCHEMAS[name].names)
+        df = df.unionByName(old)
     return df.select(*columns) if columns else df
 
 
 def snapshot_meta(spark: SparkSession, store: str) -> DataFrame:
-    glob = f"{store}/*/meta.json"
-    return spark.read.schema(META).option("multiLine", True).json(glob) if exists(spark, glob) else spark.createDataFrame([], META)
+    return commits(spark, store).drop("version", "generation", "snapshot")
 
 
 def latest(df: DataFrame, by: str = "date") -> DataFrame:

@@ -1,6 +1,8 @@
 import json
 import random
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from registra.operators import form_layout, lines, register_layout
@@ -143,3 +145,51 @@ def test_cells_and_headers(spark):
     r = df.select(lines.cells(F.col("ws")).alias("c"), lines.map_row(lines.cells(F.col("ws")), F.col("hs")).alias("m")).first()
     assert [c.text for c in r.c] == ["a b", "c", "d"]
     assert r.m == ["a b", "c d"]
+
+
+def test_line_starts_equal_a_fold():
+    rng = random.Random(8)
+    for _ in range(2000):
+        tops = sorted(round(rng.random() * rng.choice((3, 30, 300)), rng.choice((0, 1, 2))) + rng.choice((0.0, 0.1, 0.7)) for _ in range(rng.randint(0, 40)))
+        anchor, want = None, []
+        for k, t in enumerate(tops):
+            if anchor is None or abs(t - anchor) > 2.5:
+                anchor = t
+                want.append(k)
+        assert lines.line_starts(np.array(tops, float), 2.5) == want
+    assert lines.line_starts(np.array([np.nan, np.nan, 1.0, 2.0]), 2.5) == [0, 1, 2]
+
+
+def test_cells_equal_a_fold(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(300):
+        x, ws = 0.0, []
+        for _ in range(rng.randint(0, 12)):
+            x += rng.choice((1.0, 8.0, 8.5, 30.0))
+            end = x + rng.randint(1, 5)
+            ws.append((x, rng.choice((end, end, end, None)), rng.choice(("a", "b", ""))))
+            x = end
+        rows.append((k, ws))
+    df = spark.createDataFrame([(k, [dict(x0=a, x1=b, text=t) for a, b, t in ws]) for k, ws in rows], "k int, ws array<struct<x0:double,x1:double,text:string>>")
+    got = {r.k: [tuple(c) for c in r.c] for r in df.select("k", lines.cells(F.col("ws")).alias("c")).collect()}
+    for k, ws in rows:
+        want = []
+        for x0, x1, t in ws:
+            if want and not (want[-1][2] is not None and x0 - want[-1][2] > 8.0):
+                old = want[-1]
+                want[-1] = (f"{old[0]} {t}", old[1], x1)
+            else:
+                want.append((t, x0, x1))
+        assert got[k] == want
+
+
+def test_grouping_is_linear_in_a_page(spark):
+    """10^5 words on one page, in lines of their own, and 10^5 cells on one line."""
+    assert len(lines.line_starts(np.arange(100_000) * 3.0, 2.5)) == 100_000
+    page = spark.range(100_000).select(F.lit("d").alias("doc_id"), F.lit(0).alias("page"), F.lit(1e9).alias("page_height"), F.lit("w").alias("text"), F.lit(1.0).alias("x0"), F.lit(2.0).alias("x1"), (F.col("id") * 3.0).alias("top"), F.lit("F").alias("fontname"), F.lit(11.0).alias("size"))
+    began = time.monotonic()
+    assert lines.group_lines(lines.body_words(page)).count() == 100_000
+    row = spark.sql("select transform(sequence(0, 99999), i -> struct(i * 20.0D as x0, i * 20.0D + 5 as x1, 'w' as text)) as ws")
+    assert row.select(F.size(lines.cells(F.col("ws")))).first()[0] == 100_000
+    assert time.monotonic() - began < 60

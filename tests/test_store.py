@@ -81,14 +81,6 @@ def test_published_formats(spark, tmp_path):
     assert sorted(map(str, spark.read.parquet(f"{tmp_path}/x.parquet").collect())) == sorted(map(str, df.collect()))
 
 
-def test_snapshot_partitions_replace_only_themselves(spark, tmp_path):
-    a = conform(spark.createDataFrame([("2020", "u"), ("2021", "u")], "date string, url string"), "documents")
-    sinks.write_snapshots(a, str(tmp_path), "documents")
-    sinks.write_snapshots(a.where("date = '2021'").withColumn("url", F.lit("new")), str(tmp_path), "documents")
-    got = spark.read.parquet(f"{tmp_path}/documents").select(F.col("date").cast("string"), "url").collect()
-    assert {tuple(r) for r in got} == {("2020", "u"), ("2021", "new")}
-
-
 def test_reference_pool(spark, tmp_path):
     def put(name, key, people):
         (tmp_path / name).write_text(json.dumps({"versjon": "1", key: people}))
