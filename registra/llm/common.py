@@ -71,12 +71,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def rows_by_text(spark: SparkSession, docs: DataFrame, want: DataFrame) -> DataFrame:
+def rows_by_text(spark: SparkSession, docs: DataFrame, want: DataFrame, once: bool = False) -> DataFrame:
     """Rows of ``docs`` (doc_id, t1, t2, text) with the doc_id and text hashes of ``want`` and its other
     columns. Texts that nobody asks for are not shuffled when this is written with ``bloom``. A row
-    without a doc_id is looked up by the hashes alone."""
+    without a doc_id is looked up by the hashes alone. With ``once`` repeated rows give each row of
+    ``want`` one text only: rows without an id are told apart before they are shuffled, others where the
+    join has brought them together."""
+    none = docs.where("doc_id is null")
     known = docs.join(selective(want, "doc_id"), ["doc_id", "t1", "t2"])
-    null = docs.where("doc_id is null").join(selective(want.where("doc_id is null").drop("doc_id"), "t1"), ["t1", "t2"])
+    if once:
+        none = none.dropDuplicates(["t1", "t2"])
+        known = known.dropDuplicates(want.columns)
+    null = none.join(selective(want.where("doc_id is null").drop("doc_id"), "t1"), ["t1", "t2"])
     return known.unionByName(null)
 
 

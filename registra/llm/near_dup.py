@@ -304,7 +304,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     # full sets of all nodes in question, from the texts
     ends = est.select(F.col("a").alias("node")).union(est.select(F.col("b").alias("node"))).union(dense).distinct()
     wanted = scratch.write(nodes.select("node", "doc_id", "t1", "t2").join(ends, "node", "left_semi"), "wanted")
-    sets = rows_by_text(spark, src, wanted).select("node", "text").mapInArrow(_sets, "node long, set binary")
+    sets = rows_by_text(spark, src, wanted, once=True).select("node", "text").mapInArrow(_sets, "node long, set binary")
     sets = scratch.write(sets, "sets", bloom=True)
     scratch.tidy()
 

@@ -1,8 +1,10 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from registra.llm import near_dup
-from registra.llm.common import Scratch, components
+from registra.llm.common import Scratch, components, rows_by_text
 from registra.llm.near_dup import keep_one, near_duplicates
 
 from .docs import DDL, awkward, prose
@@ -147,3 +149,19 @@ def test_word_hashes_do_not_depend_on_place():
     h = hash_words(d, s, e)
     assert h[0] == h[3] and h[1] == h[5] != h[4] and len(set(h.tolist())) == 4
     assert near_dup.shingle_set(None).size == 0
+
+
+def test_repeated_rows_do_not_multiply(spark, tmp_path):
+    """Copies of two near texts, without ids and of one id: every node has one set, and all are linked."""
+    rng = random.Random(12)
+    a = prose(rng, 200)
+    b = a.replace("the", "a", 1)
+    rows = [(None, a), (None, b)] * 1000 + [(7, a + " end"), (8, b + " end")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    src = near_dup._hashed(docs, "text", "doc_id")
+    want = src.select("doc_id", "t1", "t2", F.col("t1").alias("node")).distinct()
+    assert rows_by_text(spark, src, want).count() == 2600
+    once = rows_by_text(spark, src, want, once=True)
+    assert sorted(r.text for r in once.collect()) == sorted([a, b, a + " end", b + " end"])
+    got = near_dup.near_duplicates(spark, docs)
+    assert got.count() == 2600 and got.select("c").distinct().count() == 1
