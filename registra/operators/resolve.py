@@ -1,7 +1,10 @@
 """Entity resolution: three equi-joins in order of priority, each with a uniqueness and a context test.
 
-Pools are grouped by key, so a person row meets one row per method. Identity means the same date of
-birth and the same normalised names; several ids of one identity count as one, the first one wins."""
+Of the people that share a key only summaries are kept: for all of them, those of a region, those of a
+party and those of both, how many there are, whether they are one identity and who comes first. A summary
+is of constant size and merges, so a key that millions share costs no more state than there are regions
+and parties. A person row asks for its three keys in one join. Identity means the same date of birth and
+the same normalised names; several ids of one identity count as one, the first one wins."""
 
 from __future__ import annotations
 
@@ -24,60 +27,63 @@ def _keys(surname: Column, given: Column, full: Column, nfc: bool) -> dict[str,
 
 
 def pools(pool: DataFrame, nfc: bool = False) -> DataFrame:
-    """(method, key, cands): the pool's people by method and key, in pool order.
+    """(method, key, groups): of the pool's people by method and key the summaries (n, one, who) of every
+    group, which ``_group`` names.
 
     ``pool`` has ord, api_person_id, etternavn, fornavn, foedselsdato, kjoenn, partier, fylker (normalised)."""
     sur, giv = F.coalesce("etternavn", F.lit("")), F.coalesce("fornavn", F.lit(""))
     keys = _keys(sur, giv, F.concat(sur, F.lit(", "), giv), nfc)
     ident = F.concat_ws("\x00", F.coalesce("foedselsdato", F.lit("\x01")), S.norm(sur, nfc), S.norm(giv, nfc))
-    base = pool.select("ord", "api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn", "partier", "fylker", ident.alias("ident"), *[k.alias(m) for m, k in keys.items()])
-    cand = F.struct("ord", "ident", "api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn", "partier", "fylker")
-    long = base.select(cand.alias("cand"), F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("key")) for m in METHODS])).alias("k"))
-    return long.groupBy("k.method", "k.key").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
-
-
-def unique(cands: Column) -> Column:
-    """The first candidate where all are one identity, else null."""
-    return F.when(F.size(F.array_distinct(F.transform(cands, lambda c: c["ident"]))) == 1, F.get(cands, F.lit(0)))
-
-
-def in_context(cands: Column, party: Column, region: Column) -> Column:
-    """Candidates narrowed by region, then by party where several are left; a narrowing to none is dropped."""
-
-    def narrowed(c: Column, by: str, value: Column, when: Column) -> Column:
-        hit = F.filter(c, lambda x: F.array_contains(x[by], value))
-        return F.when(when & (F.size(hit) > 0), hit).otherwise(c)
-
-    by_region = narrowed(cands, "fylker", region, F.coalesce(region != "", F.lit(False)))
-    return narrowed(by_region, "partier", party, F.coalesce(party != "", F.lit(False)) & (F.size(by_region) > 1))
+    who = F.struct("ord", "api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn")
+    regions = F.array_distinct(F.coalesce("fylker", F.array().cast("array<string>")))
+    parties = F.array_distinct(F.coalesce("partier", F.array().cast("array<string>")))
+    both = F.flatten(F.transform(regions, lambda r: F.transform(parties, lambda p: _group(r, p))))
+    names = F.concat(F.array(_group()), F.transform(regions, lambda r: _group(r)), F.transform(parties, lambda p: _group(None, p)), both)
+    base = pool.select(who.alias("who"), ident.alias("ident"), names.alias("names"), F.array(*[F.struct(F.lit(m).alias("method"), keys[m].alias("key")) for m in METHODS]).alias("keys"))
+    long = base.select("who", "ident", "names", F.explode("keys").alias("k")).select("who", "ident", "k.*", F.explode(F.array_compact("names")).alias("name"))
+    each = long.groupBy("method", "key", "name").agg(F.count("*").alias("n"), (F.min("ident") == F.max("ident")).alias("one"), F.min("who").alias("who"))
+    return each.groupBy("method", "key").agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("n", "one", "who")))).alias("groups"))
+
+
+def _group(region: Column | None = None, party: Column | None = None) -> Column:
+    """Name of a group of candidates; null where the region or party asked for is null."""
+    told = [F.concat(F.lit(mark), v) for mark, v in (("r", region), ("p", party)) if v is not None]
+    return F.concat(*told[:1], *[F.concat(F.lit("\x00"), t) for t in told[1:]]) if told else F.lit("")
+
+
+def _found(groups: Column, region: Column, party: Column) -> tuple[Column, Column]:
+    """Who is found without and with the context: candidates are narrowed by region, then by party where
+    several are left; a narrowing to none is dropped."""
+    every = F.element_at(groups, F.lit(""))
+    of_region = F.when(F.coalesce(region != "", F.lit(False)), F.element_at(groups, _group(region)))
+    base = F.coalesce(of_region, every)
+    of_party = F.when(of_region.isNotNull(), F.element_at(groups, _group(region, party))).otherwise(F.element_at(groups, _group(None, party)))
+    narrow = F.coalesce(F.when(F.coalesce(party != "", F.lit(False)) & (base["n"] > 1), of_party), base)
+    return F.when(every["one"], every["who"]), F.when(narrow["one"], narrow["who"])
 
 
 def resolve(persons: DataFrame, pool: DataFrame, nfc: bool = False) -> DataFrame:
     """Roster rows: every person row once, with an identity where exactly one fits and how it was found."""
     n = S.name_parts("name")
     keys = _keys(n["surname"], n["given"], F.col("name"), nfc)
-    x = persons.select("*", S.norm(F.coalesce("party", F.lit("")), nfc).alias("_p"), S.norm(F.coalesce("constituency", F.lit("")), nfc).alias("_r"), *[k.alias(f"_{m}") for m, k in keys.items()])
-    grouped = pools(pool, nfc)
-    for m in METHODS:
-        side = grouped.where(F.col("method") == m).select(F.col("key").alias(f"_{m}"), F.col("cands").alias(f"_c_{m}"))
-        x = x.join(side, f"_{m}", "left")
-    tries = []
-    for m in METHODS:
-        c = F.col(f"_c_{m}")
-        tries += [F.when(unique(c).isNotNull(), F.struct(unique(c).alias("who"), F.lit(m).alias("how")))]
-        narrow = unique(in_context(c, F.col("_p"), F.col("_r")))
-        tries += [F.when(narrow.isNotNull(), F.struct(narrow.alias("who"), F.lit(f"{m}+context").alias("how")))]
-    any_cands = F.greatest(*[F.coalesce(F.size(f"_c_{m}"), F.lit(0)) for m in METHODS]) > 0
-    x = x.withColumn("_hit", F.coalesce(*tries))
-    got = {k: F.col(f"_hit.who.{k}").alias(k) for k in ("api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn")}
-    out = x.select("date", "person_index", "section_heading", "person_header", "name", "party", "constituency", *got.values(), F.coalesce("_hit.how", F.when(any_cands, F.lit("ambiguous")).otherwise("unmatched")).alias("match_method"))
-    return conform(out, "roster")
+    told = ["date", "person_index", "section_heading", "person_header", "name", "party", "constituency"]
+    x = persons.select(F.monotonically_increasing_id().alias("row"), F.struct(*told).alias("told"), S.norm(F.coalesce("party", F.lit("")), nfc).alias("p"), S.norm(F.coalesce("constituency", F.lit("")), nfc).alias("r"), *[keys[m].alias(m) for m in METHODS])
+    # the row's own columns travel once, with its first key
+    asks = F.array(*[F.struct(F.lit(k).alias("turn"), F.lit(m).alias("method"), F.col(m).alias("key"), (F.col("told") if not k else F.lit(None)).alias("told")) for k, m in enumerate(METHODS)])
+    x = x.select("row", "p", "r", F.explode(asks).alias("ask")).select("row", "p", "r", "ask.*").join(pools(pool, nfc), ["method", "key"], "left")
+    alone, narrowed = _found(F.col("groups"), F.col("r"), F.col("p"))
+    hit = F.coalesce(F.when(alone.isNotNull(), F.struct(alone.alias("who"), F.col("method").alias("how"))), F.when(narrowed.isNotNull(), F.struct(narrowed.alias("who"), F.concat("method", F.lit("+context")).alias("how"))))
+    x = x.select("row", "turn", "told", F.col("groups").isNotNull().alias("some"), hit.alias("hit"))
+    x = x.groupBy("row").agg(F.max("told").alias("told"), F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("turn"))).alias("hit"), F.max("some").alias("some"))
+    got = [F.col(f"hit.who.{k}").alias(k) for k in ("api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn")]
+    return conform(x.select("told.*", *got, F.coalesce("hit.how", F.when(F.col("some"), F.lit("ambiguous")).otherwise("unmatched")).alias("match_method")), "roster")
 
 
 def name_changes(roster: DataFrame) -> DataFrame:
-    """Printed names of people who were printed under two names or more, with the dates of each."""
+    """Printed names of people who were printed under two names or more, with the dates of each, by id and
+    first date."""
     known = roster.where(F.coalesce(F.col("api_person_id") != "", F.lit(False)))
     per = known.groupBy("api_person_id", F.col("name").alias("printed_name")).agg(
         F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").cast("int").alias("n_snapshots"), F.array_join(F.array_sort(F.collect_set("match_method")), ",").alias("match_methods"))
     born = known.groupBy("api_person_id").agg(F.max_by("foedselsdato", F.struct("date", "person_index")).alias("foedselsdato"), F.countDistinct("name").alias("names")).where("names >= 2")
-    return conform(per.join(born, "api_person_id"), "name_changes")
+    return conform(per.join(born, "api_person_id"), "name_changes").orderBy("api_person_id", "first_date", "printed_name")

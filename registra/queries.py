@@ -423,6 +423,19 @@ def form_fields(spark, sf):
 # resolution, rendering, candidates, sinks
 
 
+def _roster_input(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as persons and suppliers as a pool, named by parts."""
+    part = table(spark, sf, "part").select("p_partkey", F.substring_index("p_name", " ", 1).alias("sur"), F.coalesce(F.nullif(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit("")), F.lit("x")).alias("giv"))
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    s = table(spark, sf, "supplier").join(part, F.col("p_partkey") == F.col("s_suppkey")).join(n, F.col("n_nationkey") == F.col("s_nationkey"))
+    pool = s.select(F.col("s_suppkey").alias("ord"), F.col("s_suppkey").cast("string").alias("api_person_id"), F.col("sur").alias("etternavn"), F.concat("giv", F.when(F.col("s_suppkey") % 4 == 0, " second").otherwise("")).alias("fornavn"), (F.col("s_suppkey") % 3).cast("string").alias("foedselsdato"), F.lit("k").alias("kjoenn"), F.array().cast("array<string>").alias("partier"), F.array(F.lower("n_name")).alias("fylker"))
+    c = table(spark, sf, "customer").join(part, F.col("p_partkey") == F.col("c_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"))
+    form = F.col("c_custkey") % 3
+    name = F.when(form == 0, F.concat("sur", F.lit(", "), "giv")).when(form == 1, F.concat("giv", F.lit(" "), "sur")).otherwise(F.concat("sur", F.lit(", "), "giv", F.lit(" third")))
+    persons = c.select(F.lit("d").alias("date"), F.col("c_custkey").cast("int").alias("person_index"), F.lit("h").alias("section_heading"), name.alias("person_header"), name.alias("name"), F.lit(None).cast("string").alias("party"), F.col("n_name").alias("constituency"))
+    return persons, pool
+
+
 _CLEAN = "array_to_string(list_sort(list_distinct(string_split({}, ' '))), ' ')"
 
 
@@ -439,15 +452,32 @@ b AS (SELECT c_custkey, min(m) FILTER (how IS NOT NULL) AS m, count(*) AS c FROM
 SELECT pn.c_custkey::INT AS person_index, pn.name, u.id AS api_person_id, CASE WHEN b.c IS NULL THEN 'unmatched' WHEN b.m IS NULL THEN 'ambiguous' ELSE ['exact', 'surname_first_token', 'token_set'][b.m] || u.how END AS match_method
 FROM pn LEFT JOIN b USING (c_custkey) LEFT JOIN u ON u.c_custkey = pn.c_custkey AND u.m = b.m""")
 def resolve_roster(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey", F.substring_index("p_name", " ", 1).alias("sur"), F.coalesce(F.nullif(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit("")), F.lit("x")).alias("giv"))
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    s = table(spark, sf, "supplier").join(part, F.col("p_partkey") == F.col("s_suppkey")).join(n, F.col("n_nationkey") == F.col("s_nationkey"))
-    pool = s.select(F.col("s_suppkey").alias("ord"), F.col("s_suppkey").cast("string").alias("api_person_id"), F.col("sur").alias("etternavn"), F.concat("giv", F.when(F.col("s_suppkey") % 4 == 0, " second").otherwise("")).alias("fornavn"), (F.col("s_suppkey") % 3).cast("string").alias("foedselsdato"), F.lit("k").alias("kjoenn"), F.array().cast("array<string>").alias("partier"), F.array(F.lower("n_name")).alias("fylker"))
-    c = table(spark, sf, "customer").join(part, F.col("p_partkey") == F.col("c_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"))
-    form = F.col("c_custkey") % 3
-    name = F.when(form == 0, F.concat("sur", F.lit(", "), "giv")).when(form == 1, F.concat("giv", F.lit(" "), "sur")).otherwise(F.concat("sur", F.lit(", "), "giv", F.lit(" third")))
-    persons = c.select(F.lit("d").alias("date"), F.col("c_custkey").cast("int").alias("person_index"), F.lit("h").alias("section_heading"), name.alias("person_header"), name.alias("name"), F.lit(None).cast("string").alias("party"), F.col("n_name").alias("constituency"))
-    return resolve(persons, pool, nfc=True).select("person_index", "name", "api_person_id", "match_method")
+    return resolve(*_roster_input(spark, sf), nfc=True).select("person_index", "name", "api_person_id", "match_method")
+
+
+@query("""WITH pool AS (SELECT s_suppkey AS ord, split_part(p_name, ' ', 1) AS sur, coalesce(nullif(split_part(p_name, ' ', 2), ''), 'x') || CASE WHEN s_suppkey % 4 = 0 THEN ' second' ELSE '' END AS giv, (s_suppkey % 3)::VARCHAR AS dob, n_name AS region, s_suppkey::VARCHAR AS id, ['x', 'y', NULL][s_suppkey % 3 + 1] AS party
+ FROM supplier JOIN part ON p_partkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey),
+pp AS (SELECT *, lower(sur) || ', ' || lower(giv) AS k1, lower(sur) || chr(1) || split_part(lower(giv), ' ', 1) AS k2, """ + _CLEAN.format("lower(sur) || ' ' || lower(giv)") + """ AS k3, dob || '/' || lower(sur) || '/' || lower(giv) AS ident FROM pool),
+per AS (SELECT c_custkey, split_part(p_name, ' ', 1) AS sur, coalesce(nullif(split_part(p_name, ' ', 2), ''), 'x') AS giv, n_name AS region, c_custkey % 3 AS form, [NULL, 'x', 'y', 'z'][c_custkey % 4 + 1] AS p FROM customer JOIN part ON p_partkey = c_custkey JOIN nation ON n_nationkey = c_nationkey),
+pn AS (SELECT *, CASE form WHEN 0 THEN sur || ', ' || giv WHEN 1 THEN giv || ' ' || sur ELSE sur || ', ' || giv || ' third' END AS name FROM per),
+pk AS (SELECT *, lower(name) AS k1, lower(split_part(name, ',', 1)) || chr(1) || CASE WHEN contains(name, ',') THEN split_part(trim(lower(split_part(name, ',', 2))), ' ', 1) ELSE '' END AS k2, """ + _CLEAN.format("replace(lower(name), ',', '')") + """ AS k3 FROM pn),
+j AS (SELECT c_custkey, pk.region, 1 AS m, pp.ord, pp.ident, pp.id, pp.region AS r, pk.p, pp.party AS pp FROM pk JOIN pp ON pk.k1 = pp.k1 UNION ALL SELECT c_custkey, pk.region, 2, pp.ord, pp.ident, pp.id, pp.region, pk.p, pp.party FROM pk JOIN pp ON pk.k2 = pp.k2 UNION ALL SELECT c_custkey, pk.region, 3, pp.ord, pp.ident, pp.id, pp.region, pk.p, pp.party FROM pk JOIN pp ON pk.k3 = pp.k3),
+t AS (SELECT c_custkey, m, count(DISTINCT ident) AS n, arg_min(id, ord) AS id, count(*) FILTER (r = region) AS cr FROM j GROUP BY 1, 2),
+w AS (SELECT j.*, n, t.id AS first_id FROM j JOIN t USING (c_custkey, m) WHERE cr = 0 OR r = region),
+v AS (SELECT c_custkey, m, count(*) AS c, count(*) FILTER (pp = p) AS cp FROM w GROUP BY 1, 2),
+z AS (SELECT w.* FROM w JOIN v USING (c_custkey, m) WHERE p IS NULL OR c = 1 OR cp = 0 OR pp = p),
+y AS (SELECT c_custkey, m, any_value(n) AS n, any_value(first_id) AS first_id, count(DISTINCT ident) AS nz, arg_min(id, ord) AS idz FROM z GROUP BY 1, 2),
+u AS (SELECT c_custkey, m, CASE WHEN n = 1 THEN first_id WHEN nz = 1 THEN idz END AS id, CASE WHEN n = 1 THEN '' WHEN nz = 1 THEN '+context' END AS how FROM y),
+b AS (SELECT c_custkey, min(m) FILTER (how IS NOT NULL) AS m, count(*) AS c FROM u GROUP BY 1)
+SELECT pn.c_custkey::INT AS person_index, pn.name, pn.p AS party, u.id AS api_person_id, CASE WHEN b.c IS NULL THEN 'unmatched' WHEN b.m IS NULL THEN 'ambiguous' ELSE ['exact', 'surname_first_token', 'token_set'][b.m] || u.how END AS match_method
+FROM pn LEFT JOIN b USING (c_custkey) LEFT JOIN u ON u.c_custkey = pn.c_custkey AND u.m = b.m""")
+def resolve_with_parties(spark, sf):
+    """As ``resolve_roster``, with parties on both sides: the second step of the context."""
+    persons, pool = _roster_input(spark, sf)
+    of = lambda names, k: F.get(F.array(*[F.lit(v).cast("string") for v in names]), (F.col(k) % len(names)).cast("int"))
+    pool = pool.withColumn("partier", F.array_compact(F.array(of(("x", "y", None), "ord"))))
+    got = resolve(persons.withColumn("party", of((None, "x", "y", "z"), "person_index")), pool, nfc=True)
+    return got.select("person_index", "name", "party", "api_person_id", "match_method")
 
 
 @query("""SELECT '| nation | region |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || replace(n_name, '|', '\\|') || ' | ' || r_name || ' |', chr(10) ORDER BY r_name, n_name) AS md FROM nation JOIN region ON n_regionkey = r_regionkey""".replace("\\\\", "\\"))

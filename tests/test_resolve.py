@@ -1,4 +1,6 @@
-from registra.operators.resolve import name_changes, resolve
+from pyspark.sql import functions as F
+
+from registra.operators.resolve import name_changes, pools, resolve
 
 POOL = "ord long, api_person_id string, etternavn string, fornavn string, foedselsdato string, kjoenn string, partier array<string>, fylker array<string>"
 PERSONS = "date string, person_index int, section_heading string, person_header string, name string, party string, constituency string"
@@ -28,3 +30,24 @@ def test_name_changes(spark):
     df = spark.createDataFrame(rows, "date string, person_index int, api_person_id string, name string, foedselsdato string, match_method string")
     got = [tuple(r) for r in name_changes(df).orderBy("first_date").collect()]
     assert got == [("p", "1951", "A", "2020", "2021", 2, "exact,token_set"), ("p", "1951", "B", "2022", "2022", 1, "exact")]
+
+
+def test_a_key_that_many_share(spark):
+    """10^5 people of one name: summaries by region and party, no list of people."""
+    pool = spark.range(100_000).select(
+        F.col("id").alias("ord"), F.col("id").cast("string").alias("api_person_id"), F.lit("Lie").alias("etternavn"), F.lit("Kari").alias("fornavn"), F.col("id").cast("string").alias("foedselsdato"), F.lit("k").alias("kjoenn"),
+        F.array(F.when(F.col("id") == 70_000, "rare").otherwise("x")).alias("partier"), F.array(F.concat(F.lit("r"), (F.col("id") % 5).cast("string"))).alias("fylker"))
+    (row,) = [r for r in pools(pool, True).where("method = 'exact'").collect()]
+    assert len(row.groups) == 1 + 5 + 2 + 6 and row.groups[""].n == 100_000 and not row.groups[""].one
+    persons = spark.createDataFrame([("d", k, "h", "n", "Lie, Kari", p, r) for k, (p, r) in enumerate((("rare", None), ("rare", "r0"), ("rare", "r1"), ("x", "r1"), (None, None)))], PERSONS)
+    got = {r.person_index: (r.match_method, r.api_person_id) for r in resolve(persons, pool, nfc=True).collect()}
+    assert got == {0: ("exact+context", "70000"), 1: ("exact+context", "70000"), 2: ("ambiguous", None), 3: ("ambiguous", None), 4: ("ambiguous", None)}
+    plan = resolve(persons, pool, nfc=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1
+
+
+def test_name_changes_are_in_order(spark):
+    rows = [(f"20{k % 20:02d}", k, f"p{k % 3}", f"n{k % 7}", "1", "exact") for k in range(60)]
+    df = spark.createDataFrame(rows, "date string, person_index int, api_person_id string, name string, foedselsdato string, match_method string")
+    got = [(r.api_person_id, r.first_date, r.printed_name) for r in name_changes(df).collect()]
+    assert got == sorted(got) and len(got) == 21
