@@ -41,7 +41,7 @@ from .tokens import LONG_RUN
 
 #: Most id pairs whose counts are sent to all tasks.
 HEAD = 1 << 18
-CHARS = 4_000_000
+CHARS = 2_000_000
 #: Distinct pairs that a task adds up before it hands them on.
 PAIRS = 1 << 20
 _RUN = re.compile(" +[^ ]*")
