@@ -30,10 +30,10 @@ def _parser() -> argparse.ArgumentParser:
         return s
 
     add("parse", "mirror", "store", words=...)
-    add("backfill", "manifest", "store", words=...)
+    add("backfill", "manifest", "store", words=..., pdf_dir="")
     add("enrich", "store", "cache", max_requests=120, batch_size=6, model="extractor", extractor=...)
     add("smk-collect", "manifest", "index", captures=None)
-    add("smk-parse", "manifest", "store", words=..., source_url="")
+    add("smk-parse", "manifest", "store", words=..., source_url="", pdf_dir="")
     add("smk-archive", "manifest", archived="", assets="")
     add("archive", "mirror", archived="", assets="", pdf_dir="", population_dir="")
     add("export-md", "store", "out", cache="cache/llm")
@@ -44,12 +44,22 @@ def _parser() -> argparse.ArgumentParser:
 def run(argv: list[str], spark) -> object:
     from pyspark.sql import functions as F
 
-    from .plans import archive, enrich, markdown, parse, publish
+    from .plans import archive, enrich, intake, markdown, parse, publish
     from .sources import tables as T
 
     a = _parser().parse_args(argv)
     none = lambda ddl: spark.createDataFrame([], ddl)
     assets = lambda path: T.asset_listing(spark, path) if path else none("name string, id bigint")
+
+    def verified(manifest, expected: str, job):
+        """The job over all entries or, where the files are at hand, over those whose file is right; the
+        others are listed (a report for whoever runs the command)."""
+        if not a.pdf_dir:
+            return job(manifest)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(a.pdf_dir)
+        good, bad = intake.verify(manifest, intake.inspect(files), F.concat("doc_id", F.lit(".pdf")), expected)
+        return {"written": job(good), "refused": [r.asDict() for r in bad.select("doc_id", "reason").orderBy("doc_id").collect()]}
+
     if a.command == "parse":
         m = T.mirror_manifest(spark, f"{a.mirror}/manifest.parquet")
         counts = F.col("population_count") if "population_count" in m.columns else F.lit(None).cast("int")
@@ -61,12 +71,12 @@ def run(argv: list[str], spark) -> object:
         words = T.words(spark, a.words)
         pages = words.groupBy("doc_id").agg((F.max("page") + 1).alias("n_pages"))
         m = T.backfill_manifest(spark, a.manifest).select("date", "url", F.col("sha256").alias("file_hash"), F.lit(None).cast("int").alias("population_count"), F.concat(F.lit("pr-"), "date").alias("doc_id")).join(pages, "doc_id")
-        return parse.parse_register(spark, m, words, a.store)
+        return verified(m, "file_hash", lambda good: parse.parse_register(spark, good, words, a.store))
     if a.command == "smk-parse":
         words = T.words(spark, a.words)
         pages = words.groupBy("doc_id").agg((F.max("page") + 1).alias("n_pages"))
         m = T.form_versions(T.form_manifest(spark, a.manifest)).withColumn("doc_id", F.concat(F.lit("smk_"), "wayback_ts")).join(pages, "doc_id")
-        return parse.parse_forms(spark, m, words, a.store, a.source_url)
+        return verified(m, "sha256", lambda good: parse.parse_forms(spark, good, words, a.store, a.source_url))
     if a.command == "enrich":
         module, _, name = a.extractor.partition(":")
         sections = T.snapshots(spark, a.store, "sections", ["date", "person_index", "section_order", "block_hash", "paragraf", "label", "text"])
