@@ -62,15 +62,23 @@ def _fold(s: pd.Series) -> pd.Series:
 
 def norm(x, known_nfc: bool = False) -> Column:
     """White space collapsed, NFC, case folded. With ``known_nfc`` the built-in form is used, which
-    agrees for composed text whose only folding beyond lower case is the sharp s."""
+    agrees for composed text whose only folding beyond lower case is the sharp s. Otherwise ASCII text is
+    folded by Spark, and only the rest goes to Python (as nulls where it need not)."""
     if known_nfc:
         return F.replace(F.lower(F.regexp_replace(strip(x), r"(?U)\s+", " ")), F.lit("ß"), F.lit("ss"))
-    return _fold(_c(x))
+    c = _c(x)
+    plain = F.when(~c.rlike(r"[^\x00-\x7f]"), F.lower(F.trim(F.regexp_replace(c, r"[\t-\r\x1c-\x20]+", " "))))
+    return F.coalesce(plain, _fold(F.when(c.rlike(r"[^\x00-\x7f]"), c)))
 
 
 def tokens(x, known_nfc: bool = False) -> Column:
     """Normalised name tokens; commas and hyphens part tokens."""
-    return F.filter(F.split(F.translate(norm(x, known_nfc), ",-", "  "), " +"), lambda t: t != "")
+    return parted(norm(x, known_nfc))
+
+
+def parted(normed) -> Column:
+    """Tokens of a normalised name."""
+    return F.filter(F.split(F.translate(_c(normed), ",-", "  "), " +"), lambda t: t != "")
 
 
 def token_set_key(toks) -> Column:

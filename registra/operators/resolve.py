@@ -3,8 +3,10 @@
 Of the people that share a key only summaries are kept: for all of them, those of a region, those of a
 party and those of both, how many there are, whether they are one identity and who comes first. A summary
 is of constant size and merges, so a key that millions share costs no more state than there are regions
-and parties. A person row asks for its three keys in one join. Identity means the same date of birth and
-the same normalised names; several ids of one identity count as one, the first one wins."""
+and parties. What is found hangs on the printed name, party and region alone, so each of these that differs
+is normalised and asked for once, with its three keys in one join, however many snapshots print it; the
+person rows meet the answers by them. Identity means the same date of birth and the same normalised names;
+several ids of one identity count as one, the first one wins."""
 
 from __future__ import annotations
 
@@ -17,12 +19,13 @@ from ..schemas import conform
 METHODS = ("exact", "surname_first_token", "token_set")
 
 
-def _keys(surname: Column, given: Column, full: Column, nfc: bool) -> dict[str, Column]:
-    first = F.coalesce(F.get(S.tokens(given, nfc), F.lit(0)), F.lit(""))
+def _keys(surname: str = "surname", given: str = "given", full: str = "full") -> dict[str, Column]:
+    """The keys of normalised names."""
+    first = F.coalesce(F.get(S.parted(given), F.lit(0)), F.lit(""))
     return {
-        "exact": S.norm(full, nfc),
-        "surname_first_token": F.concat(S.norm(surname, nfc), F.lit("\x00"), first),
-        "token_set": S.token_set_key(S.tokens(full, nfc)),
+        "exact": F.col(full),
+        "surname_first_token": F.concat(F.col(surname), F.lit("\x00"), first),
+        "token_set": S.token_set_key(S.parted(full)),
     }
 
 
@@ -32,15 +35,17 @@ def pools(pool: DataFrame, nfc: bool = False) -> DataFrame:
 
     ``pool`` has ord, api_person_id, etternavn, fornavn, foedselsdato, kjoenn, partier, fylker (normalised)."""
     sur, giv = F.coalesce("etternavn", F.lit("")), F.coalesce("fornavn", F.lit(""))
-    keys = _keys(sur, giv, F.concat(sur, F.lit(", "), giv), nfc)
-    ident = F.concat_ws("\x00", F.coalesce("foedselsdato", F.lit("\x01")), S.norm(sur, nfc), S.norm(giv, nfc))
+    named = pool.select("*", S.norm(sur, nfc).alias("surname"), S.norm(giv, nfc).alias("given"), S.norm(F.concat(sur, F.lit(", "), giv), nfc).alias("full"))
+    keys = _keys()
+    ident = F.concat_ws("\x00", F.coalesce("foedselsdato", F.lit("\x01")), "surname", "given")
     who = F.struct("ord", "api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn")
     regions = F.array_distinct(F.coalesce("fylker", F.array().cast("array<string>")))
     parties = F.array_distinct(F.coalesce("partier", F.array().cast("array<string>")))
     both = F.flatten(F.transform(regions, lambda r: F.transform(parties, lambda p: _group(r, p))))
     names = F.concat(F.array(_group()), F.transform(regions, lambda r: _group(r)), F.transform(parties, lambda p: _group(None, p)), both)
-    base = pool.select(who.alias("who"), ident.alias("ident"), names.alias("names"), F.array(*[F.struct(F.lit(m).alias("method"), keys[m].alias("key")) for m in METHODS]).alias("keys"))
-    long = base.select("who", "ident", "names", F.explode("keys").alias("k")).select("who", "ident", "k.*", F.explode(F.array_compact("names")).alias("name"))
+    base = named.select(who.alias("who"), ident.alias("ident"), names.alias("names"), F.array(*[F.struct(F.lit(m).alias("method"), keys[m].alias("key")) for m in METHODS]).alias("keys"))
+    # outer, though no array is empty: the filter that Spark adds before an explode would fold the names again
+    long = base.select("who", "ident", "names", F.explode_outer("keys").alias("k")).select("who", "ident", "k.*", F.explode(F.array_compact("names")).alias("name"))
     each = long.groupBy("method", "key", "name").agg(F.count("*").alias("n"), (F.min("ident") == F.max("ident")).alias("one"), F.min("who").alias("who"))
     return each.groupBy("method", "key").agg(F.map_from_entries(F.collect_list(F.struct("name", F.struct("n", "one", "who")))).alias("groups"))
 
@@ -64,19 +69,20 @@ def _found(groups: Column, region: Column, party: Column) -> tuple[Column, Colum
 
 def resolve(persons: DataFrame, pool: DataFrame, nfc: bool = False) -> DataFrame:
     """Roster rows: every person row once, with an identity where exactly one fits and how it was found."""
-    n = S.name_parts("name")
-    keys = _keys(n["surname"], n["given"], F.col("name"), nfc)
-    told = ["date", "person_index", "section_heading", "person_header", "name", "party", "constituency"]
-    x = persons.select(F.monotonically_increasing_id().alias("row"), F.struct(*told).alias("told"), S.norm(F.coalesce("party", F.lit("")), nfc).alias("p"), S.norm(F.coalesce("constituency", F.lit("")), nfc).alias("r"), *[keys[m].alias(m) for m in METHODS])
-    # the row's own columns travel once, with its first key
-    asks = F.array(*[F.struct(F.lit(k).alias("turn"), F.lit(m).alias("method"), F.col(m).alias("key"), (F.col("told") if not k else F.lit(None)).alias("told")) for k, m in enumerate(METHODS)])
-    x = x.select("row", "p", "r", F.explode(asks).alias("ask")).select("row", "p", "r", "ask.*").join(pools(pool, nfc), ["method", "key"], "left")
+    n, text = S.name_parts("name"), lambda c: F.coalesce(c, F.lit(""))
+    asked = persons.select("name", "party", "constituency").distinct()
+    asked = asked.select(F.struct("*").alias("ask"), S.norm("name", nfc).alias("full"), S.norm(n["surname"], nfc).alias("surname"), S.norm(n["given"], nfc).alias("given"), S.norm(text("party"), nfc).alias("p"), S.norm(text("constituency"), nfc).alias("r"))
+    keys = _keys()
+    turns = F.array(*[F.struct(F.lit(k).alias("turn"), F.lit(m).alias("method"), keys[m].alias("key")) for k, m in enumerate(METHODS)])
+    x = asked.select("ask", "p", "r", F.explode(turns).alias("k")).select("ask", "p", "r", "k.*").join(pools(pool, nfc), ["method", "key"], "left")
     alone, narrowed = _found(F.col("groups"), F.col("r"), F.col("p"))
     hit = F.coalesce(F.when(alone.isNotNull(), F.struct(alone.alias("who"), F.col("method").alias("how"))), F.when(narrowed.isNotNull(), F.struct(narrowed.alias("who"), F.concat("method", F.lit("+context")).alias("how"))))
-    x = x.select("row", "turn", "told", F.col("groups").isNotNull().alias("some"), hit.alias("hit"))
-    x = x.groupBy("row").agg(F.max("told").alias("told"), F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("turn"))).alias("hit"), F.max("some").alias("some"))
+    x = x.select("ask", "turn", F.col("groups").isNotNull().alias("some"), hit.alias("hit"))
+    x = x.groupBy("ask").agg(F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("turn"))).alias("hit"), F.max("some").alias("some"))
+    told = ["date", "person_index", "section_heading", "person_header", "name", "party", "constituency"]
+    met = persons.select(*told).join(x, F.expr("name <=> ask.name and party <=> ask.party and constituency <=> ask.constituency"))
     got = [F.col(f"hit.who.{k}").alias(k) for k in ("api_person_id", "etternavn", "fornavn", "foedselsdato", "kjoenn")]
-    return conform(x.select("told.*", *got, F.coalesce("hit.how", F.when(F.col("some"), F.lit("ambiguous")).otherwise("unmatched")).alias("match_method")), "roster")
+    return conform(met.select(*told, *got, F.coalesce("hit.how", F.when(F.col("some"), F.lit("ambiguous")).otherwise("unmatched")).alias("match_method")), "roster")
 
 
 def name_changes(roster: DataFrame) -> DataFrame:

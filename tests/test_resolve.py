@@ -51,3 +51,31 @@ def test_name_changes_are_in_order(spark):
     df = spark.createDataFrame(rows, "date string, person_index int, api_person_id string, name string, foedselsdato string, match_method string")
     got = [(r.api_person_id, r.first_date, r.printed_name) for r in name_changes(df).collect()]
     assert got == sorted(got) and len(got) == 21
+
+
+def test_names_are_folded_once(spark):
+    """However many snapshots print a name, one evaluation in Python; ASCII names none at all."""
+    names = [("Åsen, Kåre", "x", "r1"), ("Strauß, Ida", None, "r2"), ("Lie, Kari", "x", None), ("Lie, Kari", None, None), (None, None, None)]
+    persons = spark.createDataFrame([(f"d{k}", k * 10 + i, "h", "n", n, p, r) for k in range(40) for i, (n, p, r) in enumerate(names)], PERSONS)
+    pool = spark.createDataFrame([(1, "a", "ÅSEN", "Kåre", "1960", "m", [], []), (2, "b", "STRAUSS", "Ida", "1970", "k", [], []), (3, "c", "Lie", "Kari", "1950", "k", [], [])], POOL)
+    out = resolve(persons, pool)
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.name, r.party, r.constituency), []).append((r.date, r.api_person_id, r.match_method))
+    assert {k: {v[1:] for v in vs} for k, vs in got.items()} == {n: {w} for n, w in zip(names, (("a", "exact"), ("b", "exact"), ("c", "exact"), ("c", "exact"), (None, "unmatched")), strict=True)}
+    assert all(len({v[0] for v in vs}) == len(vs) == 40 for vs in got.values())
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    evals = [i for i, line in enumerate(plan) if "ArrowEvalPython" in line]
+    assert sorted(plan[i].count("_fold(") for i in evals) == [3, 5]
+    assert sum("Aggregate [name" in plan[i + 1] for i in evals) == 1  # of the persons, the distinct ones
+
+
+def test_norm_is_the_same_on_either_way(spark):
+    import unicodedata
+
+    from registra.functions import scalars as S
+
+    texts = ["", " ", "A", "a\x1cB\x1f\tC ", "\x0bx\x0c", "\x00 Q\x7f", "É é", "ﬁ İ ẞ", " Å\u00a0B", None, "A\x85", "x" * 5000 + " Y"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.n for r in df.select(S.norm("t").alias("n")).collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFC", " ".join(t.split())).casefold() for t in texts]
