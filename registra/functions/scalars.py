@@ -170,7 +170,15 @@ def zip_json(headers, row) -> Column:
 
 
 def json_cell(cells, key: str) -> Column:
-    return F.element_at(F.from_json(_c(cells), "map<string,string>"), F.lit(key))
+    return variant_cell(F.try_parse_json(_c(cells)), F.lit(key))
+
+
+def variant_cell(cells, key: Column, kind: str = "string") -> Column:
+    """The value of a key of a VARIANT object; null where there is no object or it lacks the key. A path names
+    a key between quotes of one sort, so a key with both sorts is looked up in the object as a map."""
+    v, get = _c(cells), lambda q: F.try_variant_get(_c(cells), F.concat(F.lit(f"$[{q}"), key, F.lit(f"{q}]")), kind)
+    whole = F.try_element_at(F.try_variant_get(v, "$", f"map<string,{kind}>"), key)
+    return F.when(~F.contains(key, F.lit("'")), get("'")).when(~F.contains(key, F.lit('"')), get('"')).otherwise(whole)
 
 
 def md_escape(x) -> Column:

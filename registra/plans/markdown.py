@@ -19,11 +19,24 @@ def dynamic_columns(transactions: DataFrame) -> DataFrame:
     return keys.groupBy("key").agg(F.min(F.struct("at", "k")).alias("first"))
 
 
-def pivot_cells(transactions: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Transactions with one column per printed header; the headers of one snapshot are few."""
-    headers = [r["key"] for r in dynamic_columns(transactions).orderBy("first").collect()]
-    cells = F.from_json("cells_json", "map<string,string>")
-    return transactions.select("person_index", "person_header", "paragraf", "row_index", *[F.try_element_at(cells, F.lit(h)).alias(h) for h in headers]), headers
+def headers(transactions: DataFrame) -> DataFrame:
+    """One row: all printed headers in order; those of one snapshot are few."""
+    order = F.array_sort(F.collect_list(F.struct("first", "key")))
+    return dynamic_columns(transactions).agg(F.transform(order, lambda h: h["key"]).alias("headers"))
+
+
+def pivot_cells(transactions: DataFrame) -> DataFrame:
+    """Transactions with their cells in the order of all headers; null where a row has no such cell. The
+    headers meet the rows as a row of their own and do not pass through the driver."""
+    x = transactions.withColumn("v", F.try_parse_json("cells_json")).join(F.broadcast(headers(transactions)), F.lit(True))
+    return x.withColumn("cells", F.transform("headers", lambda h: S.variant_cell("v", h))).drop("v", "headers")
+
+
+def cell_types(transactions: DataFrame) -> DataFrame:
+    """(key, n, type): of every header its number of cells and the type that holds all their values, VOID
+    where all are null and VARIANT where they have none in common."""
+    x = transactions.select(F.try_parse_json("cells_json").alias("v"), F.explode(F.json_object_keys("cells_json")).alias("key"))
+    return x.groupBy("key").agg(F.count("*").alias("n"), F.schema_of_variant_agg(S.variant_cell("v", F.col("key"), "variant")).alias("type"))
 
 
 def document_rows(docs: DataFrame, meta: DataFrame, releases: str) -> DataFrame:
@@ -41,9 +54,9 @@ def export(spark: SparkSession, store: str, out: str, cache: str, releases: str
     snap = lambda name: tables.snapshots(spark, store, name, date=date)
     written = 0
 
-    def put(file: str, title: str, rows: DataFrame, headers: list[str], order: tuple[str, ...]) -> None:
+    def put(file: str, title: str, rows: DataFrame, columns: list[str], order: tuple[str, ...], more: DataFrame | None = None) -> None:
         nonlocal written
-        sinks.write_text(spark, f"{out}/{file}", f"# {title}\n\n" + sinks.md_table(rows, headers, order).first()[0] + "\n")
+        sinks.write_text(spark, f"{out}/{file}", f"# {title}\n\n" + sinks.md_table(rows, columns, order, more).first()[0] + "\n")
         written += 1
 
     docs = document_rows(tables.snapshots(spark, store, "documents"), meta, releases).withColumn("_new", -F.unix_date(F.col("_date").try_cast("date")))
@@ -52,8 +65,8 @@ def export(spark: SparkSession, store: str, out: str, cache: str, releases: str
     put("persons.md", f"Persons, snapshot {date}", people, ["idx", "section", "name", "party", "constituency", "note", "sections", "tx rows"], ("person_index",))
     sections = snap("sections")
     put("sections.md", f"Registered interests, snapshot {date}", sections.select("person_index", "section_order", F.col("person_index").alias("idx"), F.col("person_header").alias("person"), F.col("paragraf").alias("§"), "label", "text"), ["idx", "person", "§", "label", "text"], ("person_index", "section_order"))
-    tx, headers = pivot_cells(snap("transactions"))
-    put("transactions.md", f"Share transactions, snapshot {date}", tx.withColumnsRenamed({"person_header": "person", "paragraf": "§"}), ["person", "§", *headers], ("person_index", "row_index"))
+    tx = snap("transactions")
+    put("transactions.md", f"Share transactions, snapshot {date}", pivot_cells(tx).withColumnsRenamed({"person_header": "person", "paragraf": "§"}), ["person", "§"], ("person_index", "row_index"), headers(tx))
     memo = tables.cache_latest(spark, cache)
     full = sections.where(S.non_empty("text"))
     items = I.build_items(full, memo).join(full.select("person_index", "block_hash", "section_order").distinct(), ["person_index", "block_hash"])

@@ -7,7 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import scalars as S
 from ..operators import items as I
 from ..operators.resolve import resolve
 from ..sources import sinks, tables
@@ -35,30 +34,28 @@ def row_counts(combined: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def quality_report(combined: dict[str, DataFrame], meta: DataFrame, cache: DataFrame) -> DataFrame:
-    """One row: counts, date range, coverage and identity rates, and a map of the snapshots."""
-    spark = meta.sparkSession
-    rows = row_counts(combined).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "n")))).alias("rows"))
+def quality_report(seen: dict[str, dict], sections: DataFrame, meta: DataFrame, cache: DataFrame) -> DataFrame:
+    """One row: counts, date range, coverage and identity rates, and a map of the snapshots.
+
+    ``seen`` has what was observed of every published table: its ``rows``, and of the roster those ``born``."""
+    rows = F.map_from_arrays(F.lit(sorted(seen)), F.lit([seen[n]["rows"] for n in sorted(seen)]))
+    roster, forms = seen.get("roster"), seen.get("smk_documents")
+    rate = round(roster["born"] / roster["rows"], 4) if roster and roster["rows"] else None
     dates = meta.agg(
         F.count_distinct("date").alias("n_snapshots"), F.when(F.count("*") > 0, F.array(F.min("date"), F.max("date"))).alias("date_range"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("date", F.struct("n_persons", "population_count", "n_remainder_lines"))))).alias("snapshots"))
-    cover = I.coverage(combined["sections"], cache)
-    rate = combined["roster"].agg(S.round4(F.count_if(F.coalesce(F.col("foedselsdato") != "", F.lit(False))) / F.nullif(F.count("*"), F.lit(0))).alias("roster_dob_rate")) if "roster" in combined else spark.createDataFrame([(None,)], "roster_dob_rate double")
-    forms = combined["smk_documents"].agg(F.count("*").alias("smk_versions")) if "smk_documents" in combined else spark.createDataFrame([(None,)], "smk_versions bigint")
-    one = dates
-    for part in (rows, cover.drop("sections_covered"), rate, forms):  # each is one row
-        one = one.join(F.broadcast(part), F.lit(True))
-    return one.select("n_snapshots", "date_range", "rows", "sections_nonempty", "sections_enriched_unique_blocks", "smk_versions", "roster_dob_rate", "enrichment_coverage", "snapshots")
+    one = dates.join(F.broadcast(I.coverage(sections, cache)), F.lit(True))  # each is one row
+    told = one.withColumns({"rows": rows, "smk_versions": F.lit(forms and forms["rows"]).cast("long"), "roster_dob_rate": F.lit(rate).cast("double")})
+    return told.select("n_snapshots", "date_range", "rows", "sections_nonempty", "sections_enriched_unique_blocks", "smk_versions", "roster_dob_rate", "enrichment_coverage", "snapshots")
 
 
 def build(spark: SparkSession, store: str, out: str, cache: str, pool: str | None = None, form_store: str | None = None) -> dict:
-    """Publishes every table in three formats and the quality report; gives the report."""
+    """Publishes every table in three formats and the quality report; gives the report. Tables are counted
+    while they are written; what was published is not read."""
     combined = combine(spark, store, cache, pool, form_store)
-    for name, df in combined.items():
-        sinks.publish(df, out, name)
-    # counted from what was published, so that no plan runs twice
-    published = {n: spark.read.schema(df.schema).parquet(f"{out}/{n}.parquet") for n, df in combined.items()}
-    report = quality_report(published, tables.snapshot_meta(spark, store), tables.cache_latest(spark, cache))
+    metrics = {"roster": {"born": F.count_if(F.coalesce(F.col("foedselsdato") != "", F.lit(False)))}}
+    seen = {name: sinks.publish(df, out, name, **metrics.get(name, {})) for name, df in combined.items()}
+    report = quality_report(seen, combined["sections"], tables.snapshot_meta(spark, store), tables.cache_latest(spark, cache))
     text = report.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"})).first()[0]
     sinks.write_text(spark, f"{out}/qa_report.json", text)
     return json.loads(text)

@@ -281,6 +281,45 @@ def dynamic_columns(spark, sf):
     return markdown.dynamic_columns(c).select("key", F.col("first.at.person_index").alias("first_row"))
 
 
+_CELLS = """WITH c AS (SELECT c_custkey, '{"' || c_mktsegment || '":"' || c_name || '","it''s ' || c_nationkey || '":' || CASE c_nationkey % 4 WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN CASE WHEN c_custkey % 2 = 0 THEN '"t"' ELSE '7' END WHEN 2 THEN CASE WHEN c_custkey % 3 = 0 THEN 'null' ELSE 'true' END ELSE 'null' END || '}' AS j FROM customer),
+k AS (SELECT c_custkey, j, unnest(json_keys(j)) AS key, generate_subscripts(json_keys(j), 1) AS no FROM c)
+"""
+
+
+def _varied_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as transactions: a header by segment and one by nation, with values of several types."""
+    n, k = F.col("c_nationkey"), F.col("c_custkey")
+    value = F.when(n % 4 == 0, k.cast("string")).when(n % 4 == 1, F.when(k % 2 == 0, '"t"').otherwise("7")).when((n % 4 == 2) & (k % 3 != 0), "true").otherwise("null")
+    cells = F.concat(F.lit('{"'), "c_mktsegment", F.lit('":"'), "c_name", F.lit('","it\'s '), n.cast("string"), F.lit('":'), value, F.lit("}"))
+    return table(spark, sf, "customer").select(k.alias("person_index"), F.lit("h").alias("person_header"), F.lit("").alias("paragraf"), F.lit(0).alias("row_index"), cells.alias("cells_json"))
+
+
+@query(_CELLS + """, h AS (SELECT list(key ORDER BY f, a) AS hs FROM (SELECT key, min(c_custkey) AS f, arg_min(no, c_custkey) AS a FROM k GROUP BY 1))
+SELECT c_custkey AS person_index, array_to_string(list_transform(hs, lambda x: coalesce(json_extract_string(j, '$."' || x || '"'), '')), ' | ') AS cells FROM c, h""")
+def variant_cells(spark, sf):
+    """Every row's cells in the order of all headers, as a line of the export."""
+    x = markdown.pivot_cells(_varied_cells(spark, sf))
+    return x.select("person_index", F.array_join(F.transform("cells", S.md_escape), " | ").alias("cells"))
+
+
+@query(_CELLS + """, t AS (SELECT key, CASE json_type(j, '$."' || key || '"') WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'NULL' THEN NULL ELSE json_type(j, '$."' || key || '"') END AS t FROM k)
+SELECT key, count(*) AS n, CASE count(DISTINCT t) WHEN 0 THEN 'VOID' WHEN 1 THEN min(t) ELSE 'VARIANT' END AS type FROM t GROUP BY 1""")
+def variant_types(spark, sf):
+    """The headers with the type that holds their values."""
+    return markdown.cell_types(_varied_cells(spark, sf))
+
+
+@query("""SELECT 'customer' AS name, count(*) AS n_rows, count(*) FILTER (c_acctbal < 0) AS n_marked FROM customer UNION ALL SELECT 'documents', count(*), count(*) FILTER (lang = 'en') FROM documents
+UNION ALL SELECT 'orders', count(*), count(*) FILTER (o_orderstatus = 'F') FROM orders""")
+def observed_counts(spark, sf):
+    """Tables published in three formats, with the counts observed while they were written."""
+    marks = {"customer": F.col("c_acctbal") < 0, "documents": F.col("lang") == "en", "orders": F.col("o_orderstatus") == "F"}
+    out = f"{shared_folder(spark)}/observed-{uuid.uuid4().hex}"
+    seen = {n: sinks.publish(table(spark, sf, n), out, n, marked=F.count_if(m)) for n, m in marks.items()}
+    sinks.remove(spark, out)
+    return spark.createDataFrame([(n, s["rows"], s["marked"]) for n, s in seen.items()], "name string, n_rows long, n_marked long")
+
+
 # ---------------------------------------------------------------------------------------------
 # ordered sequences
 

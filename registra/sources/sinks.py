@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,11 +71,14 @@ def publish_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).option("compression", "gzip").json(path)
 
 
-def publish(df: DataFrame, out: str, name: str) -> None:
-    """All three formats."""
-    publish_parquet(df, f"{out}/{name}.parquet")
+def publish(df: DataFrame, out: str, name: str, **metrics: Column) -> dict[str, object]:
+    """All three formats; gives the number of ``rows`` and the metrics (aggregates) of what was written. They
+    are observed while the parquet file is written, in the tasks that write it, so nothing is read again."""
+    seen = Observation()
+    publish_parquet(df.observe(seen, F.count("*").alias("rows"), *[m.alias(k) for k, m in metrics.items()]), f"{out}/{name}.parquet")
     publish_csv(df, f"{out}/{name}.csv.gz")
     publish_jsonl(df, f"{out}/{name}.jsonl.gz")
+    return seen.get
 
 
 def append_cache(records: DataFrame, cache: str, run: int | None = None) -> None:
@@ -134,17 +137,18 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def md_line(*cells: Column) -> Column:
-    return F.concat(F.lit("| "), F.concat_ws(" | ", *[S.md_escape(c) for c in cells]), F.lit(" |"))
+def md_line(*cells: Column, more: Column | None = None) -> Column:
+    rest = [] if more is None else [F.transform(more, S.md_escape)]
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *[S.md_escape(c) for c in cells], *rest), F.lit(" |"))
 
 
-def md_head(headers: list[str]) -> str:
-    return "| " + " | ".join(headers) + " |\n" + "|" + "---|" * len(headers)
-
-
-def md_table(rows: DataFrame, headers: list[str], order: tuple[str, ...]) -> DataFrame:
-    """One row ``md``: the table of a snapshot (a bounded report), its lines in order."""
-    line = md_line(*[F.col(f"`{h}`") for h in headers])
+def md_table(rows: DataFrame, headers: list[str], order: tuple[str, ...], more: DataFrame | None = None) -> DataFrame:
+    """One row ``md``: the table of a snapshot (a bounded report), its lines in order. ``more`` has one row of
+    further ``headers``, which the column ``cells`` of the rows follows."""
+    line = md_line(*[F.col(f"`{h}`") for h in headers], more=None if more is None else F.col("cells"))
     lines = rows.select(F.struct(*order).alias("o"), line.alias("line")).groupBy().agg(F.array_sort(F.collect_list(F.struct("o", "line"))).alias("ls"))
-    body = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
-    return lines.select(F.when(F.size("ls") > 0, F.concat(F.lit(md_head(headers) + "\n"), body)).otherwise(md_head(headers)).alias("md"))
+    names = F.array(*[F.lit(h) for h in headers])
+    if more is not None:
+        lines, names = lines.join(F.broadcast(more), F.lit(True)), F.concat(names, "headers")
+    head = F.concat(F.lit("| "), F.array_join(names, " | "), F.lit(" |\n|"), F.repeat(F.lit("---|"), F.size(names)))
+    return lines.select(F.array_join(F.concat(F.array(head), F.transform("ls", lambda x: x["line"])), "\n").alias("md"))

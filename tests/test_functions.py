@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from registra.functions import scalars as S
@@ -40,6 +42,10 @@ def test_zip_json(spark):
     df = spark.createDataFrame([(["a", "b", "a"], ["1", None, "3", "4"])], "h array<string>, r array<string>")
     assert df.select(S.zip_json("h", "r").alias("j")).first().j == '{"a":"3","b":null}'
     assert df.select(S.json_cell(S.zip_json("h", "r"), "a").alias("j")).first().j == "3"
+    keys = ["a'b", 'a"b', "a'\"b", "a.b[0]", "", "none"]
+    cells = spark.createDataFrame([(json.dumps({k: f"v {k} 1.50" for k in keys[:-1]}), "x"), ("no json", "x"), (None, "x"), ("[1]", "x")], "c string, x string")
+    got = [[r[k] for k in range(len(keys))] for r in cells.select(*[S.json_cell("c", k) for k in keys]).collect()]
+    assert got == [[f"v {k} 1.50" for k in keys[:-1]] + [None]] + [[None] * len(keys)] * 3
 
 
 def test_markers(spark):

@@ -45,7 +45,11 @@ def test_incremental_parse_and_publish(spark, store, tmp_path):
     cache = tmp_path / "cache"
     cache.mkdir()
     (cache / "aa.jsonl").write_text("\n" + json.dumps({"block_hash": blocks["Posts"], "items": [], "model": "m0", "prompt_version": "v0"}) + "\n" + json.dumps({"block_hash": blocks["Posts"], "items": [item(item_text=" seat ", amount_nok="12,9"), item(share_pct="0,5")], "model": "m", "prompt_version": "v1"}, ensure_ascii=False) + "\n")
-    report = publish.build(spark, root, f"{tmp_path}/out", str(cache))
+    read, paths = type(spark.read).parquet, []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "parquet", lambda self, *p, **k: (paths.extend(p), read(self, *p, **k))[1])
+        report = publish.build(spark, root, f"{tmp_path}/out", str(cache))
+    assert paths and not any(p.startswith(f"{tmp_path}/out") for p in paths)  # counted while written
     assert report["n_snapshots"] == 1 and report["date_range"] == ["2026-01-01", "2026-01-01"]
     assert report["rows"] == {"documents": 1, "items": 2, "persons": 2, "sections": 2, "transactions": 1}
     assert (report["sections_nonempty"], report["sections_enriched_unique_blocks"], report["enrichment_coverage"]) == (1, 1, 1.0)
