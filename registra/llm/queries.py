@@ -31,9 +31,10 @@ def op1_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .token_binary import pack_rows
+    from .common import Scratch
+    from .token_binary import pack_rows, write_matrix
 
-    rows = pack_rows(spark, _docs(spark, sf_dir))
+    rows = write_matrix(pack_rows(spark, _docs(spark, sf_dir)), f"{Scratch(spark, 'token-matrix').root}/rows")
     return rows.select("sequence_id", "doc_ids", "starts", "cu_seqlens", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"))
 
 

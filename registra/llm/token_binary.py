@@ -8,6 +8,11 @@ down from the root in log(row length) steps.
 
 Each result row is one packed row: its padded ids, the cumulative segment lengths and the positions
 that restart at 0 with every segment (and run on over the padding, which forms a last segment of its own).
+``write_matrix`` stores them as Parquet, a matrix row in a cell of little-endian unsigned 32-bit numbers, and
+gives what is stored.
+
+Which documents share a block, and so a row, hangs on how the input is split into tasks: a ``sequence_id``
+names a row of one result, and reruns over another split give other rows of the same pieces.
 
 Defined results: a null or empty text is the single id 0; an empty table gives an empty result;
 repeated rows are packed once per row; other columns of the input are ignored.
@@ -123,6 +128,8 @@ def pack_rows(spark: SparkSession, docs: DataFrame, row_len: int = ROW_LEN, bloc
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, DDL)
 
 
-def write_matrix(rows: DataFrame, path: str) -> None:
-    """Packed rows as Parquet with the id and position matrices as binary rows; plain for fast reads."""
+def write_matrix(rows: DataFrame, path: str) -> DataFrame:
+    """Packed rows written as Parquet, the id and position matrices as binary rows, and what is then read
+    from the files. A task that is lost writes its file anew; the folder appears whole or not at all."""
     rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

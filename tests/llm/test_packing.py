@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from registra.llm.packing import pack, shortest_pack_first, slots
-from registra.llm.token_binary import CapacityTree, best_fit_decreasing, pack_rows
+from registra.llm.token_binary import CapacityTree, best_fit_decreasing, pack_rows, write_matrix
 from registra.llm.tokens import default_paths, encode
 
 from .docs import DDL, awkward
@@ -117,3 +117,28 @@ def test_matrix_rows(spark):
         if d not in (5, None):
             docs.append(sum((x[1] for x in sorted(parts)), []))
     assert sorted(docs) == sorted(reference_ids(r[1]) for r in rows if r[0] not in (5, None))
+
+
+def test_stored_matrix_gives_the_documents_back(spark, tmp_path):
+    """Only the files are read, by another reader than the one that wrote them."""
+    import pyarrow.parquet as pq
+
+    rows = [(i, r[1], *r[2:]) for i, r in enumerate(awkward())]
+    write_matrix(pack_rows(spark, spark.createDataFrame(rows, DDL), row_len=96), f"{tmp_path}/m")
+    table = pq.read_table(f"{tmp_path}/m").to_pydict()
+    ids = np.stack([np.frombuffer(v, "<u4") for v in table["ids"]])
+    positions = np.stack([np.frombuffer(v, "<u4") for v in table["positions"]])
+    assert ids.shape == positions.shape and ids.shape[1] == 96
+    pieces = defaultdict(dict)
+    for k, (docs, starts, cu) in enumerate(zip(table["doc_ids"], table["starts"], table["cu_seqlens"], strict=True)):
+        resets = [*cu[:-1], *([cu[-1]] if cu[-1] < 96 else [])]
+        assert np.flatnonzero(positions[k] == 0).tolist() == resets
+        for d, s, a, b in zip(docs, starts, cu, cu[1:]):
+            assert s not in pieces[d]
+            pieces[d][s] = ids[k, a:b].tolist()
+    assert {d: sum((p[s] for s in sorted(p)), []) for d, p in pieces.items()} == {r[0]: list(reference_ids(r[1])) for r in rows}
+
+
+def test_stored_matrix_of_an_empty_table(spark, tmp_path):
+    got = write_matrix(pack_rows(spark, spark.createDataFrame([], DDL)), f"{tmp_path}/m")
+    assert got.count() == 0 and got.columns[:2] == ["sequence_id", "doc_ids"]
