@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -119,6 +120,22 @@ def test_toxic_texts(spark):
     assert toxicity.score_texts(spark, df.limit(0), model).count() == 0
 
 
+def test_only_near_copies_are_left_out_of_learning():
+    base = [f"w{k}" for k in range(60)]
+    lead = " ".join(base)
+    texts = [" ".join([*base[:30], "new", *base[31:]]), " ".join([*base[:20], *(f"v{k}" for k in range(40))]), lead.upper(), "one two", "", None]
+    b = pa.RecordBatch.from_pydict({"text": texts, "y": pa.array([1] * 6, pa.int32()), "lead": [lead] * 6})
+    (out,) = toxicity._apart([b])
+    assert out.column(0).to_pylist() == [texts[1], "one two", "", None]
+
+
+def test_kept_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, "some words here", "x")], "doc_id long, text string, __text string")
+    model = toxicity.Model({"=words": 3.0}, 1.0, 0.1)
+    (r,) = toxicity.score_texts(spark, df, model, keep=("doc_id", "__text")).collect()
+    assert (r["__text"], r.n_tokens) == ("x", 3)
+
+
 def test_many_weak_passages_are_evidence():
     model = toxicity.Model({"x": 1.0}, 1.0, 0.1)
     scores = [math.log(400)] * 500  # 100 expected by chance in 40,000 tokens
