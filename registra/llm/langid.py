@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, bounded_batches, mix64
+from .common import batch, bounded_batches, fresh, mix64
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -123,7 +123,7 @@ def predict(spark: SparkSession, docs: DataFrame, model, text: str = "text", kee
     bounded_batches(spark)
     langs, logp, prior = model
     shared = spark.sparkContext.broadcast((langs, logp, prior))
-    src = docs.select(*keep, F.col(text).alias("__text"))
+    src = docs.select(*keep, F.col(text).alias(fresh(docs, "__text")[0]))
     schema = src.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, bounded_batches, crc32
+from .common import Scratch, batch, bounded_batches, crc32, fresh
 
 WIDTH = 64
 MEDIA_TAGS = frozenset({"img", "audio", "video", "source", "embed", "object"})
@@ -129,7 +129,7 @@ def parse_html(html: str | None) -> list[dict]:
 def parse_pages(spark: SparkSession, pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """The kept columns and ``items``, the page's sequence."""
     bounded_batches(spark)
-    src = pages.select(*keep, F.col(html).alias("__html"))
+    src = pages.select(*keep, F.col(html).alias(fresh(pages, "__html")[0]))
     schema = src.select(*keep, F.lit(None).cast(ITEMS_DDL).alias("items")).schema
 
     def run(batches):

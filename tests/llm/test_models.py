@@ -9,7 +9,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from registra.llm import hmm, langid, toxicity
+from registra.llm import hmm, langid, media, toxicity
 
 from .docs import DDL, awkward
 
@@ -134,6 +134,10 @@ def test_kept_columns_may_have_any_name(spark):
     model = toxicity.Model({"=words": 3.0}, 1.0, 0.1)
     (r,) = toxicity.score_texts(spark, df, model, keep=("doc_id", "__text")).collect()
     assert (r["__text"], r.n_tokens) == ("x", 3)
+    got = langid.predict(spark, df, langid.train(spark, df.limit(0).withColumn("lang", df.text)), keep=("doc_id", "__text")).collect()
+    assert [(g["__text"], g.lang_pred) for g in got] == [("x", "und")]
+    (r,) = media.parse_pages(spark, df.withColumnsRenamed({"text": "html", "__text": "__html"}), keep=("doc_id", "__html")).collect()
+    assert r["__html"] == "x" and [i.text for i in r["items"]] == ["some words here"]
 
 
 def test_many_weak_passages_are_evidence():
