@@ -18,22 +18,24 @@ LONG_RUN = 2000
 
 
 @functools.cache
-def _encoders(json_path: str, rank_path: str | None):
+def _slow(json_path: str):
+    """The ``tokenizers`` encoder, about 30 MB a worker; loaded when the first text needs it."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(json_path)
-    fast = None
-    if rank_path:
-        import base64
+    return Tokenizer.from_file(json_path)
 
-        import public_tokenizers
-        import tiktoken
 
-        with open(rank_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return slow, fast
+@functools.cache
+def _fast(rank_path: str):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(rank_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def default_paths() -> tuple[str, str]:
@@ -44,7 +46,6 @@ def default_paths() -> tuple[str, str]:
 
 def encode(text: str, paths: tuple[str, str | None]) -> np.ndarray:
     """uint32 ids of a text, without special tokens added."""
-    slow, fast = _encoders(*paths)
-    if fast is None or "<|" in text or (len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN):
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-    return np.array(fast.encode_ordinary(text), np.uint32)
+    if not paths[1] or "<|" in text or (len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN):
+        return np.array(_slow(paths[0]).encode(text, add_special_tokens=False).ids, np.uint32)
+    return np.array(_fast(paths[1]).encode_ordinary(text), np.uint32)

@@ -5,6 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from registra.llm import tokens
 from registra.llm.packing import pack, shortest_pack_first, slots
 from registra.llm.token_binary import CapacityTree, best_fit_decreasing, pack_rows, write_matrix
 from registra.llm.tokens import default_paths, encode
@@ -142,3 +143,11 @@ def test_stored_matrix_gives_the_documents_back(spark, tmp_path):
 def test_stored_matrix_of_an_empty_table(spark, tmp_path):
     got = write_matrix(pack_rows(spark, spark.createDataFrame([], DDL)), f"{tmp_path}/m")
     assert got.count() == 0 and got.columns[:2] == ["sequence_id", "doc_ids"]
+
+
+def test_plain_texts_load_one_encoder_only():
+    tokens._slow.cache_clear()
+    assert encode("plain words", default_paths()).tolist() == reference_ids("plain words")[:-1]
+    assert tokens._slow.cache_info().currsize == 0
+    assert encode("a <|b", default_paths()).tolist() == reference_ids("a <|b")[:-1]
+    assert tokens._slow.cache_info().currsize == 1
