@@ -44,6 +44,7 @@ LEAF = 24  # a region of at most so many is compared in full
 LEAST_ESTIMATE = 0.56  # candidates whose signatures agree in less than this part are dropped; at a true 0.75 that is over four standard errors below
 PERCENT = 75
 CELLS = 1 << 17  # of the table that orders shingles by how rare they are
+SPAN = 1 << 10  # cells whose counts are one row
 
 _SIG = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.binary())])
 _SIG_DDL = "row_id long, doc_id long, t1 long, t2 long, n_shingles long, fp1 long, fp2 long, sig binary"
@@ -186,14 +187,43 @@ def _cells(h: np.ndarray) -> np.ndarray:
     return (mix64(h) >> np.uint64(47)).astype(np.int64)
 
 
+_TALLY = pa.schema([("block", pa.int32()), ("n", pa.binary())])
+_TALLY_DDL = "block int, n binary"
+
+
+def _blocks(n: np.ndarray) -> pa.RecordBatch:
+    """A row for each ``SPAN`` cells of a table of counts that are not all zero."""
+    rows = n.reshape(-1, SPAN)
+    at = np.flatnonzero(rows.any(1))
+    return batch(_TALLY, block=at.astype(np.int32), n=[rows[k].tobytes() for k in at])
+
+
 def _tally(batches):
-    """How many sets have a shingle of each cell."""
+    """How many sets have a shingle of each cell, in blocks."""
     n = np.zeros(CELLS, np.int64)
     for b in batches:
         if b.num_rows:
             n += np.bincount(_cells(np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)), minlength=CELLS)
-    at = np.flatnonzero(n)
-    yield batch(pa.schema([("cell", pa.int32()), ("n", pa.int64())]), cell=at.astype(np.int32), n=n[at])
+    yield _blocks(n)
+
+
+def _total(batches):
+    """The sum of the blocks' counts."""
+    n = np.zeros(CELLS, np.int64)
+    for b in batches:
+        for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            n[k * SPAN : (k + 1) * SPAN] += np.frombuffer(x, np.int64)
+    yield _blocks(n)
+
+
+def tally(sets: DataFrame) -> np.ndarray:
+    """How many of the sets have a shingle of each of the ``CELLS`` cells. Counts travel in blocks, so a task
+    gives at most CELLS / SPAN rows, however many shingles it has."""
+    rows = sets.select("set").mapInArrow(_tally, _TALLY_DDL).repartition("block").mapInArrow(_total, _TALLY_DDL)
+    counts = np.zeros(CELLS, np.int64)
+    for r in rows.toArrow().to_pylist():  # CELLS counts at most
+        counts[r["block"] * SPAN : (r["block"] + 1) * SPAN] += np.frombuffer(r["n"], np.int64)
+    return counts
 
 
 def prefix(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
@@ -211,9 +241,7 @@ def rare_pairs(scratch: Scratch, sets: DataFrame, comp: DataFrame, wanted: DataF
     with one of the nodes of ``wanted`` at least where it is given: a complete prefix filter. Shingles are ordered by their counts in a table of bounded size; any order
     gives all pairs, and a good one few others. At the first shingle that two linked sets share, what either
     has from there on is no less than what they share, so places too far on are not paired."""
-    total = sets.select("set").mapInArrow(_tally, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
-    counts = np.zeros(CELLS, np.int64)
-    counts[total.column(0).to_numpy()] = total.column(1).to_numpy()
+    counts = tally(sets)
     shared = scratch.spark.sparkContext.broadcast(counts)
 
     def run(batches):

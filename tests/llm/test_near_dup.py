@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from registra.llm import near_dup
@@ -165,3 +167,14 @@ def test_repeated_rows_do_not_multiply(spark, tmp_path):
     assert sorted(r.text for r in once.collect()) == sorted([a, b, a + " end", b + " end"])
     got = near_dup.near_duplicates(spark, docs)
     assert got.count() == 2600 and got.select("c").distinct().count() == 1
+
+
+def test_tally_counts_every_cell_in_few_rows(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 3000, np.uint64)) for _ in range(40)] + [np.empty(0, np.uint64)]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node long, set binary").repartition(8)
+    want = np.bincount(near_dup._cells(np.concatenate(sets)), minlength=near_dup.CELLS)
+    assert np.array_equal(near_dup.tally(df), want)
+    part = pa.RecordBatch.from_pydict({"set": pa.array([x.tobytes() for x in sets], pa.binary())})
+    assert sum(b.num_rows for b in near_dup._tally([part])) <= near_dup.CELLS // near_dup.SPAN < 3000
+    assert not near_dup.tally(df.limit(0)).any()
