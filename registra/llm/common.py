@@ -353,27 +353,71 @@ def batch(schema: pa.Schema, **cols) -> pa.RecordBatch:
 # ---------------------------------------------------------------------------------------------
 # connected components
 
-def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFrame:
-    """(node, comp) for every node of an edge; comp is the smallest node that it reaches.
-
-    ``edges`` has long columns a and b. Alternates large-star and small-star steps until every node
-    points to one root that points to none; each round is written to the scratch folder. A hub's edges are
-    never in one group: only minima are grouped (combined before the shuffle), and the join that hands them
-    back is one that adaptive execution splits.
+#: Edges that a task holds at a time.
+EDGES = 1 << 18
+_EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node that these edges join with a smaller one, and the smallest that it reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[x], root[y]
+        apart = x != y
+        if not apart.any():
+            break
+        x, y = x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := root[root], root):
+            root = up
+    low = root != np.arange(len(nodes))
+    return nodes[low], nodes[root[low]]
+
+
+def _forests(batches):
+    """Edges (a, b) that join the same nodes, no more of them than before: the forests of blocks of ``EDGES``."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+    for more in itertools.chain(batches, [None]):
+        if more is not None:
+            held.append((more.column(0).to_numpy(), more.column(1).to_numpy()))
+            n += more.num_rows
+        if n and (more is None or n >= EDGES):
+            a, b = forest(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held, n = [(a, b)], len(a)
+            if more is None or n > EDGES // 2:
+                yield batch(_EDGE, a=a, b=b)
+                held, n = [], 0
+
+
+def stars(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFrame:
+    """(node, comp) for every node of an edge but the smallest that it reaches, which is its comp.
+
+    ``edges`` has long columns a and b. Every task first joins the edges that it holds (``_forests``), before
+    and after a shuffle by the larger end, so few rounds are left; a node comes from a task once, so a hub's
+    edges are never in one group. A round then hands each node the parent of its parent (a large-star step),
+    by a join that adaptive execution splits, until every node points to one root that points to none. Each
+    round is written to the scratch folder.
     """
-    e = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{label}-0")
+
+    def joined(e: DataFrame) -> DataFrame:
+        return e.mapInArrow(_forests, "a long, b long").repartition("a").mapInArrow(_forests, "a long, b long")
+
+    e = scratch.write(joined(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), f"{label}-0")
     for k in itertools.count(1):
-        n = e.agg(F.count("*"), F.count_distinct("a")).first()
-        if n[0] == n[1] and e.select(F.col("b").alias("a")).join(e, "a", "left_semi").isEmpty():
+        ends = e.select("a", F.lit(1).alias("up")).union(e.select("b", F.lit(0)))
+        if ends.groupBy("a").agg(F.sum("up").alias("n"), F.min("up").alias("low")).where("n > 1 or n = 1 and low = 0").isEmpty():
             break
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{label}-{k}m")
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = scratch.write(large, f"{label}-{k}l")
-        low = scratch.write(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-{k}n")
-        small = large.join(low, "a")
-        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        e = scratch.write(small, f"{label}-{k}")
-        scratch.drop(f"{label}-{k - 1}", *[f"{label}-{k}{x}" for x in "lmn"])
-    roots = e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
-    return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(roots)
+        low = scratch.write(e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), "m"), f"{label}-{k}m")
+        e = scratch.write(joined(e.join(low, "b", "left").select("a", F.coalesce("m", "b").alias("b"))), f"{label}-{k}")
+        scratch.drop(f"{label}-{k - 1}", f"{label}-{k}m")
+    return e.toDF("node", "comp")
+
+
+def components(scratch: Scratch, edges: DataFrame, label: str = "cc") -> DataFrame:
+    """(node, comp) for every node of an edge (a, b); comp is the smallest node that it reaches."""
+    found = stars(scratch, edges, label)
+    roots = found.select(F.col("comp").alias("node")).distinct()
+    return found.union(roots.select("node", F.col("node").alias("comp")))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, Scratch, batch, bounded_batches, components, doc_words, fingerprint, hash_words, minhash, mix64, fresh, rows_by_text, selective, shingle_hashes, signed
+from .common import KeyFilter, Scratch, batch, bounded_batches, doc_words, fingerprint, hash_words, minhash, mix64, fresh, rows_by_text, selective, shingle_hashes, signed, stars
 
 N_HASH = 96
 DEPTH = 4  # minima of the shallowest prefix
@@ -341,17 +341,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     best = ways.groupBy("x").agg(F.max(F.struct("est", (-F.col("y")).alias("m"))).alias("w")).select("x", (-F.col("w.m")).alias("y"))
     best = scratch.write(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "best")
     links = scratch.write(confirm(best, sets), "links1")
-    comp = scratch.write(components(scratch, links, "cc1"), "comp1")
-    near = crossing(scratch, pairs_of(near).join(pairs_of(est), ["a", "b"], "left_anti"), comp, "near")
-    left = crossing(scratch, pairs_of(est).join(best, ["a", "b"], "left_anti"), comp, "rest")
-    more = scratch.write(confirm(left.union(near), sets), "links2")
-    scratch.drop("estimates1", "best", "neighbours", "crossing-near", "crossing-rest")
-    comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc2"), "comp2")
+    comp = stars(scratch, links, "cc1")
+    left = crossing(scratch, pairs_of(near).union(pairs_of(est)).distinct().join(best, ["a", "b"], "left_anti"), comp, "rest")
+    more = scratch.write(confirm(left, sets), "links2")
+    scratch.drop("estimates1", "best", "neighbours", "crossing-rest")
+    comp = stars(scratch, comp.union(more).toDF("a", "b"), "cc2")
     if not dense.isEmpty():  # members of larger regions that may still be apart
         rare = estimate(scratch, rare_pairs(scratch, sets.join(dense, "node", "left_semi"), comp), nodes, "estimates3")
         more = scratch.write(confirm(rare, sets), "links3")
         if not more.isEmpty():
-            comp = scratch.write(components(scratch, comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "cc3"), "comp3")
+            comp = stars(scratch, comp.union(more).toDF("a", "b"), "cc3")
 
     # rows -> class -> component -> smallest doc_id
     mine = ["row_id", "doc_id", "t1", "t2", "n_shingles"]
@@ -362,7 +361,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     out = of.join(least, "c").select(*mine, "component_id", "c")
     out = out.union(sig.where("n_shingles = 0").select(*mine, F.col("doc_id").alias("component_id"), F.col("row_id").alias("c")))
     out = scratch.write(out, "result")
-    scratch.drop("signatures", "classes", "nodes", "wanted", "sets", "central", "links1", "comp1", "links2", "comp2", "rare", "estimates3", "links3", "comp3", "rows", "least", *[f"cc{i}-{k}" for i in (1, 2, 3) for k in range(100)])
+    scratch.drop("signatures", "classes", "nodes", "wanted", "sets", "central", "links1", "links2", "rare", "estimates3", "links3", "rows", "least", *[f"cc{i}-{k}" for i in (1, 2, 3) for k in range(100)])
     scratch.tidy()
     return out.withColumn("kept", F.expr("doc_id <=> component_id"))
 

@@ -142,6 +142,53 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert components(Scratch(spark, "t"), df.limit(0)).count() == 0
 
 
+def test_components_in_few_rounds(spark):
+    """Long chains, a hub of the largest id and a random graph, in shuffled order: right, with few tables written."""
+
+    class Counting(Scratch):
+        n = 0
+
+        def write(self, *args, **kw):
+            Counting.n += 1
+            return super().write(*args, **kw)
+
+    rng = random.Random(31)
+    ids = rng.sample(range(1 << 40), 6000)
+    edges = [(ids[i], ids[i + 1]) for i in range(1500)] + [(1 << 41, x) for x in ids[2000:3000]]
+    edges += [(rng.choice(ids[3000:]), rng.choice(ids[3000:])) for _ in range(2500)]
+    rng.shuffle(edges)
+    par = {x: x for e in edges for x in e}
+
+    def find(x):
+        while par[x] != x:
+            par[x] = x = par[par[x]]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        par[max(a, b)] = min(a, b)
+    want = {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    rows = components(Counting(spark, "t"), spark.createDataFrame(edges, "a long, b long").repartition(8)).collect()
+    assert len(rows) == len(want) and {r.node: r.comp for r in rows} == want
+    assert Counting.n <= 7
+
+
+def test_forest_keeps_components_and_blocks_are_bounded(monkeypatch):
+    from registra.llm import common
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 4000, (2, 3000))
+    node, root = common.forest(a, b)
+    assert len(np.unique(node)) == len(node) and not np.isin(root, node).any() and (root < node).all()
+    monkeypatch.setattr(common, "EDGES", 500)
+    parts = [pa.RecordBatch.from_arrays([pa.array(a[k : k + 100]), pa.array(b[k : k + 100])], ["a", "b"]) for k in range(0, 3000, 100)]
+    out = list(common._forests(iter(parts)))
+    assert len(out) > 1 and max(x.num_rows for x in out) < 700
+    again = common.forest(*(np.concatenate([x.column(k).to_numpy() for x in out]) for k in (0, 1)))
+    assert np.array_equal(again[0], node) and np.array_equal(again[1], root)
+    assert list(common._forests(iter([]))) == []
+
+
 def test_word_hashes_do_not_depend_on_place():
     from registra.llm.common import doc_words, hash_words
 
