@@ -38,6 +38,9 @@ BLOOM = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
 }
+#: A scratch table is read by the plan that wrote it, so no mark of success is written; without Hadoop's native
+#: library each such file costs the driver two processes.
+UNMARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 LEAST_LONG = -(1 << 63)
 
 
@@ -170,7 +173,7 @@ class Scratch:
         With ``bloom`` Spark filters the large side of shuffled joins by what the other side holds."""
         path = f"{self.root}/{next(self._n)}-{label}"
         with settings(self.spark, self._conf | (BLOOM if bloom else {})):
-            df.write.option("compression", codec).parquet(path)
+            df.write.options(**UNMARKED).option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[label] = path
         return out

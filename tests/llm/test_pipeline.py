@@ -59,3 +59,16 @@ def test_registered():
 
     q = e.queries()
     assert "pipeline" in q and all(any(k.startswith(f"op{n}_") for k in q) for n in range(1, 11))
+
+
+def test_scratch_tables_have_no_marker_file(spark):
+    """Each such file costs the driver processes of its memory's size; the tables are read all the same."""
+    from registra.llm.common import Scratch
+
+    scratch = Scratch(spark, "marks")
+    for rows in (spark.range(10), spark.range(0)):
+        out = scratch.write(rows, "t")
+        path = spark._jvm.org.apache.hadoop.fs.Path(scratch._paths["t"])
+        found = [f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+        assert "_SUCCESS" not in found and out.count() == rows.count()
+    scratch.close()
